@@ -12,6 +12,7 @@ import json
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quayside.functions.once import once
 from quayside.functions.rsa import KeyRing
 
 ALGORITHMS = {"alg": "RSA-OAEP-256", "enc": "A256GCM"}
@@ -42,18 +43,18 @@ def encrypt(
     """
     keys, name, text = _work(into, "keys"), _work(into, "header"), _work(into, "content")
     wanted = F.when(content.isNotNull(), key_id)
-    df = df.withColumn(text, content).withColumn(name, F.lit(PLAIN_HEADER) if header is None else header)
+    df = df.withColumn(text, once(content)).withColumn(name, F.lit(PLAIN_HEADER) if header is None else once(header))
     df = df.withColumn(keys, ring.draw_keys()(wanted))
-    sealed = F.aes_encrypt(
+    body = F.aes_encrypt(
         F.col(text), F.col(keys)["key"], F.lit("GCM"), F.lit("DEFAULT"), F.col(keys)["iv"],
         F.encode(F.col(name), "US-ASCII"),
     )
     token = F.struct(
         F.col(name).alias("header"), F.col(keys)["wrapped"].alias("wrapped"), F.col(keys)["iv"].alias("iv"),
-        sealed.alias("body"),  # iv, ciphertext, tag
+        body.alias("body"),  # iv, ciphertext, tag
     )
     present = F.col(text).isNotNull() & F.col(keys)["wrapped"].isNotNull()
-    return df.withColumn(into, F.when(present, token)).drop(keys, name, text)
+    return df.withColumn(into, once(F.when(present, token))).drop(keys, name, text)
 
 
 def compact(token: Column) -> Column:
@@ -66,9 +67,8 @@ def compact(token: Column) -> Column:
     )
 
 
-def parse_compact(text: Column) -> Column:
-    """STRUCT<header, wrapped, iv, body> of five-part text; members are NULL where the text is malformed."""
-    parts = F.split(text, "[.]")
+def parse_parts(parts: Column) -> Column:
+    """STRUCT<header, wrapped, iv, body> of the split five-part text; members are NULL where it is malformed."""
     whole = F.size(parts) == 5
 
     def part(index: int) -> Column:
@@ -83,7 +83,7 @@ def parse_compact(text: Column) -> Column:
 def decrypt(df: DataFrame, token: Column, key_id: Column, ring: KeyRing, into: str) -> DataFrame:
     """Add the decrypted bytes of a token struct under ``into``; NULL for a wrong key, damage or another algorithm."""
     parts, opened = _work(into, "parts"), _work(into, "opened")
-    df = df.withColumn(parts, token)
+    df = df.withColumn(parts, once(token))
     meta = F.from_json(from_base64url(F.col(parts)["header"]).cast("string"), "alg string, enc string")
     known = (meta["alg"] == ALGORITHMS["alg"]) & (meta["enc"] == ALGORITHMS["enc"])
     df = df.withColumn(opened, ring.open_keys()(F.when(known, F.col(parts)["wrapped"]), key_id))
@@ -91,7 +91,7 @@ def decrypt(df: DataFrame, token: Column, key_id: Column, ring: KeyRing, into: s
         F.col(parts)["body"], F.col(opened), F.lit("GCM"), F.lit("DEFAULT"),
         F.encode(F.col(parts)["header"], "US-ASCII"),
     )
-    return df.withColumn(into, plain).drop(parts, opened)
+    return df.withColumn(into, once(plain)).drop(parts, opened)
 
 
 def encrypt_text(df: DataFrame, text: Column, key_id: Column, ring: KeyRing, into: str) -> DataFrame:
@@ -104,7 +104,11 @@ def encrypt_text(df: DataFrame, text: Column, key_id: Column, ring: KeyRing, int
 
 def decrypt_text(df: DataFrame, text: Column, key_id: Column, ring: KeyRing, into: str) -> DataFrame:
     """Add the plaintext of a compact token; NULL when it cannot be opened."""
-    return decrypt(df, parse_compact(text), key_id, ring, into).withColumn(into, F.col(into).cast("string"))
+    pieces = _work(into, "split")
+    df = df.withColumn(pieces, once(F.split(text, "[.]")))
+    return decrypt(df, parse_parts(F.col(pieces)), key_id, ring, into).withColumn(
+        into, F.col(into).cast("string")
+    ).drop(pieces)
 
 
 def rekey_text(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quayside.functions.headers import header_map, missing
+from quayside.functions.once import once
 from quayside.options import FoldOptions
 from quayside.sources.messages import with_error
 
@@ -14,7 +15,7 @@ from quayside.sources.messages import with_error
 def fold_headers(df: DataFrame, options: FoldOptions) -> DataFrame:
     """Put the wanted headers into ``record``, inline or by wrapping; rows without a value pass unchanged."""
     present = F.col("record").isNotNull()
-    df = df.withColumn("__wanted", header_map(F.col("headers"), options.names))
+    df = df.withColumn("__wanted", once(header_map(F.col("headers"), options.names)))
     if options.mandatory and options.fail_on_missing:
         absent = missing(F.col("__wanted"), options.mandatory)
         df = with_error(
@@ -29,4 +30,4 @@ def fold_headers(df: DataFrame, options: FoldOptions) -> DataFrame:
         folded = F.map_concat(F.map_filter(record, lambda k, _: k != target), F.create_map(F.lit(target), as_variant))
     else:
         folded = record.withField(f"`{target}`", F.col("__wanted"))
-    return df.withColumn("record", F.when(present, folded)).drop("__wanted")
+    return df.withColumn("record", once(F.when(present, folded))).drop("__wanted")

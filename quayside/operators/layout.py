@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quayside.functions.once import once
 from quayside.functions.paths import field_segment, nested, time_segment
 from quayside.options import FileOptions, LayoutOptions
 from quayside.session import require_utc
@@ -26,7 +27,7 @@ def add_path(df: DataFrame, options: LayoutOptions) -> DataFrame:
     when = time_segment(F.col("timestamp"), options)
     fields = field_segment(values, options)
     whole = F.concat_ws(options.delimiter, fields, when) if options.fields else when
-    return df.withColumn("path", F.when(F.col("error").isNull(), whole))
+    return df.withColumn("path", once(F.when(F.col("error").isNull(), whole)))
 
 
 def route(df: DataFrame) -> DataFrame:
@@ -41,7 +42,7 @@ def route(df: DataFrame) -> DataFrame:
         F.col("value").cast("string").alias("value"),
     ), {"ignoreNullFields": "false"})
     return (
-        df.withColumn("line", F.when(failed, context).otherwise(json_line(F.col("record"))))
+        df.withColumn("line", once(F.when(failed, context).otherwise(json_line(F.col("record")))))
         .withColumn(
             "path", F.when(failed, F.concat(F.lit(f"{DEAD_LETTER}/"), F.col("error")["stage"])).otherwise(F.col("path"))
         )

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from quayside.functions import masking, tokens
 from quayside.functions.headers import header
+from quayside.functions.once import once
 from quayside.functions.rsa import KeyRing
 from quayside.functions.rules import match_rules, parse
 from quayside.options import CRYPTO_STRATEGIES, ProtectOptions
@@ -95,11 +96,11 @@ def protect(
     holder = F.col("record")[box] if box else F.col("record")
     holder_type = df.select(holder.alias("h")).schema["h"].dataType
     names, before = options.names, df.columns
-    df = (
-        df.withColumn("institution", header(F.col("headers"), names.institution, "first"))
-        .withColumn("event_type", header(F.col("headers"), names.event_type, "first"))
-        .withColumn("event_version", header(F.col("headers"), names.version, "first"))
-    )
+    df = df.withColumns({
+        "institution": once(header(F.col("headers"), names.institution, "first")),
+        "event_type": once(header(F.col("headers"), names.event_type, "first")),
+        "event_version": once(header(F.col("headers"), names.version, "first")),
+    })
     if "error" not in df.columns:
         df = with_error(df, "protect", F.lit(False), "")
     if policy is None:
@@ -139,7 +140,8 @@ def protect(
                 "the sensitive field is not a string",
             )
         value = holder[source_name].cast("string")
-    value = F.when(found, value)
+    df = df.withColumns({"__value": once(F.when(found, value)), "__touched": once(touched)})
+    value, touched = F.col("__value"), F.col("__touched")
     df = apply_crypto(
         df, value, F.when(touched, strategy), F.col("institution"), private_key, crypto, used
     )
@@ -172,6 +174,6 @@ def protect(
                 updated = updated.dropFields(f"`{source_name}`")
         updated = F.when(holder.isNotNull(), updated)
     record = F.col("record").withField(f"`{box}`", updated) if box else updated
-    df = df.withColumn("record", F.when(F.col("record").isNotNull(), record))
+    df = df.withColumn("record", once(F.when(F.col("record").isNotNull(), record)))
     kept = dict.fromkeys([*before, "error", "strategy", "institution", "event_type", "event_version"])
     return df.select(*kept)

@@ -13,7 +13,7 @@ def strategy_counts(df: DataFrame) -> DataFrame:
 
 def coverage_matrix(df: DataFrame, event_types: list[str]) -> DataFrame:
     """Tenant by event type; the types are given, so no extra pass finds them."""
-    return df.groupBy("institution").pivot("event_type", event_types).agg(F.count("*")).na.fill(0, event_types)
+    return df.groupBy("institution").pivot("event_type", event_types).agg(F.count(F.lit(1))).na.fill(0, event_types)
 
 
 def landing_statistics(files: DataFrame) -> DataFrame:

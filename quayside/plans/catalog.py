@@ -894,7 +894,7 @@ def _stored_files(spark: SparkSession, root: str, stored: DataFrame) -> DataFram
     # A plain file holds at most flush_size records.
     plain = spark.read.format("binaryFile").load(f"{root}/*/*/*.json").select(
         F.col("path").alias("file"),
-        F.posexplode(F.split(F.rtrim(F.col("content").cast("string")), "\n")).alias("at", "line"),
+        F.posexplode(F.split(F.regexp_replace(F.col("content").cast("string"), "\n$", ""), "\n")).alias("at", "line"),
     )
     lines = sealed_lines.unionByName(plain.select("file", F.col("at").cast("bigint"), "line"))
     record_id = F.coalesce(F.get_json_object("line", "$.payload.transactionId"), F.get_json_object("line", "$.key"))

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quayside.functions.once import once
+
 RECORD_COLUMNS = ("key", "value", "topic", "partition", "offset", "timestamp", "timestampType", "headers")
 KAFKA_SCHEMA = (
     "key binary, value binary, topic string, partition int, offset bigint, timestamp timestamp, timestampType int, "
@@ -67,7 +69,7 @@ def with_error(df: DataFrame, stage: str, failed: Column, message: Column | str)
         F.coalesce(failed, F.lit(False)), F.struct(F.lit(stage).alias("stage"), text.alias("message"))
     ).cast(ERROR_TYPE)
     kept = F.coalesce(F.col(ERROR), fresh) if ERROR in df.columns else fresh
-    return df.withColumn(ERROR, kept)
+    return df.withColumn(ERROR, once(kept))
 
 
 def decode_dynamic(df: DataFrame) -> DataFrame:
@@ -76,7 +78,7 @@ def decode_dynamic(df: DataFrame) -> DataFrame:
     A message without a value passes through with a NULL record.
     """
     parsed = F.try_variant_get(F.try_parse_json(F.col("value").cast("string")), "$", "map<string,variant>")
-    df = df.withColumn("record", parsed)
+    df = df.withColumn("record", once(parsed))
     return with_error(
         df, "decode", F.col("value").isNotNull() & F.col("record").isNull(), "value is not a JSON object"
     )
@@ -86,7 +88,7 @@ def decode_typed(df: DataFrame, schema: str | T.StructType) -> DataFrame:
     """Add ``record`` STRUCT from JSON values of a known schema: only the named fields are kept in memory."""
     text = F.col("value").cast("string")
     looks_whole = F.try_parse_json(text).isNotNull() & F.ltrim(text).startswith("{")
-    df = df.withColumn("record", F.when(looks_whole, F.from_json(text, schema)))
+    df = df.withColumn("record", once(F.when(looks_whole, F.from_json(text, schema))))
     return with_error(
         df, "decode", F.col("value").isNotNull() & F.col("record").isNull(), "value is not a JSON object"
     )

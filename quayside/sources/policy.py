@@ -52,6 +52,7 @@ class Policy:
     table: DataFrame
     fallback: Row
     rows: int
+    rule_mode: str | None = None
 
     def attach(self, df: DataFrame, tenant: Column, into: str = "policy") -> DataFrame:
         """Add the tenant's policy as a struct: exact code or else the entire fallback row.
@@ -60,9 +61,13 @@ class Policy:
         """
         names = self.table.columns
         side = self.table.select(F.col("bank").alias("__bank"), F.struct(*names).alias("__found"))
-        fallback = F.struct(
-            *[F.lit(self.fallback[n]).cast(self.table.schema[n].dataType).alias(n) for n in names]
-        )
+
+        def default(name: str) -> Column:
+            if name == "parsed_rules":
+                return rule_array(F.lit(self.fallback["enc_rules"]).cast("string"), self.rule_mode)
+            return F.lit(self.fallback[name])
+
+        fallback = F.struct(*[default(n).cast(self.table.schema[n].dataType).alias(n) for n in names])
         keyed = df.withColumn("__tenant", tenant)
         joined = keyed.join(small_side(side, self.rows), F.col("__tenant") == F.col("__bank"), "left")
         return joined.withColumn(into, F.coalesce(F.col("__found"), fallback)).drop("__bank", "__found", "__tenant")
@@ -70,11 +75,7 @@ class Policy:
     def with_rules(self, mode: str) -> Policy:
         """Parse each tenant's rule string once per tenant instead of once per record."""
         parsed = self.table.withColumn("parsed_rules", rule_array(F.col("enc_rules"), mode))
-        spark = self.table.sparkSession
-        one = spark.createDataFrame([(self.fallback["enc_rules"],)], "enc_rules string")
-        rules = one.select(rule_array(F.col("enc_rules"), mode).alias("r")).first()["r"]
-        values = self.fallback.asDict() | {"parsed_rules": rules}
-        return Policy(parsed, Row(**values), self.rows)
+        return Policy(parsed, self.fallback, self.rows, mode)
 
     def strategies(self) -> set[str]:
         """Strategies in use: a list bounded by the strategy names, not by the tenants."""
