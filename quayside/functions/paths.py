@@ -42,9 +42,8 @@ def time_pattern(text: str) -> str:
 def time_segment(moment: Column, options: LayoutOptions) -> Column:
     """Record time in the layout's zone, floored to the partition duration and formatted."""
     local = moment if options.zone == "UTC" else F.from_utc_timestamp(moment, options.zone)
-    floored = F.timestamp_millis(
-        F.floor(F.unix_millis(local) / F.lit(options.duration_ms)) * F.lit(options.duration_ms)
-    )
+    millis = F.unix_millis(local)
+    floored = F.timestamp_millis(millis - F.pmod(millis, F.lit(options.duration_ms)))
     return F.date_format(floored, time_pattern(options.path_format))
 
 

@@ -42,9 +42,8 @@ def encrypt(
     NULL content or an unknown key id gives NULL. ``header`` is the base64url text bound in as associated data.
     """
     keys, name, text = _work(into, "keys"), _work(into, "header"), _work(into, "content")
-    wanted = F.when(content.isNotNull(), key_id)
     df = df.withColumn(text, once(content)).withColumn(name, F.lit(PLAIN_HEADER) if header is None else once(header))
-    df = df.withColumn(keys, ring.draw_keys()(wanted))
+    df = df.withColumn(keys, ring.draw_keys()(F.when(F.col(text).isNotNull(), key_id)))
     body = F.aes_encrypt(
         F.col(text), F.col(keys)["key"], F.lit("GCM"), F.lit("DEFAULT"), F.col(keys)["iv"],
         F.encode(F.col(name), "US-ASCII"),

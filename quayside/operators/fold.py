@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quayside.functions.headers import header_map, missing
+from quayside.functions.headers import extract, missing
 from quayside.functions.once import once
 from quayside.options import FoldOptions
 from quayside.sources.messages import with_error
@@ -15,7 +15,7 @@ from quayside.sources.messages import with_error
 def fold_headers(df: DataFrame, options: FoldOptions) -> DataFrame:
     """Put the wanted headers into ``record``, inline or by wrapping; rows without a value pass unchanged."""
     present = F.col("record").isNotNull()
-    df = df.withColumn("__wanted", once(header_map(F.col("headers"), options.names)))
+    df = extract(df, options.names, "__wanted")
     if options.mandatory and options.fail_on_missing:
         absent = missing(F.col("__wanted"), options.mandatory)
         df = with_error(

@@ -58,7 +58,7 @@ def rotation_bucket(options: FileOptions) -> Column:
     """Fixed record-time buckets in place of a roll timer; zero when rolling by time is off."""
     if not options.rotate_ms:
         return F.lit(0).cast("bigint")
-    return F.floor(F.unix_millis(F.col("timestamp")) / F.lit(options.rotate_ms)).cast("bigint")
+    return F.call_function("div", F.unix_millis(F.col("timestamp")), F.lit(options.rotate_ms))
 
 
 def assign_files(df: DataFrame, options: FileOptions) -> DataFrame:
@@ -75,7 +75,7 @@ def assign_files(df: DataFrame, options: FileOptions) -> DataFrame:
         df.withColumn("topic", F.coalesce("topic", F.lit("")))
         .withColumn("path", F.coalesce("path", F.lit("")))
         .withColumn("rotation", rotation_bucket(options))
-        .withColumn("__chunk", F.floor(F.col("offset") / F.lit(options.chunk_offsets)).cast("bigint"))
+        .withColumn("__chunk", F.call_function("div", F.col("offset"), F.lit(options.chunk_offsets)))
     )
     sizes = keyed.groupBy(*group, "__chunk").agg(F.count("*").alias("__size"))
     before = Window.partitionBy(*group).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
@@ -88,7 +88,7 @@ def assign_files(df: DataFrame, options: FileOptions) -> DataFrame:
     position = F.col("__start") + F.col("__rank")
     return joined.select(
         *df.columns, "rotation",
-        F.floor(position / F.lit(options.flush_size)).cast("bigint").alias("file_no"),
+        F.call_function("div", position, F.lit(options.flush_size)).alias("file_no"),
         (position % F.lit(options.flush_size)).cast("bigint").alias("line_no"),
     )
 

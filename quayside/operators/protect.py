@@ -149,9 +149,10 @@ def protect(
     fresh = replacement(value, strategy, options, F.col("__clear"), F.col("__rekeyed"))
 
     if isinstance(holder_type, T.MapType):
+        df = df.withColumn("__fresh", once(fresh.cast("variant")))
         bare = F.map_filter(holder, lambda k, _: k != source)
         added = F.map_concat(
-            F.map_filter(bare, lambda k, _: k != target), F.create_map(target, fresh.cast("variant"))
+            F.map_filter(holder, lambda k, _: (k != source) & (k != target)), F.create_map(target, F.col("__fresh"))
         )
         updated = F.when(~changed | (strategy == "NONE"), holder).when(strategy == "REMOVE", bare).otherwise(added)
     else:

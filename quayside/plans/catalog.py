@@ -255,9 +255,8 @@ FOLD = FoldOptions(
     CASE WHEN institution IS NOT NULL THEN 'X-Institution-Id' END, CASE WHEN user_id % 4 <> 0 THEN 'X-User-Id' END) AS listed
 FROM msg""")
 def headers_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = H.header_map(F.col("headers"), FOLD.names)
     listed = F.array_sort(F.filter(F.map_keys("h"), lambda k: ~k.isin("X-Event-Version", "X-Event-Id")))
-    return sample.records(spark, sf_dir).select("offset", found.alias("h")).select(
+    return H.extract(sample.records(spark, sf_dir), FOLD.names, "h").select(
         F.col("offset").alias("record_offset"), F.size("h").cast("bigint").alias("names"),
         F.array_join(listed, ",").alias("listed"),
     )

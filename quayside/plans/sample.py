@@ -114,7 +114,7 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Use every core for key operations when the table is a single small file; larger inputs keep their splits."""
+    """Use every core for costly row work when the table is a single small file; larger inputs keep their splits."""
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
@@ -134,7 +134,7 @@ def as_records(flat: DataFrame) -> DataFrame:
 
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return as_records(messages(spark, sf_dir))
+    return as_records(spread(messages(spark, sf_dir)))
 
 
 def record_stream(spark: SparkSession, sf_dir: str, files_per_trigger: int = 8) -> DataFrame:

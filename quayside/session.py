@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,9 +30,40 @@ def local_session(name: str, cores: int | str = "*", **conf) -> SparkSession:
         builder = builder.config(key.replace("__", "."), value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    return prepare_session(spark)
+
+
+_SHIPPED: set[str] = set()
+
+
+def prepare_session(spark: SparkSession) -> SparkSession:
+    """Runtime settings every job here relies on, and the package for the Python workers."""
+    # Record times are UTC, so paths and windows need the session to agree.
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    # The JVM never compiles methods above 8000 bytes; a fused stage beyond that runs faster as separate projections.
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
+    ship_package(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers; executors on other machines do not have it installed."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    # Spark serves the archive to every executor, so its place on the driver does not matter.
+    archive = os.path.join(tempfile.mkdtemp(prefix="quayside-ship-"), "quayside.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as target:
+        for folder, _, names in os.walk(here):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    target.write(path, os.path.relpath(path, os.path.dirname(here)))
+    context.addPyFile(archive)
+    _SHIPPED.add(context.applicationId)
+
+
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder below the cluster's ``spark.checkpoint.dir``.
 
