@@ -102,8 +102,8 @@ def write_files(frames: DataFrame, root: str, clustered: bool = False) -> DataFr
         target, row, expected = None, None, 0
         for batch in batches:
             done = []
-            for index in range(batch.num_rows):
-                item = batch.slice(index, 1).to_pylist()[0]
+            contents = batch.column("content")
+            for index, item in enumerate(batch.drop_columns(["content"]).to_pylist()):
                 if target is None:
                     target = _Target(system, posixpath.join(base, item["path"], item["name"]))
                     row, expected = {n: item.get(n) for n in WRITTEN.names}, 0
@@ -111,7 +111,7 @@ def write_files(frames: DataFrame, root: str, clustered: bool = False) -> DataFr
                 if item["frame"] != expected or tuple(item[k] for k in FILE_KEY) != identity:
                     raise RuntimeError("frames of a file must arrive together and in order")
                 expected += item["records"]
-                content = item["content"]
+                content = contents[index].as_py()  # one frame at a time
                 if content is None:
                     raise RuntimeError("a frame has no content: it could not be sealed or opened")
                 if item["framing"] == "length":

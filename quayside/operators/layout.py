@@ -10,6 +10,7 @@ from quayside.functions.paths import field_segment, nested, time_segment
 from quayside.options import FileOptions, LayoutOptions
 from quayside.session import require_utc
 from quayside.sources.messages import with_error
+from quayside.sources.policy import Policy
 
 DEAD_LETTER = "_dead_letter"
 FILE_KEY = ["topic", "partition", "path", "rotation", "file_no"]
@@ -30,6 +31,13 @@ def add_path(df: DataFrame, options: LayoutOptions) -> DataFrame:
     return df.withColumn("path", once(F.when(F.col("error").isNull(), whole)))
 
 
+def add_tenant_prefix(df: DataFrame, policy: Policy, tenant: Column) -> DataFrame:
+    """Put each tenant's bucket and path prefix before its path."""
+    joined = policy.attach(df, tenant, "__place")
+    place = F.concat_ws("/", F.col("__place.bucket"), F.col("__place.path_prefix"), F.col("path"))
+    return joined.withColumn("path", F.when(F.col("path").isNotNull(), place)).drop("__place")
+
+
 def route(df: DataFrame) -> DataFrame:
     """One line per record: landed records under their path, failed ones with error context under the dead-letter path.
 

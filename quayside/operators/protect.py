@@ -13,7 +13,7 @@ from quayside.functions.headers import header
 from quayside.functions.once import once
 from quayside.functions.rsa import KeyRing
 from quayside.functions.rules import match_rules, parse
-from quayside.options import CRYPTO_STRATEGIES, ProtectOptions
+from quayside.options import CRYPTO_STRATEGIES, STRATEGIES, ProtectOptions
 from quayside.sources.lookups import attach_key
 from quayside.sources.messages import with_error
 from quayside.sources.policy import Policy
@@ -111,6 +111,9 @@ def protect(
     else:
         df = policy.attach(df, F.col("institution"))
         df = df.withColumn("strategy", F.col("policy")["strategy"])
+        df = with_error(
+            df, "policy", F.col("record").isNotNull() & ~F.col("strategy").isin(*STRATEGIES), "unknown strategy"
+        )
         used = policy.strategies()
         source, target = F.col("policy")["source_field"], F.col("policy")["target_field"]
         private_key = F.col("policy")["private_key"]

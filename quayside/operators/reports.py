@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -34,11 +34,8 @@ def files_per_institution(files: DataFrame) -> DataFrame:
 def error_rates(df: DataFrame) -> DataFrame:
     """Records per failing stage, with the share of all records; stage NULL counts the good ones."""
     counts = df.groupBy(F.col("error")["stage"].alias("stage")).agg(F.count("*").alias("records"))
-    total = counts.agg(F.sum("records").alias("total"))
-    # One row beside a handful of stages.
-    return counts.join(F.broadcast(total)).select(
-        "stage", "records", (F.col("records") / F.col("total")).alias("share")
-    )
+    total = F.sum("records").over(Window.partitionBy(F.lit(0)))  # over one row per stage
+    return counts.select("stage", "records", (F.col("records") / total).alias("share"))
 
 
 def message_rate(df: DataFrame, moment: Column | str, width: str = "1 second") -> DataFrame:

@@ -14,7 +14,7 @@ from quayside.functions.rules import encrypt_decision, match_rules, parse, rule_
 from quayside.operators import bulk, reports
 from quayside.operators.fold import fold_headers
 from quayside.operators.land import keep_tolerated, land_lines, split_errors
-from quayside.operators.layout import add_path, assign_files, json_line, manifest, route
+from quayside.operators.layout import add_path, add_tenant_prefix, assign_files, json_line, manifest, route
 from quayside.operators.protect import Crypto, choose_by_rules, protect
 from quayside.operators.seal import seal_records, unseal
 from quayside.options import FileOptions, FoldOptions, LayoutOptions, ProtectOptions
@@ -64,7 +64,7 @@ def strategy_sql(institution: str) -> str:
 
 
 PROTECT = ProtectOptions(rules=RULES, default_strategy="MASK")
-SHARP = FileOptions(flush_size=5, chunk_offsets=512, frame_bytes=256)
+SHARP = FileOptions(flush_size=10, chunk_offsets=512, frame_bytes=256)
 
 
 def member(record: Column, name: str) -> Column:
@@ -494,7 +494,7 @@ def path_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- files
 
-FILES = """filed AS (SELECT *, (row_number() OVER (PARTITION BY part, path ORDER BY record_offset) - 1) // 5 AS file_no FROM routed)"""
+FILES = """filed AS (SELECT *, (row_number() OVER (PARTITION BY part, path ORDER BY record_offset) - 1) // 10 AS file_no FROM routed)"""
 COARSE = """routed AS (SELECT *, kafka_partition % 2 AS part,
   concat(coalesce(institution, 'UNKNOWN'), '/', strftime(record_ts, 'day=%d')) AS path FROM msg)"""
 
@@ -789,6 +789,17 @@ def policy_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+PLACE = """concat(CASE institution WHEN 'BNK003' THEN 'isolated' ELSE 'landing' END, '/', CASE WHEN institution IN
+  ('BNK001', 'BNK002', 'BNK003', 'HSBC', 'BNPP') THEN lower(institution) ELSE 'default' END, '/', strftime(record_ts, 'day=%d'))"""
+
+
+@query("tenant_paths", f"WITH {MESSAGES} SELECT {PLACE} AS path, count(*) AS records FROM msg GROUP BY 1")
+def tenant_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    flat = sample.messages(spark, sf_dir).withColumn("path", F.date_format("record_ts", "'day='dd"))
+    placed = add_tenant_prefix(flat, sample.policy(spark), F.col("institution"))
+    return placed.groupBy("path").agg(F.count("*").alias("records"))
+
+
 @query("tenant_routing", f"""WITH {MESSAGES} SELECT CASE institution WHEN 'BNK003' THEN 'isolated' ELSE 'landing' END AS bucket,
   CASE WHEN institution IN ('BNK001', 'BNK002', 'BNK003', 'HSBC', 'BNPP') THEN lower(institution) ELSE 'default' END AS path_prefix,
   count(*) AS records FROM msg GROUP BY 1, 2""")
@@ -812,15 +823,25 @@ def key_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- tokens and sealing
 
-@query("jwe_roundtrip", f"""WITH {MESSAGES} SELECT record_offset, pan IS NOT NULL AS whole, pan AS opened, CAST(NULL AS VARCHAR) AS wrong_key FROM msg""")
+@query("jwe_roundtrip", f"""WITH {MESSAGES} SELECT record_offset, pan IS NOT NULL AS whole, pan AS opened FROM msg""")
 def jwe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     ring = sample.key_ring(spark)
     flat = sample.spread(sample.messages(spark, sf_dir).select("record_offset", "pan"))
     sealed = tokens.encrypt_text(flat, F.col("pan"), F.lit("keys/private"), ring, "token")
     opened = tokens.decrypt_text(sealed, F.col("token"), F.lit("keys/private"), ring, "opened")
-    opened = tokens.decrypt_text(opened, F.col("token"), F.lit("keys/partner-1"), ring, "wrong_key")
     return opened.select(
-        "record_offset", F.coalesce(masking.is_token(F.col("token")), F.lit(False)).alias("whole"), "opened", "wrong_key"
+        "record_offset", F.coalesce(masking.is_token(F.col("token")), F.lit(False)).alias("whole"), "opened"
+    )
+
+
+@query("jwe_wrong_key", f"""WITH {MESSAGES} SELECT count(*) AS records, count(pan) AS tokens, CAST(0 AS BIGINT) AS opened FROM msg""")
+def jwe_wrong_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ring = sample.key_ring(spark)
+    flat = sample.spread(sample.messages(spark, sf_dir).select("pan"))
+    sealed = tokens.encrypt_text(flat, F.col("pan"), F.lit("keys/private"), ring, "token")
+    opened = tokens.decrypt_text(sealed, F.col("token"), F.lit("keys/partner-1"), ring, "wrong")
+    return opened.agg(
+        F.count("*").alias("records"), F.count("token").alias("tokens"), F.count("wrong").alias("opened")
     )
 
 

@@ -77,14 +77,6 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` once in the shared folder so that later passes do not recompute it."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(df.sparkSession, "checkpoint"))
-    return df.checkpoint()
-
-
 def require_utc(spark: SparkSession) -> None:
     zone = spark.conf.get("spark.sql.session.timeZone")
     if zone not in ("UTC", "Etc/UTC", "GMT", "Z", "+00:00"):

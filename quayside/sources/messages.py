@@ -18,6 +18,7 @@ KAFKA_SCHEMA = (
     "headers array<struct<key:string,value:binary>>"
 )
 ERROR = "error"
+FLAW = "__flaw"
 ERROR_TYPE = "struct<stage:string,message:string>"
 
 
@@ -85,10 +86,16 @@ def decode_dynamic(df: DataFrame) -> DataFrame:
 
 
 def decode_typed(df: DataFrame, schema: str | T.StructType) -> DataFrame:
-    """Add ``record`` STRUCT from JSON values of a known schema: only the named fields are kept in memory."""
+    """Add ``record`` STRUCT from JSON values of a known schema: only the named fields are kept in memory.
+
+    A value that is no JSON object, or has a field that does not fit its type, is an error.
+    """
     text = F.col("value").cast("string")
-    looks_whole = F.try_parse_json(text).isNotNull() & F.ltrim(text).startswith("{")
-    df = df.withColumn("record", once(F.when(looks_whole, F.from_json(text, schema))))
+    with_flaw = schema.add(FLAW, "string") if isinstance(schema, T.StructType) else f"{schema}, {FLAW} string"
+    parsed = once(F.from_json(text, with_flaw, {"columnNameOfCorruptRecord": FLAW}))
+    df = df.withColumn("__parsed", parsed)
+    whole = F.ltrim(text).startswith("{") & F.col("__parsed")[FLAW].isNull()
+    df = df.withColumn("record", once(F.when(whole, F.col("__parsed").dropFields(FLAW)))).drop("__parsed")
     return with_error(
         df, "decode", F.col("value").isNotNull() & F.col("record").isNull(), "value is not a JSON object"
     )

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.functions.rules import rule_array
-from quayside.options import SOURCE_FIELD, TARGET_FIELD
+from quayside.options import SOURCE_FIELD, STRATEGIES, TARGET_FIELD
 from quayside.session import bounded_count, small_side
 
 # Member names of the policy document.
@@ -79,7 +79,8 @@ class Policy:
 
     def strategies(self) -> set[str]:
         """Strategies in use: a list bounded by the strategy names, not by the tenants."""
-        found = {r[0] for r in self.table.select("strategy").distinct().collect()}
+        known = self.table.where(F.col("strategy").isin(*STRATEGIES))
+        found = {r[0] for r in known.select("strategy").distinct().collect()}
         return (found | {self.fallback["strategy"]}) - {None}
 
 
