@@ -1,0 +1,77 @@
+from __future__ import annotations
+
+import json
+
+import pytest
+
+from quayside.operators.land import keep_tolerated
+from quayside.operators.layout import route
+from quayside.options import FoldOptions, LayoutOptions, ProtectOptions
+from quayside.plans import catalog, sample
+from quayside.plans.chain import Chain, Connector, fold_step, protect_step, seal_step
+from quayside.sources.messages import decode_dynamic
+
+SOURCE = "encryptedPrimaryAccountNumber"
+WRAP = FoldOptions(optional=("X-Event-Id",), wrap=True)
+
+
+def test_an_order_that_leaves_the_field_in_the_clear_is_refused():
+    with pytest.raises(ValueError, match="payload.encryptedPrimaryAccountNumber"):
+        Chain([fold_step(WRAP), protect_step(ProtectOptions())])
+    Chain([fold_step(WRAP), protect_step(ProtectOptions(source_field=f"payload.{SOURCE}"))])
+    Chain([fold_step(FoldOptions()), protect_step(ProtectOptions())])
+
+
+def test_nothing_follows_sealing(spark, ring):
+    with pytest.raises(ValueError):
+        Chain([seal_step(sample.policy(spark), ring), fold_step(WRAP)])
+
+
+def test_connector_configuration(messages):
+    config = dict(catalog.CONNECTOR) | {"transforms.hide.type": "com.example.Hide", "rotate.schedule.interval.ms": "3600000"}
+    connector = Connector.from_config(config, {"com.example.Hide": "protect"})
+    assert [s.kind for s in connector.chain.steps] == ["protect", "fold", "path"]
+    assert connector.files.flush_size == 5 and connector.schedule_ms == 3_600_000 and connector.tolerance == "all"
+    heads = {"X-Institution-Id": "BNK001", "X-Event-Type": "PAYMENT", "X-Event-Version": "1.0", "X-Event-Id": "e"}
+    df = messages((heads, json.dumps({"a": 1, SOURCE: "4532015112830366"})), ({}, "{}"))
+    landed = keep_tolerated(connector.prepare(df), connector.tolerance).collect()
+    assert [r["path"] for r in landed] == ["BNK001/PAYMENT/1.0/year=2026/month=02/day=02/hour=14"]
+    lines = {r["path"]: json.loads(r["line"]) for r in route(connector.prepare(df)).collect()}
+    assert lines[landed[0]["path"]]["payload"] == {"a": 1, "primaryAccountNumber": "453201******0366"}
+    dead = lines["_dead_letter/partition"]
+    assert dead["stage"] == "partition" and dead["value"] == "{}" and dead["offset"] == 1
+    with pytest.raises(ValueError, match="unknown type"):
+        Connector.from_config(config)
+
+
+def test_the_other_shipped_order_is_refused():
+    config = dict(catalog.CONNECTOR) | {"transforms": "extract,hide"}
+    with pytest.raises(ValueError, match="already wrapped"):
+        Connector.from_config(config)
+
+
+def test_seal_step_keeps_paths(spark, ring, messages):
+    config = dict(catalog.CONNECTOR) | {"transforms": "hide,extract,lock", "transforms.lock.type": "seal"}
+    with pytest.raises(ValueError):
+        Connector.from_config(config)
+    connector = Connector.from_config(config, policy=sample.policy(spark), ring=ring)
+    assert [s.kind for s in connector.chain.steps] == ["protect", "fold", "path", "seal"] and connector.chain.costly
+    heads = {"X-Institution-Id": "HSBC", "X-Event-Type": "P", "X-Event-Version": "1.0", "X-Event-Id": "e"}
+    row = connector.prepare(messages((heads, "{}"))).first()
+    assert row["sealed"] and row["path"].startswith("HSBC/P/1.0/") and row["error"] is None
+
+
+def test_defaults_are_the_documented_ones():
+    options = ProtectOptions.from_properties({})
+    assert (options.default_strategy, options.source_field, options.target_field) == ("REMOVE", SOURCE, "primaryAccountNumber")
+    assert (options.mask_prefix, options.mask_suffix, options.mask_character) == (6, 4, "*")
+    assert ProtectOptions(default_strategy="MASK", strategy="remove").default_strategy == "REMOVE"
+    assert FoldOptions.from_properties({}).fail_on_missing and not FoldOptions.from_properties({}).wrap
+    assert LayoutOptions.from_properties({}).labelled
+    heads = LayoutOptions(("headers.X-Institution-Id", "x")).with_defaults()
+    assert heads.defaults == (("headers.X-Institution-Id", "UNKNOWN"),)
+
+
+def test_decoded_once(messages):
+    df = Chain([protect_step(ProtectOptions())])(decode_dynamic(messages(({}, "{}"))))
+    assert df.first()["record"] is not None
