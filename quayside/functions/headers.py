@@ -34,14 +34,15 @@ def map_of(values: dict[str, Column]) -> Column:
     return F.map_from_entries(F.filter(F.array(*pairs), lambda p: p["value"].isNotNull()))
 
 
-def extract(df: DataFrame, names: tuple[str, ...], into: str) -> DataFrame:
-    """Add MAP<STRING,STRING> of the listed headers that have a value; the last non-null occurrence wins."""
-    columns = {f"__{into}_{i}": name for i, name in enumerate(names)}
-    df = df.withColumns({c: once(header(F.col("headers"), n, "last_non_null")) for c, n in columns.items()})
-    return df.withColumn(into, once(map_of({n: F.col(c) for c, n in columns.items()}))).drop(*columns)
+def split_out(df: DataFrame, names: tuple[str, ...], into: str) -> tuple[DataFrame, dict[str, Column]]:
+    """Add one helper column per name (last non-null occurrence); returns them by header name."""
+    columns = {n: f"__{into}_{i}" for i, n in enumerate(names)}
+    df = df.withColumns({c: once(header(F.col("headers"), n, "last_non_null")) for n, c in columns.items()})
+    return df, {n: F.col(c) for n, c in columns.items()}
 
 
-def missing(extracted: Column, mandatory: tuple[str, ...]) -> Column:
-    """ARRAY<STRING> of mandatory names without a value."""
-    wanted = F.array(*[F.lit(n) for n in mandatory]).cast("array<string>")
-    return F.array_except(wanted, F.map_keys(extracted))
+def extract(df: DataFrame, names: tuple[str, ...], into: str) -> DataFrame:
+    """Add MAP<STRING,STRING> of the listed headers that have a value."""
+    before = df.columns
+    df, values = split_out(df, names, into)
+    return df.select(*before, once(map_of(values)).alias(into))

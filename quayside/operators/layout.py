@@ -9,7 +9,7 @@ from quayside.functions.once import once
 from quayside.functions.paths import field_segment, nested, time_segment
 from quayside.options import FileOptions, LayoutOptions
 from quayside.session import require_utc
-from quayside.sources.messages import with_error
+from quayside.sources.messages import first_error
 from quayside.sources.policy import Policy
 
 DEAD_LETTER = "_dead_letter"
@@ -19,16 +19,23 @@ FILE_KEY = ["topic", "partition", "path", "rotation", "file_no"]
 def add_path(df: DataFrame, options: LayoutOptions) -> DataFrame:
     """Add ``path``; a missing record or partition field is an error row unless the layout names a default."""
     require_utc(df.sparkSession)
-    df = with_error(df, "partition", F.col("record").isNull(), "record has no value")
     values = {name: nested(df, name) for name in options.fields}
     defaults = dict(options.defaults)
-    for name, value in values.items():
-        if name not in defaults:
-            df = with_error(df, "partition", value.isNull(), f"partition field {name} is null")
+    checks = [("partition", F.col("record").isNull(), "record has no value")]
+    checks += [
+        ("partition", value.isNull(), f"partition field {name} is null")
+        for name, value in values.items() if name not in defaults
+    ]
     when = time_segment(F.col("timestamp"), options)
-    fields = field_segment(values, options)
-    whole = F.concat_ws(options.delimiter, fields, when) if options.fields else when
-    return df.withColumn("path", once(F.when(F.col("error").isNull(), whole)))
+    fields = field_segment(values, options)  # NULL when a field without default is
+    whole = F.concat(fields, F.lit(options.delimiter), when) if options.fields else when
+    fine = F.col("record").isNotNull()
+    if "error" in df.columns:
+        fine = fine & F.col("error").isNull()
+    return df.select(
+        *[c for c in df.columns if c not in ("error", "path")], first_error(df, *checks).alias("error"),
+        once(F.when(fine, whole)).alias("path"),
+    )
 
 
 def add_tenant_prefix(df: DataFrame, policy: Policy, tenant: Column) -> DataFrame:
@@ -49,12 +56,12 @@ def route(df: DataFrame) -> DataFrame:
         "topic", "partition", "offset", F.col("key").cast("string").alias("key"),
         F.col("value").cast("string").alias("value"),
     ), {"ignoreNullFields": "false"})
-    return (
-        df.withColumn("line", once(F.when(failed, context).otherwise(json_line(F.col("record")))))
-        .withColumn(
-            "path", F.when(failed, F.concat(F.lit(f"{DEAD_LETTER}/"), F.col("error")["stage"])).otherwise(F.col("path"))
-        )
-    )
+    return df.withColumns({
+        "line": once(F.when(failed, context).otherwise(json_line(F.col("record")))),
+        "path": once(
+            F.when(failed, F.concat(F.lit(f"{DEAD_LETTER}/"), F.col("error")["stage"])).otherwise(F.col("path"))
+        ),
+    })
 
 
 def json_line(record: Column) -> Column:

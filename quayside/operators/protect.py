@@ -15,7 +15,7 @@ from quayside.functions.rsa import KeyRing
 from quayside.functions.rules import match_rules, parse
 from quayside.options import CRYPTO_STRATEGIES, STRATEGIES, ProtectOptions
 from quayside.sources.lookups import attach_key
-from quayside.sources.messages import with_error
+from quayside.sources.messages import first_error, with_error
 from quayside.sources.policy import Policy
 
 
@@ -101,8 +101,7 @@ def protect(
         "event_type": once(header(F.col("headers"), names.event_type, "first")),
         "event_version": once(header(F.col("headers"), names.version, "first")),
     })
-    if "error" not in df.columns:
-        df = with_error(df, "protect", F.lit(False), "")
+    unknown = []
     if policy is None:
         df = choose_by_rules(df, options)
         used = {r.outcome for r in parse(options.rules, "strict")} | {options.default_strategy}
@@ -111,22 +110,18 @@ def protect(
     else:
         df = policy.attach(df, F.col("institution"))
         df = df.withColumn("strategy", F.col("policy")["strategy"])
-        df = with_error(
-            df, "policy", F.col("record").isNotNull() & ~F.col("strategy").isin(*STRATEGIES), "unknown strategy"
-        )
+        unlisted = F.col("record").isNotNull() & ~F.col("strategy").isin(*STRATEGIES)
+        unknown.append(("policy", unlisted, "unknown strategy"))
         used = policy.strategies()
         source, target = F.col("policy")["source_field"], F.col("policy")["target_field"]
         private_key = F.col("policy")["private_key"]
     strategy = F.col("strategy")
 
+    odd = F.lit(False)
     if isinstance(holder_type, T.MapType):
         found = holder.isNotNull() & F.map_contains_key(holder, source)
         stored = F.try_element_at(holder, source)
-        touched = found & (strategy != "NONE")
         odd = ~F.coalesce(F.schema_of_variant(stored).isin("STRING", "VOID"), F.lit(True))
-        df = with_error(
-            df, "protect", touched & (strategy != "REMOVE") & odd, "the sensitive field is not a string"
-        )
         value = F.try_variant_get(stored, "$", "string")
     else:
         if policy is not None:
@@ -136,14 +131,14 @@ def protect(
         if source_name not in holder_type.fieldNames():
             return df.select(*before, *[c for c in ("error", "strategy") if c not in before])
         found = holder.isNotNull()
-        touched = found & (strategy != "NONE")
         if not isinstance(holder_type[source_name].dataType, T.StringType):
-            df = with_error(
-                df, "protect", touched & (strategy != "REMOVE") & holder[source_name].isNotNull(),
-                "the sensitive field is not a string",
-            )
+            odd = holder[source_name].isNotNull()
         value = holder[source_name].cast("string")
-    df = df.withColumns({"__value": once(F.when(found, value)), "__touched": once(touched)})
+    touched = found & (strategy != "NONE")
+    wrong = ("protect", touched & (strategy != "REMOVE") & odd, "the sensitive field is not a string")
+    df = df.withColumns({
+        "__value": once(F.when(found, value)), "__touched": once(touched), "error": first_error(df, *unknown, wrong),
+    })
     value, touched = F.col("__value"), F.col("__touched")
     df = apply_crypto(
         df, value, F.when(touched, strategy), F.col("institution"), private_key, crypto, used
@@ -152,10 +147,9 @@ def protect(
     fresh = replacement(value, strategy, options, F.col("__clear"), F.col("__rekeyed"))
 
     if isinstance(holder_type, T.MapType):
-        df = df.withColumn("__fresh", once(fresh.cast("variant")))
         bare = F.map_filter(holder, lambda k, _: k != source)
         added = F.map_concat(
-            F.map_filter(holder, lambda k, _: (k != source) & (k != target)), F.create_map(target, F.col("__fresh"))
+            F.map_filter(holder, lambda k, _: (k != source) & (k != target)), F.create_map(target, fresh.cast("variant"))
         )
         updated = F.when(~changed | (strategy == "NONE"), holder).when(strategy == "REMOVE", bare).otherwise(added)
     else:

@@ -63,14 +63,22 @@ def read_record_files(
     return reader.parquet(path)
 
 
+def first_error(df: DataFrame, *checks: tuple[str, Column, Column | str]) -> Column:
+    """The row's error so far, or else that of the first (stage, failed, message) check that fails.
+
+    Messages never contain field values.
+    """
+    found = []
+    for stage, failed, message in checks:
+        text = F.lit(message) if isinstance(message, str) else message
+        found.append(F.when(failed, F.struct(F.lit(stage).alias("stage"), text.alias("message"))))
+    before = [F.col(ERROR)] if ERROR in df.columns else [F.lit(None).cast(ERROR_TYPE)]
+    return once(F.coalesce(*before, *found).cast(ERROR_TYPE))
+
+
 def with_error(df: DataFrame, stage: str, failed: Column, message: Column | str) -> DataFrame:
-    """Mark rows that fail here; the first failure of a row is the one kept. Messages never contain field values."""
-    text = F.lit(message) if isinstance(message, str) else message
-    fresh = F.when(
-        F.coalesce(failed, F.lit(False)), F.struct(F.lit(stage).alias("stage"), text.alias("message"))
-    ).cast(ERROR_TYPE)
-    kept = F.coalesce(F.col(ERROR), fresh) if ERROR in df.columns else fresh
-    return df.withColumn(ERROR, once(kept))
+    """Mark rows that fail here; the first failure of a row is the one kept."""
+    return df.withColumn(ERROR, first_error(df, (stage, failed, message)))
 
 
 def decode_dynamic(df: DataFrame) -> DataFrame:
