@@ -40,8 +40,6 @@ def prepare_session(spark: SparkSession) -> SparkSession:
     """Runtime settings every job here relies on, and the package for the Python workers."""
     # Record times are UTC, so paths and windows need the session to agree.
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    # The JVM never compiles methods above 8000 bytes; a fused stage beyond that runs faster as separate projections.
-    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
     ship_package(spark)
     return spark
 
