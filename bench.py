@@ -22,7 +22,6 @@ HEADLINE = [
     "encrypt_decision_file", "file_manifest", "report_strategy_counts", "report_matrix", "report_rate", "land_lines",
     "jwe_roundtrip", "stream_lines", "land_sealed_files",
 ]
-SLOW = ("land_sealed_files", "stream_lines", "jwe_roundtrip", "protect_by_policy")
 RUNS = int(os.environ.get("BENCH_RUNS", "3"))
 
 
@@ -42,8 +41,8 @@ def main() -> None:
     seconds: dict[str, float] = {}
     for name in HEADLINE:
         taken = []
-        # The first run warms the JVM and the Python workers; the slow write queries are repeated once.
-        for _ in range(1 + (1 if name in SLOW else RUNS)):
+        # The first run warms the JVM and the Python workers.
+        for _ in range(1 + RUNS):
             start = time.perf_counter()
             queries[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
             taken.append(time.perf_counter() - start)

@@ -47,6 +47,16 @@ def time_segment(moment: Column, options: LayoutOptions) -> Column:
     return F.date_format(floored, time_pattern(options.path_format))
 
 
+def safe_segment(value: Column) -> Column:
+    """A field value as one folder name: it can neither leave its folder, nor hide, nor look like a folder of this package.
+
+    ``%`` and ``/`` are percent-escaped, as are a leading ``.`` or ``_``; an empty value is a lone ``%``.
+    """
+    flat = F.replace(F.replace(value, F.lit("%"), F.lit("%25")), F.lit("/"), F.lit("%2F"))
+    flat = F.regexp_replace(F.regexp_replace(flat, "^[.]", "%2E"), "^_", "%5F")
+    return F.when(value == "", F.lit("%")).otherwise(flat)
+
+
 def field_segment(values: dict[str, Column], options: LayoutOptions) -> Column:
     """Field values in order, each bare or as ``name=value`` under its full dotted name; NULL if any is NULL."""
     defaults = dict(options.defaults)
@@ -55,6 +65,7 @@ def field_segment(values: dict[str, Column], options: LayoutOptions) -> Column:
         value = values[name]
         if name in defaults:
             value = F.coalesce(value, F.lit(defaults[name]))
+        value = safe_segment(value)
         pieces.append(F.concat(F.lit(f"{name}="), value) if options.labelled else value)
         pieces.append(F.lit(options.delimiter))
     return F.concat(*pieces[:-1]) if pieces else F.lit(None).cast("string")

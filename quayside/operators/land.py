@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import posixpath
+import re
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.operators.layout import FILE_KEY
@@ -43,6 +44,16 @@ def keep_tolerated(df: DataFrame, tolerance: str = "all") -> DataFrame:
     )
 
 
+def checked(df: DataFrame, tolerance: str = "all") -> DataFrame:
+    """All rows for dead-letter landing with the tolerance ``all``; with ``none`` the first error row fails the job."""
+    if tolerance == "all":
+        return df
+    if tolerance != "none":
+        raise ValueError(f"unknown tolerance: {tolerance}")
+    none_left = F.lit(None).cast(df.schema["error"].dataType)
+    return keep_tolerated(df, "none").withColumn("error", none_left)
+
+
 def split_errors(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(good, dead letters). Dead letters keep the original message and where it failed."""
     good = df.where(F.col("error").isNull()).drop("error")
@@ -77,13 +88,63 @@ class _Target:
             self.system.move(self.temporary, self.path)
 
 
+# Schemes of the cluster's file systems, and what the Arrow side calls them.
+_SCHEMES = {"file": "file", "hdfs": "hdfs", "s3": "s3", "s3a": "s3", "s3n": "s3", "gs": "gs", "abfs": "abfs", "abfss": "abfss"}
+_SCHEME = re.compile("[A-Za-z][A-Za-z0-9+.-]*:")
+
+
+def arrow_uri(root: str) -> str:
+    """The folder as the Arrow side names it; an unknown scheme is an error."""
+    scheme, _, rest = root.partition(":")
+    if scheme not in _SCHEMES:
+        raise ValueError(f"cannot write named files to {scheme}: use one of {', '.join(sorted(_SCHEMES))}")
+    if scheme == "file":
+        return f"file:///{rest.lstrip('/')}"
+    return f"{_SCHEMES[scheme]}:{rest}"
+
+
+def shared_root(spark: SparkSession, root: str) -> str:
+    """``root`` with its scheme, resolved once on the driver so that tasks and Spark's own writers mean the same place.
+
+    A folder without scheme lies on the cluster's default file system. If that is the local one, only a local master may use it:
+    each executor would write to its own disk.
+    """
+    if not _SCHEME.match(root):
+        default = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS") or "file:///"
+        if default.startswith("file:"):
+            if not spark.sparkContext.master.startswith("local"):
+                raise ValueError(f"{root} would lie on each executor's own disk: name it with a scheme")
+            root = f"file://{posixpath.abspath(root)}"
+        else:
+            root = f"{default.rstrip('/')}/{root.lstrip('/')}"
+    arrow_uri(root)
+    return root
+
+
+def below(base: str, *parts: str) -> str:
+    """``base`` and the parts joined; an error if any part could lead out of ``base``."""
+    joined = "/".join(p for p in parts if p)
+    if any(p in ("", ".", "..") for p in joined.split("/")):
+        raise ValueError("a file's path must stay below the landing root")
+    return posixpath.join(base, joined)
+
+
 def _file_system(root: str) -> tuple[fs.FileSystem, str]:
-    if "://" in root or root.startswith("file:"):
-        return fs.FileSystem.from_uri(root)
-    return fs.LocalFileSystem(), root
+    """The file system of a folder or file, and its path there; names may hold characters that a URI may not."""
+    scheme, _, rest = arrow_uri(root if _SCHEME.match(root) else f"file:{posixpath.abspath(root)}").partition("://")
+    if scheme == "file":
+        return fs.LocalFileSystem(), rest
+    authority, _, path = rest.partition("/")
+    system, base = fs.FileSystem.from_uri(f"{scheme}://{authority}")
+    return system, f"{base.rstrip('/')}/{path}"
 
 
-def write_files(frames: DataFrame, root: str, clustered: bool = False) -> DataFrame:
+def _remove(system: fs.FileSystem, path: str) -> None:
+    if system.get_file_info(path).type == fs.FileType.File:
+        system.delete_file(path)
+
+
+def write_files(frames: DataFrame, root: str, clustered: bool = False, roots: Mapping[str, str] | None = None) -> DataFrame:
     """Write each file's frames, in order, to ``root/path/name``; returns one manifest row per file when evaluated.
 
     Rows are clustered by file and sorted inside their task, then streamed: a task holds a few frames at a time. Names
@@ -91,21 +152,29 @@ def write_files(frames: DataFrame, root: str, clustered: bool = False) -> DataFr
     ``framing`` says how frames are told apart: by ``line``, by a ``length`` prefix, or not at all (``raw``).
     ``clustered`` skips the shuffle for frames that still lie file by file, as ``file_frames`` leaves them; the write
     fails rather than produce a file with a missing or misplaced frame.
+    ``roots`` gives the landing root of each bucket, the first folder of a tenant's path; other paths lie below ``root``.
     """
     wanted = frames.select(
         *FILE_KEY, "name", "start_offset", "frame", "records", "last", "content", "sealed", "framing",
+        (F.col("siblings") if "siblings" in frames.columns else F.lit(None).cast("array<string>")).alias("siblings"),
         (F.col("institution") if "institution" in frames.columns else F.lit(None).cast("string")).alias("institution"),
     )
 
+    spark = frames.sparkSession
+    root, buckets = shared_root(spark, root), {name: shared_root(spark, place) for name, place in (roots or {}).items()}
+
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        system, base = _file_system(root)
+        systems = {name: _file_system(place) for name, place in {**buckets, "": root}.items()}
         target, row, expected = None, None, 0
         for batch in batches:
             done = []
             contents = batch.column("content")
             for index, item in enumerate(batch.drop_columns(["content"]).to_pylist()):
                 if target is None:
-                    target = _Target(system, posixpath.join(base, item["path"], item["name"]))
+                    bucket, _, rest = item["path"].partition("/")
+                    bucket, folder = (bucket, rest) if bucket in buckets else ("", item["path"])
+                    system, base = systems[bucket]
+                    target = _Target(system, below(base, folder, item["name"]))
                     row, expected = {n: item.get(n) for n in WRITTEN.names}, 0
                     row["name"], identity = item["name"], tuple(item[k] for k in FILE_KEY)
                 if item["frame"] != expected or tuple(item[k] for k in FILE_KEY) != identity:
@@ -121,6 +190,9 @@ def write_files(frames: DataFrame, root: str, clustered: bool = False) -> DataFr
                     target.write(b"\n")
                 if item["last"]:
                     target.close()
+                    # Sealed or plain is part of the name: after a change of policy a replay must not leave both.
+                    for stale in item["siblings"] or ():
+                        _remove(system, below(base, folder, stale))
                     done.append({**row, "records": expected, "bytes": target.size})
                     target = None
             if done:
@@ -133,11 +205,12 @@ def write_files(frames: DataFrame, root: str, clustered: bool = False) -> DataFr
 
 
 def land_files(
-    frames: DataFrame, root: str, manifest_path: str, mode: str = "append", clustered: bool = False
+    frames: DataFrame, root: str, manifest_path: str, mode: str = "append", clustered: bool = False,
+    roots: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Write the files once and store their manifest; returns the stored manifest.
 
     The manifest is one Spark write, so a failed job leaves no rows for files of its unfinished tasks.
     """
-    write_files(frames, root, clustered).write.mode(mode).parquet(manifest_path)
+    write_files(frames, root, clustered, roots).write.mode(mode).parquet(manifest_path)
     return frames.sparkSession.read.parquet(manifest_path)

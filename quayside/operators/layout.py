@@ -9,7 +9,7 @@ from quayside.functions.once import once
 from quayside.functions.paths import field_segment, nested, time_segment
 from quayside.options import FileOptions, LayoutOptions
 from quayside.session import require_utc
-from quayside.sources.messages import first_error
+from quayside.sources.messages import first_error, with_error
 from quayside.sources.policy import Policy
 
 DEAD_LETTER = "_dead_letter"
@@ -21,7 +21,11 @@ def add_path(df: DataFrame, options: LayoutOptions) -> DataFrame:
     require_utc(df.sparkSession)
     values = {name: nested(df, name) for name in options.fields}
     defaults = dict(options.defaults)
-    checks = [("partition", F.col("record").isNull(), "record has no value")]
+    timed = F.col("timestamp").isNotNull()
+    checks = [
+        ("partition", F.col("record").isNull(), "record has no value"),
+        ("partition", ~timed, "record has no timestamp"),
+    ]
     checks += [
         ("partition", value.isNull(), f"partition field {name} is null")
         for name, value in values.items() if name not in defaults
@@ -29,7 +33,7 @@ def add_path(df: DataFrame, options: LayoutOptions) -> DataFrame:
     when = time_segment(F.col("timestamp"), options)
     fields = field_segment(values, options)  # NULL when a field without default is
     whole = F.concat(fields, F.lit(options.delimiter), when) if options.fields else when
-    fine = F.col("record").isNotNull()
+    fine = F.col("record").isNotNull() & timed
     if "error" in df.columns:
         fine = fine & F.col("error").isNull()
     return df.select(
@@ -50,20 +54,63 @@ def route(df: DataFrame) -> DataFrame:
 
     Both kinds leave in one job, so nothing upstream (decryption above all) runs twice to split them.
     """
+    landed = json_line(F.col("record"))
+    if "sealed" in df.columns:
+        # Sealed text is the whole line. A row that should be sealed and is not must never land in the clear.
+        df = with_error(df, "seal", F.col("sealed") & F.col("sealed_value").isNull(), "record could not be sealed")
+        landed = F.when(F.col("sealed"), F.col("sealed_value")).otherwise(landed)
     failed = F.col("error").isNotNull()
-    context = F.to_json(F.struct(
-        F.col("error")["stage"].alias("stage"), F.col("error")["message"].alias("message"),
-        "topic", "partition", "offset", F.col("key").cast("string").alias("key"),
-        F.col("value").cast("string").alias("value"),
-    ), {"ignoreNullFields": "false"})
     return df.withColumns({
-        "line": once(F.when(failed, context).otherwise(json_line(F.col("record")))),
+        "line": once(F.when(failed, dead_letter(df)).otherwise(landed)),
         "path": once(
             F.when(failed, F.concat(F.lit(f"{DEAD_LETTER}/"), F.col("error")["stage"])).otherwise(F.col("path"))
         ),
     })
 
 
+def dead_letter(df: DataFrame) -> Column:
+    """The original message and where it failed, as one JSON text.
+
+    ``key`` and ``value`` are for reading; ``message_bytes`` has the exact key, value and header bytes in base64, so that
+    :func:`read_dead_letters` gives the message back as it came.
+    """
+    def given(name: str, column: Column) -> list[Column]:
+        return [column] if name in df.columns else []
+
+    headers = F.transform("headers", lambda h: F.struct(h["key"].alias("key"), F.base64(h["value"]).alias("value")))
+    exact = [
+        F.base64("key").alias("key"), F.base64("value").alias("value"),
+        *given("headers", headers.alias("headers")),
+        *given("timestamp", F.unix_micros("timestamp").alias("timestamp_micros")),
+        *given("timestampType", F.col("timestampType")),
+    ]
+    return F.to_json(F.struct(
+        F.col("error")["stage"].alias("stage"), F.col("error")["message"].alias("message"),
+        "topic", "partition", "offset", F.col("key").cast("string").alias("key"),
+        F.col("value").cast("string").alias("value"), F.struct(*exact).alias("message_bytes"),
+    ), {"ignoreNullFields": "false"})
+
+
+DEAD_LETTER_SCHEMA = (
+    "stage string, message string, topic string, partition int, offset bigint, message_bytes struct<key:string,value:string,"
+    "headers:array<struct<key:string,value:string>>,timestamp_micros:bigint,timestampType:int>"
+)
+
+
+def read_dead_letters(lines: DataFrame, column: str = "value") -> DataFrame:
+    """Landed dead letters as messages again, in the shape of the Kafka source, with ``stage`` and ``message``."""
+    letter = F.from_json(F.col(column), DEAD_LETTER_SCHEMA)
+    read = lines.select(letter.alias("d"))
+    exact = F.col("d.message_bytes")
+    return read.select(
+        F.unbase64(exact["key"]).alias("key"), F.unbase64(exact["value"]).alias("value"),
+        F.col("d.topic").alias("topic"), F.col("d.partition").alias("partition"), F.col("d.offset").alias("offset"),
+        F.timestamp_micros(exact["timestamp_micros"]).alias("timestamp"), exact["timestampType"].alias("timestampType"),
+        F.transform(exact["headers"], lambda h: F.struct(h["key"].alias("key"), F.unbase64(h["value"]).alias("value"))).alias("headers"),
+        F.col("d.stage").alias("stage"), F.col("d.message").alias("message"),
+    )
+
+
 def json_line(record: Column) -> Column:
     """A record as one JSON text with explicit nulls; a missing record is the word ``null``."""
     return F.coalesce(F.to_json(record, {"ignoreNullFields": "false"}), F.lit("null"))

@@ -77,10 +77,7 @@ def apply_crypto(
     else:
         df = attach_key(df, tenant, crypto.partners, "__partner", crypto.as_of, again)
         df = tokens.encrypt_text(df, F.when(again, F.col("__clear")), F.col("__partner"), crypto.ring, "__rekeyed")
-        known = F.array(*[F.lit(k) for k in crypto.ring.public_ids()]).cast("array<string>")
-        df = with_error(
-            df, "key", again & ~F.array_contains(known, F.coalesce("__partner", F.lit(""))), "public key is not loaded"
-        ).drop("__partner")
+        df = with_error(df, "key", again & F.col("__rekeyed").isNull(), "public key is not loaded").drop("__partner")
     return df.drop("__needs")
 
 
@@ -93,7 +90,9 @@ def protect(
     A dotted source field reaches into a wrapped record.
     """
     box, _, source_name = options.source_field.rpartition(".")
-    holder = F.col("record")[box] if box else F.col("record")
+    holder = F.col("record")
+    for part in box.split(".") if box else ():
+        holder = holder[part]
     holder_type = df.select(holder.alias("h")).schema["h"].dataType
     names, before = options.names, df.columns
     df = df.withColumns({
@@ -135,9 +134,16 @@ def protect(
             odd = holder[source_name].isNotNull()
         value = holder[source_name].cast("string")
     touched = found & (strategy != "NONE")
+    # What a strategy lacks is an error whether or not the record has the field.
+    lacking = [
+        ("protect", holder.isNotNull() & strategy.isin(*CRYPTO_STRATEGIES) & private_key.isNull(),
+         "decrypting strategies need a private key"),
+        ("key", holder.isNotNull() & (strategy == "REKEY") & F.col("institution").isNull(),
+         "re-encryption needs an institution"),
+    ] if used & set(CRYPTO_STRATEGIES) else []
     wrong = ("protect", touched & (strategy != "REMOVE") & odd, "the sensitive field is not a string")
     df = df.withColumns({
-        "__value": once(F.when(found, value)), "__touched": once(touched), "error": first_error(df, *unknown, wrong),
+        "__value": once(F.when(found, value)), "__touched": once(touched), "error": first_error(df, *unknown, *lacking, wrong),
     })
     value, touched = F.col("__value"), F.col("__touched")
     df = apply_crypto(
@@ -171,7 +177,8 @@ def protect(
             else:
                 updated = updated.dropFields(f"`{source_name}`")
         updated = F.when(holder.isNotNull(), updated)
-    record = F.col("record").withField(f"`{box}`", updated) if box else updated
+    inside = ".".join(f"`{part}`" for part in box.split("."))
+    record = F.col("record").withField(inside, updated) if box else updated
     df = df.withColumn("record", once(F.when(F.col("record").isNotNull(), record)))
     kept = dict.fromkeys([*before, "error", "strategy", "institution", "event_type", "event_version"])
     return df.select(*kept)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quayside.functions.headers import header
+from quayside.options import INSTITUTION_HEADER
 
 def strategy_counts(df: DataFrame) -> DataFrame:
     """Records per institution and applied strategy."""
@@ -45,6 +47,13 @@ def message_rate(df: DataFrame, moment: Column | str, width: str = "1 second") -
     return grouped.select(F.col("w.start").alias("window_start"), "records")
 
 
+def institution_counts(df: DataFrame) -> DataFrame:
+    """Records and errors by institution (as its header says) and strategy."""
+    return df.groupBy(header(F.col("headers"), INSTITUTION_HEADER).alias("institution"), "strategy").agg(
+        F.count("*").alias("records"), F.count("error").alias("errors")
+    )
+
+
 def observed(df: DataFrame, name: str = "landing") -> DataFrame:
     """Attach live counters that Spark reports per batch without another pass over the data."""
     strategy = F.col("strategy") if "strategy" in df.columns else F.lit(None).cast("string")

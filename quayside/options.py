@@ -147,7 +147,10 @@ class FileOptions:
     @classmethod
     def from_properties(cls, props: Mapping[str, str]) -> FileOptions:
         rotate = props.get("rotate.interval.ms")
-        return cls(flush_size=int(props.get("flush.size", 1_000)), rotate_ms=int(rotate) if rotate else None)
+        return cls(
+            flush_size=int(props.get("flush.size", 1_000)), rotate_ms=int(rotate) if rotate else None,
+            pad=int(props.get("filename.offset.zero.pad.width", 10)),
+        )
 
 
 @dataclass(frozen=True)
@@ -156,3 +159,12 @@ class SealOptions:
     compress: bool = True
     plain_suffix: str = ".json"
     sealed_suffix: str = ".json.pgp"
+
+    @classmethod
+    def from_properties(cls, props: Mapping[str, str], prefix: str = "") -> SealOptions:
+        """Header names of a sealing transform, or of the encrypting file format under its ``prefix``."""
+        return cls(names=HeaderNames(
+            props.get(f"{prefix}institution.header", INSTITUTION_HEADER),
+            props.get(f"{prefix}event.type.header", EVENT_TYPE_HEADER),
+            props.get(f"{prefix}event.version.header", VERSION_HEADER),
+        ))

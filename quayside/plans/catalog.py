@@ -14,7 +14,9 @@ from quayside.functions.rules import encrypt_decision, match_rules, parse, rule_
 from quayside.operators import bulk, reports
 from quayside.operators.fold import fold_headers
 from quayside.operators.land import keep_tolerated, land_lines, split_errors
-from quayside.operators.layout import add_path, add_tenant_prefix, assign_files, json_line, manifest, route
+from quayside.operators.layout import (
+    add_path, add_tenant_prefix, assign_files, json_line, manifest, read_dead_letters, route,
+)
 from quayside.operators.protect import Crypto, choose_by_rules, protect
 from quayside.operators.seal import seal_records, unseal
 from quayside.options import FileOptions, FoldOptions, LayoutOptions, ProtectOptions
@@ -24,7 +26,9 @@ from quayside.session import shared_dir
 from quayside.sources.lookups import attach_key, partition_map, partner_keys, tenant_partitions
 from quayside.sources.messages import decode_dynamic, decode_typed
 from quayside.sources.policy import unmapped
-from quayside.streaming.landing import land_batch, latest_rates, stream_files, stream_lines, stream_rates
+from quayside.streaming.landing import (
+    land_batch, latest_counts, latest_rates, stream_counts, stream_files, stream_lines, stream_rates,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -109,28 +113,42 @@ def protect_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _many_rules() -> str:
-    """More rules than a CASE chain should hold, in every wildcard shape; several match the same message."""
-    tenants = ["BNK001", "BNK002", "bnk003", "HSBC", "BNPP", "SOCGEN"]
-    types = ["PAYMENT", "REFUND", "Transfer", "WITHDRAWAL", "DEPOSIT"]
-    outcomes = ["MASK", "REMOVE", "NONE"]
-    listed = [
-        f"{tenant}:{kind}:{version}:{outcomes[(i + j + k) % 3]}"
-        for i, tenant in enumerate(tenants) for j, kind in enumerate(types) for k, version in enumerate(["1.0", "1.1"])
-    ]
-    listed.insert(7, "*:DEPOSIT:1.1:NONE")
-    listed.insert(20, "BNPP:*:1.0:REMOVE")
-    listed += ["*:refund:*:MASK", "HSBC:*:*:NONE", "*:*:1.1:REMOVE", "SOCGEN:WITHDRAWAL:*:REMOVE", "*:PAYMENT:2.0:NONE"]
-    return ",".join(listed)
-
-
-def _rules_as_values() -> str:
-    rows = [(r.number, *r.patterns, r.outcome) for r in parse(_many_rules())]
-    return ", ".join("({}, '{}', '{}', '{}', '{}')".format(*row) for row in rows)
+# More rules than a CASE chain should hold, in every wildcard shape; several match the same message.
+MANY_RULES = """
+BNK001:PAYMENT:1.0:MASK,BNK001:PAYMENT:1.1:REMOVE,BNK001:REFUND:1.0:REMOVE,BNK001:REFUND:1.1:NONE,BNK001:Transfer:1.0:NONE,
+BNK001:Transfer:1.1:MASK,BNK001:WITHDRAWAL:1.0:MASK,*:DEPOSIT:1.1:NONE,BNK001:WITHDRAWAL:1.1:REMOVE,BNK001:DEPOSIT:1.0:REMOVE,
+BNK002:PAYMENT:1.0:REMOVE,BNK002:PAYMENT:1.1:NONE,BNK002:REFUND:1.0:NONE,BNK002:REFUND:1.1:MASK,BNK002:Transfer:1.0:MASK,
+BNK002:Transfer:1.1:REMOVE,BNK002:WITHDRAWAL:1.0:REMOVE,bnk003:PAYMENT:1.0:NONE,bnk003:PAYMENT:1.1:MASK,bnk003:REFUND:1.0:MASK,
+BNPP:*:1.0:REMOVE,bnk003:REFUND:1.1:REMOVE,bnk003:Transfer:1.0:REMOVE,bnk003:Transfer:1.1:NONE,HSBC:PAYMENT:1.0:MASK,
+HSBC:REFUND:1.0:REMOVE,HSBC:Transfer:1.1:MASK,HSBC:DEPOSIT:1.0:REMOVE,BNPP:PAYMENT:1.1:NONE,BNPP:REFUND:1.1:MASK,
+BNPP:WITHDRAWAL:1.1:REMOVE,SOCGEN:PAYMENT:1.0:NONE,SOCGEN:PAYMENT:1.1:MASK,SOCGEN:REFUND:1.0:MASK,SOCGEN:Transfer:1.0:REMOVE,
+SOCGEN:DEPOSIT:1.0:MASK,SOCGEN:DEPOSIT:1.1:REMOVE,*:refund:*:MASK,HSBC:*:*:NONE,*:*:1.1:REMOVE,SOCGEN:WITHDRAWAL:*:REMOVE,
+*:PAYMENT:2.0:NONE"""
+# The same list for DuckDB, written out: rule number, tenant, type, version, outcome.
+MANY_RULES_SQL = """
+(1, 'BNK001', 'PAYMENT', '1.0', 'MASK'), (2, 'BNK001', 'PAYMENT', '1.1', 'REMOVE'),
+(3, 'BNK001', 'REFUND', '1.0', 'REMOVE'), (4, 'BNK001', 'REFUND', '1.1', 'NONE'),
+(5, 'BNK001', 'Transfer', '1.0', 'NONE'), (6, 'BNK001', 'Transfer', '1.1', 'MASK'),
+(7, 'BNK001', 'WITHDRAWAL', '1.0', 'MASK'), (8, '*', 'DEPOSIT', '1.1', 'NONE'),
+(9, 'BNK001', 'WITHDRAWAL', '1.1', 'REMOVE'), (10, 'BNK001', 'DEPOSIT', '1.0', 'REMOVE'),
+(11, 'BNK002', 'PAYMENT', '1.0', 'REMOVE'), (12, 'BNK002', 'PAYMENT', '1.1', 'NONE'),
+(13, 'BNK002', 'REFUND', '1.0', 'NONE'), (14, 'BNK002', 'REFUND', '1.1', 'MASK'),
+(15, 'BNK002', 'Transfer', '1.0', 'MASK'), (16, 'BNK002', 'Transfer', '1.1', 'REMOVE'),
+(17, 'BNK002', 'WITHDRAWAL', '1.0', 'REMOVE'), (18, 'bnk003', 'PAYMENT', '1.0', 'NONE'),
+(19, 'bnk003', 'PAYMENT', '1.1', 'MASK'), (20, 'bnk003', 'REFUND', '1.0', 'MASK'), (21, 'BNPP', '*', '1.0', 'REMOVE'),
+(22, 'bnk003', 'REFUND', '1.1', 'REMOVE'), (23, 'bnk003', 'Transfer', '1.0', 'REMOVE'),
+(24, 'bnk003', 'Transfer', '1.1', 'NONE'), (25, 'HSBC', 'PAYMENT', '1.0', 'MASK'),
+(26, 'HSBC', 'REFUND', '1.0', 'REMOVE'), (27, 'HSBC', 'Transfer', '1.1', 'MASK'),
+(28, 'HSBC', 'DEPOSIT', '1.0', 'REMOVE'), (29, 'BNPP', 'PAYMENT', '1.1', 'NONE'), (30, 'BNPP', 'REFUND', '1.1', 'MASK'),
+(31, 'BNPP', 'WITHDRAWAL', '1.1', 'REMOVE'), (32, 'SOCGEN', 'PAYMENT', '1.0', 'NONE'),
+(33, 'SOCGEN', 'PAYMENT', '1.1', 'MASK'), (34, 'SOCGEN', 'REFUND', '1.0', 'MASK'),
+(35, 'SOCGEN', 'Transfer', '1.0', 'REMOVE'), (36, 'SOCGEN', 'DEPOSIT', '1.0', 'MASK'),
+(37, 'SOCGEN', 'DEPOSIT', '1.1', 'REMOVE'), (38, '*', 'refund', '*', 'MASK'), (39, 'HSBC', '*', '*', 'NONE'),
+(40, '*', '*', '1.1', 'REMOVE'), (41, 'SOCGEN', 'WITHDRAWAL', '*', 'REMOVE'), (42, '*', 'PAYMENT', '2.0', 'NONE')"""
 
 
 @query("protect_by_rules", f"""WITH {MESSAGES},
-rules(rule_no, i, t, v, outcome) AS (VALUES {_rules_as_values()}),
+rules(rule_no, i, t, v, outcome) AS (VALUES {MANY_RULES_SQL}),
 hit AS (SELECT record_offset, min(rule_no) AS rule_no FROM msg JOIN rules
   ON (i = '*' OR lower(i) = lower(institution)) AND (t = '*' OR lower(t) = lower(event_type))
  AND (v = '*' OR lower(v) = lower(event_version)) GROUP BY record_offset),
@@ -140,7 +158,7 @@ SELECT record_offset, rule_no, strategy, CASE WHEN strategy = 'MASK' THEN {MASKE
   CASE WHEN strategy = 'NONE' THEN pan END AS source FROM chosen""")
 def protect_by_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     chosen = choose_by_rules(
-        sample.messages(spark, sf_dir), ProtectOptions(rules=_many_rules(), default_strategy="MASK")
+        sample.messages(spark, sf_dir), ProtectOptions(rules=MANY_RULES, default_strategy="MASK")
     )
     return chosen.select(
         "record_offset", "rule_no", "strategy",
@@ -731,12 +749,63 @@ def land_lines_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("stream_lines", LANDED_LINES)
 def stream_lines_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Delivered in several micro-batches that arrive out of order."""
     root, checkpoint = shared_dir(spark, "stream"), shared_dir(spark, "checkpoint")
-    source = sample.record_stream(spark, sf_dir)
-    stream_lines(source, lambda df: landing_chain()(decode_dynamic(df)), root, checkpoint, _lanes()).awaitTermination()
+    for source in sample.deliveries(spark, sf_dir):
+        stream_lines(source, lambda df: landing_chain()(decode_dynamic(df)), root, checkpoint, _lanes()).awaitTermination()
     return _read_lines(spark, root)
 
 
+@query("dlq_replay", f"""WITH {STAGED} SELECT record_offset, error_stage AS stage, transaction_id AS record_key, TRUE AS intact
+FROM routed WHERE error_stage IS NOT NULL""")
+def dlq_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed dead letters read back as messages: every one has the key, value, headers and time it came with."""
+    root = shared_dir(spark, "letters")
+    land_lines(route(prepared(spark, sf_dir)), root, _lanes())
+    again = read_dead_letters(spark.read.option("basePath", root).text(root).where("lane = 'dead_letter'"))
+    came = sample.records(spark, sf_dir).select("topic", "partition", "offset", F.struct("key", "value", "timestamp", "timestampType", "headers").alias("came"))
+    both = again.withColumn("now", F.struct("key", "value", "timestamp", "timestampType", "headers")).join(came, ["topic", "partition", "offset"], "left")
+    return both.select(
+        F.col("offset").alias("record_offset"), "stage", F.col("key").cast("string").alias("record_key"),
+        F.col("now").eqNullSafe(F.col("came")).alias("intact"),
+    )
+
+
+@query("stream_counts", f"""WITH {STAGED} SELECT inst_some AS institution, strategy,
+  count(*) AS records, CAST(count(error_stage) AS BIGINT) AS errors FROM routed GROUP BY 1, 2""")
+def stream_counts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Live counters by institution and strategy, kept by a stream over several micro-batches."""
+    root, checkpoint = shared_dir(spark, "counts"), shared_dir(spark, "checkpoint")
+    for source in sample.deliveries(spark, sf_dir):
+        stream_counts(source, lambda df: landing_chain()(decode_dynamic(df)), root, checkpoint).awaitTermination()
+    return latest_counts(spark.read.parquet(root))
+
+
+HOSTILE = """WITH odd AS (SELECT event_id, CASE event_id % 6 WHEN 0 THEN '../up' WHEN 1 THEN '/abs/path' WHEN 2 THEN '_dead_letter' WHEN 3 THEN ''
+  WHEN 4 THEN '100%' ELSE event_type END AS tenant FROM events)
+SELECT concat('tenant=', CASE WHEN tenant = '' THEN '%' ELSE regexp_replace(regexp_replace(replace(replace(tenant, '%', '%25'), '/', '%2F'),
+  '^[.]', '%2E'), '^_', '%5F') END) AS path, count(*) AS records FROM odd GROUP BY 1"""
+
+
+@query("path_hostile", HOSTILE)
+def path_hostile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tenants named to leave the landing root, to hide or to look like a folder of this package: all land below the root."""
+    root = shared_dir(spark, "hostile")
+    tenant = """CASE event_id % 6 WHEN 0 THEN '../up' WHEN 1 THEN '/abs/path' WHEN 2 THEN '_dead_letter' WHEN 3 THEN ''
+      WHEN 4 THEN '100%' ELSE event_type END"""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr(
+        "cast(cast(event_id AS string) AS binary) AS key", "cast('{}' AS binary) AS value", "'t' AS topic", "0 AS partition", "event_id AS offset",
+        "cast(ts AS timestamp) AS timestamp", "cast(array() AS array<struct<key:string,value:binary>>) AS headers",
+        f"named_struct('tenant', {tenant}) AS record",
+    )
+    layout = LayoutOptions(("tenant",), path_format="'all'", duration_ms=86_400_000)
+    land_batch(add_path(events, layout), root, f"{root}/_manifest", FileOptions(), None, None)
+    lines = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json").text(root)
+    # The metadata path is URL-encoded once more than the folder's name.
+    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    return lines.groupBy(F.regexp_extract(path, "/(tenant=[^/]*)/all/[^/]+$", 1).alias("path")).agg(F.count("*").alias("records"))
+
+
 # ---------------------------------------------------------------- tenants and keys
 
 MURMUR = """h0 AS (SELECT tenant, records, encode(tenant) AS b, octet_length(encode(tenant)) AS n FROM seen),
@@ -880,6 +949,30 @@ def record_seal(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+SEALING = CONNECTOR | {"transforms": "hide,extract,lock", "transforms.lock.type": "seal"}
+
+
+@query("seal_step_landing", f"""WITH {STAGED} SELECT transaction_id, institution, CASE
+  WHEN inst_some = 'BNK002' THEN NOT (event_type = 'PAYMENT' AND event_version = '1.0') WHEN inst_some = 'HSBC' THEN TRUE
+  WHEN inst_some = 'BNPP' THEN event_type = 'PAYMENT' OR (event_type = 'TRANSFER' AND event_version = '2.0') ELSE FALSE END AS sealed
+FROM routed WHERE error_stage IS NULL""")
+def seal_step_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A configured protect, fold and seal landed as files, read back from them and opened."""
+    root, ring = shared_dir(spark, "records"), sample.key_ring(spark)
+    connector = Connector.from_config(SEALING, ring=ring, seal_policy=sample.policy(spark))
+    connector.run(sample.records(spark, sf_dir), root)
+    lines = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json").text(root).select(
+        "value", F.regexp_extract(F.col("_metadata.file_path"), "/([^/]+)(/[^/]+){6}/[^/]+$", 1).alias("institution"),
+        F.contains(F.col("_metadata.file_path"), F.lit("/_dead_letter/")).alias("dead"),
+    ).where("not dead")
+    sealed, armored = ~F.startswith("value", F.lit("{")), F.col("institution") != "HSBC"
+    data = F.when(armored, F.encode("value", "US-ASCII")).otherwise(F.try_to_binary("value", F.lit("base64")))
+    key = F.when(armored, F.lit("keys/seal-a")).otherwise(F.lit("keys/seal-b"))
+    opened = unseal(lines.withColumn("sealed", sealed), F.when(sealed, data), armored, key, ring, "plain")
+    text = F.when(F.col("sealed"), F.col("plain").cast("string")).otherwise(F.col("value"))
+    return opened.select(F.get_json_object(text, "$.payload.transactionId").alias("transaction_id"), "institution", "sealed")
+
+
 SEAL_LAYOUT = LayoutOptions(
     ("headers.X-Institution-Id",), labelled=False, path_format="'day'=dd", duration_ms=86_400_000
 ).with_defaults()
@@ -939,21 +1032,28 @@ def seal_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stored_files(spark, root, stored)
 
 
-@query("stream_landing", SEALED)
+# A file closes with its micro-batch: numbers start anew in each.
+SEALED_BY_BATCH = SEALED.replace(FILES, FILES.replace("PARTITION BY part, path", f"PARTITION BY part, path, {sample.BATCH_SQL}")).replace(
+    "GROUP BY path, part, file_no", f"GROUP BY path, part, {sample.BATCH_SQL}, file_no")
+
+
+@query("stream_landing", SEALED_BY_BATCH)
 def stream_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Delivered in several micro-batches that arrive out of order."""
     root, checkpoint = shared_dir(spark, "streamed"), shared_dir(spark, "checkpoint")
-    run = stream_files(
-        sample.record_stream(spark, sf_dir), lambda df: sealing_chain()(decode_dynamic(df)), root, checkpoint, SHARP,
-        sample.policy(spark), sample.key_ring(spark),
-    )
-    run.awaitTermination()
+    for source in sample.deliveries(spark, sf_dir):
+        stream_files(
+            source, lambda df: sealing_chain()(decode_dynamic(df)), root, checkpoint, SHARP, sample.policy(spark),
+            sample.key_ring(spark),
+        ).awaitTermination()
     return _stored_files(spark, root, spark.read.option("basePath", f"{root}/_manifest").parquet(f"{root}/_manifest"))
 
 
 @query("stream_rate", RATE)
 def stream_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     root, checkpoint = shared_dir(spark, "rates"), shared_dir(spark, "checkpoint")
-    stream_rates(sample.record_stream(spark, sf_dir), "timestamp", root, checkpoint).awaitTermination()
+    for source in sample.deliveries(spark, sf_dir):
+        stream_rates(source, "timestamp", root, checkpoint).awaitTermination()
     return latest_rates(spark.read.parquet(root)).select(
         F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("second"), "records"
     )

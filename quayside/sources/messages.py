@@ -81,11 +81,13 @@ def with_error(df: DataFrame, stage: str, failed: Column, message: Column | str)
     return df.withColumn(ERROR, first_error(df, (stage, failed, message)))
 
 
-def decode_dynamic(df: DataFrame) -> DataFrame:
+def decode_dynamic(df: DataFrame, where: Column | str | None = None) -> DataFrame:
     """Add ``record`` MAP<STRING,VARIANT> from schemaless JSON values; anything but an object is an error.
 
-    A message without a value passes through with a NULL record.
+    A message without a value passes through with a NULL record. An object that names a member twice is an error: which
+    value counts is for the producer to say. ``where`` is a filter on the source columns; placed below the parse, it reaches the scan.
     """
+    df = df if where is None else df.where(where)
     parsed = F.try_variant_get(F.try_parse_json(F.col("value").cast("string")), "$", "map<string,variant>")
     df = df.withColumn("record", once(parsed))
     return with_error(
@@ -93,11 +95,12 @@ def decode_dynamic(df: DataFrame) -> DataFrame:
     )
 
 
-def decode_typed(df: DataFrame, schema: str | T.StructType) -> DataFrame:
+def decode_typed(df: DataFrame, schema: str | T.StructType, where: Column | str | None = None) -> DataFrame:
     """Add ``record`` STRUCT from JSON values of a known schema: only the named fields are kept in memory.
 
     A value that is no JSON object, or has a field that does not fit its type, is an error.
     """
+    df = df if where is None else df.where(where)
     text = F.col("value").cast("string")
     with_flaw = schema.add(FLAW, "string") if isinstance(schema, T.StructType) else f"{schema}, {FLAW} string"
     parsed = once(F.from_json(text, with_flaw, {"columnNameOfCorruptRecord": FLAW}))
@@ -107,7 +110,3 @@ def decode_typed(df: DataFrame, schema: str | T.StructType) -> DataFrame:
     return with_error(
         df, "decode", F.col("value").isNotNull() & F.col("record").isNull(), "value is not a JSON object"
     )
-
-
-def text_key(df: DataFrame) -> DataFrame:
-    return df.withColumn("key", F.col("key").cast("string"))

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+import os
 
 import pytest
 
@@ -9,9 +10,11 @@ from quayside.operators.layout import route
 from quayside.options import FoldOptions, LayoutOptions, ProtectOptions
 from quayside.plans import catalog, sample
 from quayside.plans.chain import Chain, Connector, fold_step, protect_step, seal_step
+from quayside.session import shared_dir
 from quayside.sources.messages import decode_dynamic
 
 SOURCE = "encryptedPrimaryAccountNumber"
+GOOD = {"X-Institution-Id": "BNK001", "X-Event-Type": "PAYMENT", "X-Event-Version": "1.0", "X-Event-Id": "e"}
 WRAP = FoldOptions(optional=("X-Event-Id",), wrap=True)
 
 
@@ -75,3 +78,58 @@ def test_defaults_are_the_documented_ones():
 def test_decoded_once(messages):
     df = Chain([protect_step(ProtectOptions())])(decode_dynamic(messages(({}, "{}"))))
     assert df.first()["record"] is not None
+
+
+def test_two_wraps_need_both_prefixes(messages):
+    twice = [fold_step(WRAP), fold_step(WRAP)]
+    with pytest.raises(ValueError, match="payload.payload"):
+        Chain([*twice, protect_step(ProtectOptions(source_field=f"payload.{SOURCE}"))])
+    chain = Chain([*twice, protect_step(ProtectOptions(source_field=f"payload.payload.{SOURCE}"))])
+    row = chain(decode_dynamic(messages(({}, json.dumps({SOURCE: "9101015112830366", "a": 1}))))).first()
+    assert row["error"] is None and set(row["record"]["payload"]["payload"]) == {"a"}
+
+
+def test_tolerance_decides_about_failed_records(spark, messages):
+    df = messages((GOOD, '{"a": 1}'), ({}, "broken"))
+    strict = Connector.from_config({k: v for k, v in catalog.CONNECTOR.items() if k != "errors.tolerance"})
+    assert strict.tolerance == "none"
+    with pytest.raises(Exception, match="not a JSON object"):
+        strict.run(df, shared_dir(spark, "strict"))
+    stored = Connector.from_config(catalog.CONNECTOR).run(df, shared_dir(spark, "tolerant"))
+    assert sorted(r["path"].split("/")[0] for r in stored.collect()) == ["BNK001", "_dead_letter"]
+
+
+def test_a_rerun_replaces_files_and_manifest(spark, messages):
+    connector, root = Connector.from_config(catalog.CONNECTOR), shared_dir(spark, "again")
+    for _ in range(2):
+        stored = connector.run(messages((GOOD, '{"a": 1}')), root)
+        assert stored.count() == 1
+
+
+def test_sealed_records_never_land_in_the_clear(spark, ring, messages):
+    connector = Connector.from_config(catalog.SEALING, ring=ring, seal_policy=sample.policy(spark))
+    root = shared_dir(spark, "sealed")
+    connector.run(messages((GOOD | {"X-Institution-Id": "HSBC"}, '{"a": "clear-marker"}'), (GOOD, '{"a": "plain"}')), root)
+    landed = {}
+    for folder, _, names in os.walk(root):
+        landed |= {os.path.join(folder, n): open(os.path.join(folder, n), "rb").read() for n in names if n.endswith(".json")}
+    assert len(landed) == 2 and not any(b"clear-marker" in data for data in landed.values())
+    assert any(b"plain" in data for data in landed.values())
+
+
+def test_configured_properties_are_used():
+    config = catalog.CONNECTOR | {
+        "filename.offset.zero.pad.width": "4", "format.class": "org.example.Sealed", "format.pgp.institution.header": "Tenant",
+        "consumer.override.auto.offset.reset": "latest",
+    }
+    connector = Connector.from_config(config, {"org.example.Sealed": "sealed"})
+    assert connector.files.pad == 4 and connector.seal_files.names.institution == "Tenant"
+    assert connector.source == {"startingOffsets": "latest"}
+    assert Connector.from_config(catalog.CONNECTOR).seal_files is None
+
+
+def test_a_source_filter_reaches_the_scan(spark, tmp_path, messages):
+    path = str(tmp_path / "m")
+    messages((GOOD, "{}")).write.parquet(path)
+    df = Connector.from_config(catalog.CONNECTOR).prepare(spark.read.parquet(path), "partition = 1")
+    assert "EqualTo(partition,1)" in df._jdf.queryExecution().executedPlan().toString()

@@ -6,10 +6,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from quayside.operators.fold import fold_headers
-from quayside.operators.layout import add_path, assign_files, file_name, manifest
+from quayside.functions.paths import safe_segment
+from quayside.operators.layout import add_path, assign_files, file_name, manifest, read_dead_letters, route
 from quayside.operators.land import keep_tolerated, split_errors
 from quayside.options import FileOptions, FoldOptions, LayoutOptions
-from quayside.sources.messages import decode_dynamic, decode_typed
+from quayside.sources.messages import decode_dynamic, decode_typed, with_error
 
 
 @pytest.mark.parametrize("flush, chunk", [(1, 10), (3, 7), (10, 1), (1000, 50), (50, 1 << 20)])
@@ -73,14 +74,14 @@ def test_paths(messages):
     df = messages((FULL, "{}"), ({"X-Event-Type": "P"}, "{}"), (FULL, None), (FULL, "no json"))
     tail = "year=2026/month=02/day=02/hour=14"
     assert paths(df, LayoutOptions(FIELDS)) == [
-        (f"headers.X-Institution-Id=BNK/1/headers.X-Event-Type=PAYMENT/{tail}", None), (None, "partition"),
+        (f"headers.X-Institution-Id=BNK%2F1/headers.X-Event-Type=PAYMENT/{tail}", None), (None, "partition"),
         (None, "partition"), (None, "decode"),
     ]
     assert paths(df, LayoutOptions(FIELDS, labelled=False).with_defaults())[:2] == [
-        (f"BNK/1/PAYMENT/{tail}", None), (f"UNKNOWN/P/{tail}", None),
+        (f"BNK%2F1/PAYMENT/{tail}", None), (f"UNKNOWN/P/{tail}", None),
     ]
     minute = LayoutOptions(FIELDS, labelled=False, path_format="YYYY/MM/dd/HH/mm", duration_ms=60_000)
-    assert paths(df, minute, wrap=False)[0] == ("BNK/1/PAYMENT/2026/02/02/14/35", None)
+    assert paths(df, minute, wrap=False)[0] == ("BNK%2F1/PAYMENT/2026/02/02/14/35", None)
     assert paths(df, LayoutOptions((), path_format="'h'=HH"))[0] == ("h=14", None)
 
 
@@ -113,3 +114,28 @@ def test_error_filter_does_not_copy_the_parsing(messages):
     """A filter on the error column stays above the one place where values are parsed."""
     plan = keep_tolerated(decode_dynamic(messages((FULL, "{}"))))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("parseJson") == 1
+
+
+def test_no_timestamp_is_an_error(messages):
+    layout = LayoutOptions(("a",))
+    df = decode_dynamic(messages(({}, '{"a": "x"}'))).withColumn("timestamp", F.lit(None).cast("timestamp"))
+    row = add_path(df, layout).first()
+    assert row["path"] is None and row["error"]["stage"] == "partition"
+
+
+@pytest.mark.parametrize("value, name", [
+    ("../up", "%2E.%2Fup"), ("/abs", "%2Fabs"), ("_dead_letter", "%5Fdead_letter"), ("", "%"), ("100%", "100%25"), (".", "%2E"), ("a.b_c", "a.b_c"),
+])
+def test_values_stay_below_their_folder(spark, value, name):
+    df = spark.createDataFrame([(value,)], "v string")
+    assert df.select(safe_segment(F.col("v"))).first()[0] == name
+
+
+def test_dead_letters_come_back_whole(spark, messages):
+    df = messages(([("k", b"\xff\x00".decode("latin-1")), ("k", None)], "broken"), ({}, None))
+    df = df.withColumn("value", F.when(F.col("offset") == 0, F.unhex(F.lit("FF007B"))))
+    failed = with_error(df.withColumn("path", F.lit("p")).withColumn("record", F.struct(F.lit(1).alias("r"))), "decode", F.lit(True), "bad")
+    again = read_dead_letters(route(failed).select(F.col("line").alias("value")))
+    names = ["key", "value", "topic", "partition", "offset", "timestamp", "timestampType", "headers"]
+    assert sorted(map(str, again.select(names).collect())) == sorted(map(str, df.select(names).collect()))
+    assert {(r["stage"], r["message"]) for r in again.collect()} == {("decode", "bad")}

@@ -87,7 +87,6 @@ def test_rates_over_batches(spark, stored):
     root = shared_dir(spark, "rates")
     stream_rates(
         read_record_files(spark, stored, files_per_trigger=1), "timestamp", root, shared_dir(spark, "c"), "1 day",
-        late="400 days",
     ).awaitTermination()
     live = {tuple(r) for r in latest_rates(spark.read.parquet(root)).collect()}
     batch = {tuple(r) for r in message_rate(read_record_files(spark, stored, stream=False), "timestamp", "1 day").collect()}
@@ -103,3 +102,17 @@ def test_counters(spark, stored):
     assert seen.get["records"] == df.count()
     assert seen.get["errors"] == df.where("error IS NOT NULL").count()
     assert seen.get["mask"] == df.where("strategy = 'MASK'").count()
+
+
+def test_timed_trigger_lands_and_stops(spark, ring, stored):
+    root = shared_dir(spark, "timed")
+    run = stream_files(
+        read_record_files(spark, stored), prepare, root, shared_dir(spark, "c"), FileOptions(flush_size=10_000),
+        sample.policy(spark), ring, every_ms=200,
+    )
+    try:
+        run.processAllAvailable()
+        total = spark.read.parquet(f"{root}/_manifest").agg(F.sum("records")).first()[0]
+        assert total == read_record_files(spark, stored, stream=False).count()
+    finally:
+        run.stop()
