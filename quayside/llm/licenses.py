@@ -84,10 +84,11 @@ def scan_licenses(
     """
     sentences, rules = sentences or SENTENCES, rules or RULES
     found = df.select(F.col(f"`{id_col}`").alias(id_col), sentence_ids(F.col(f"`{text_col}`"), sentences).alias("_ids"))
-    line = F.concat(F.lit(","), F.array_join("_ids", ","), F.lit(","))
+    # A comma on either side of each identifier, so that a rule's parts match whole ones.
+    line = F.concat(F.lit(","), F.array_join("_ids", ",,"), F.lit(","))
     number = F.lit(None).cast("int")
     for i, (_, wanted) in reversed(list(enumerate(rules))):
-        number = F.when(line.like("%" + "%".join(f",{w}," if k == 0 else f"{w}," for k, w in enumerate(wanted)) + "%"), i).otherwise(number)
+        number = F.when(line.like("%" + "%".join(f",{w}," for w in wanted) + "%"), i).otherwise(number)
     names = F.array(*(F.lit(name) for name, _ in rules))
     return found.select(
         id_col, F.size("_ids").cast("long").alias("n_sentences"), F.array_join("_ids", ",").alias("sentence_ids"),

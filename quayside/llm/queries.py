@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from quayside.llm import (
-    decontaminate, language_id, licenses, ngram_join, packing, quality, sharding, substring_dedup, toxicity, url_filter,
+    decontaminate, language_id, licenses, ngram_join, packing, quality, sharding, sql, substring_dedup, toxicity, url_filter,
 )
 from quayside.llm.common import table
 
@@ -79,4 +79,7 @@ QUERIES = {
     for f in (op1_best_fit_packing, op2_url_filter, op3_ngram_jaccard_join, op4_decontamination, op5_toxicity, op6_sharding, op7_license_scan, op8_substring_dedup,
               op9_language_id, op10_quality_rules)
 }
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op2_url_filter": sql.URL_FILTER, "op3_ngram_jaccard_join": sql.NGRAM_JOIN, "op4_decontamination": sql.DECONTAMINATION,
+    "op7_license_scan": sql.LICENSE_SCAN, "op8_substring_dedup": sql.SUBSTRING_DEDUP,
+}

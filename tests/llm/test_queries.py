@@ -1,0 +1,134 @@
+"""The registered text queries over whole tables: against SQL where there is some, else against plain loops."""
+
+from __future__ import annotations
+
+import hashlib
+import re
+import zlib
+from collections import Counter
+
+import duckdb
+import numpy as np
+import pytest
+from compare import differences, duck
+
+import corpus_pipeline
+from quayside.llm import decontaminate, queries
+from quayside.llm.common import table
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+@pytest.fixture(scope="module")
+def texts(sf_dir):
+    return dict(duckdb.sql(f"SELECT doc_id, text FROM '{sf_dir}/documents.parquet'").fetchall())
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_query_matches_sql(spark, sf_dir, name):
+    assert differences(queries.QUERIES[name](spark, sf_dir), duck(sf_dir), queries.ORACLES[name]) is None
+
+
+def test_one_query_for_each_operator():
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES) == list(range(1, 11))
+
+
+def packed(pieces, ids_of):
+    """Every piece has its tokens, and sequences are filled without gaps."""
+    expected = {}
+    for doc, ids in ids_of.items():
+        whole = np.array([*ids, 0], dtype="<u4")
+        for piece, at in enumerate(range(0, len(whole), 2048)):
+            expected[doc, piece] = (at, len(whole[at:at + 2048]), zlib.crc32(whole[at:at + 2048].tobytes()))
+    assert {(r["doc_id"], r["piece"]): (r["start"], r["length"], r["ids_crc32"]) for r in pieces} == expected
+    at = Counter()
+    for r in sorted(pieces, key=lambda r: (r["sequence_id"], r["offset"])):
+        assert r["offset"] == at[r["sequence_id"]]
+        at[r["sequence_id"]] += r["length"]
+    assert max(at.values()) <= 2048
+    return len(at), -(-sum(at.values()) // 2048)
+
+
+def tokens(texts):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(queries.vocabulary_path())
+    keys = list(texts)
+    return {k: e.ids for k, e in zip(keys, tokenizer.encode_batch([texts[k] or "" for k in keys], add_special_tokens=False), strict=True)}
+
+
+def test_packing(spark, sf_dir, texts):
+    used, least = packed(queries.op1_best_fit_packing(spark, sf_dir).collect(), tokens(texts))
+    assert used <= least * 1.01 + 1
+
+
+def test_toxicity_on_held_out_rows(spark, sf_dir):
+    labels = dict(duckdb.sql(f"SELECT doc_id, toxic FROM '{sf_dir}/labels.parquet'").fetchall())
+    got = {r["doc_id"]: r for r in queries.op5_toxicity(spark, sf_dir).collect()}
+    held = [r for i, r in got.items() if i in labels and r["held_out"]]
+    assert all(r["held_out"] == (zlib.crc32(str(i).encode()) % 3 == 1) for i, r in got.items())
+    toxic = [r["score"] for r in held if labels[r["doc_id"]]]
+    clean = [r["score"] for r in held if not labels[r["doc_id"]]]
+    # Few labelled rows here: only the order is held against chance.
+    assert np.mean([a > b for a in toxic for b in clean]) > 0.6
+
+
+def test_language_on_held_out_rows(spark, sf_dir):
+    truth = dict(duckdb.sql(f"SELECT doc_id, lang FROM '{sf_dir}/documents.parquet'").fetchall())
+    held = [r for r in queries.op9_language_id(spark, sf_dir).collect() if r["held_out"]]
+    assert held and np.mean([r["lang_pred"] == truth[r["doc_id"]] for r in held]) > 0.95
+
+
+def test_quality_counts(spark, sf_dir, texts):
+    for r in queries.op10_quality_rules(spark, sf_dir).collect():
+        text = texts[r["doc_id"]] or ""
+        words = WORD.findall(text)
+        triples = Counter(zip(words, words[1:], words[2:]))
+        hit = {i + k for i in range(len(words) - 2) if triples[tuple(words[i:i + 3])] > 1 for k in range(3)}
+        lines = [line for line in text.split("\n") if WORD.search(line)]
+        assert (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"]) == (
+            len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(hit))
+        assert r["base_failed"] == (len(words) < 50 or 100 * len(hit) > 50 * len(words))
+
+
+def test_sharding(spark, sf_dir, texts):
+    from quayside.llm.sharding import fill_table
+
+    owner = fill_table(queries.SHARDS)
+    for r in queries.op6_sharding(spark, sf_dir).collect():
+        assert r["slot"] == int(hashlib.md5(str(r["doc_id"]).encode()).hexdigest()[:15], 16) % 65_537 and r["shard"] == owner[r["slot"]]
+
+
+def test_pipeline_stage_by_stage(spark, sf_dir):
+    """Each stage against a plain version on the rows it gets."""
+    docs = table(spark, sf_dir, "documents")
+    benchmark = duckdb.sql(f"SELECT text FROM '{sf_dir}/benchmark.parquet'").fetchall()
+    windows = set()
+    for (text,) in benchmark:
+        words = decontaminate.words_of(text)
+        windows |= {tuple(words[i:i + 10]) for i in range(max(1, len(words) - 9))}
+    from test_small_cases import brute_components, brute_repeats
+
+    stages = dict(corpus_pipeline.STAGES)
+    scored = stages["toxicity"](spark, docs, sf_dir)
+    toxic = {r["doc_id"] for r in queries.op5_toxicity(spark, sf_dir).collect() if r["predicted"] == 1}
+    before = dict(map(tuple, docs.select("doc_id", "text").collect()))
+    after = dict(map(tuple, scored.select("doc_id", "text").collect()))
+    assert after == {i: t for i, t in before.items() if i not in toxic} and scored.columns == docs.columns
+    joined = stages["ngram_join"](spark, scored, sf_dir)
+    single = dict(map(tuple, joined.select("doc_id", "text").collect()))
+    groups = brute_components(after)
+    assert set(single) == {i for i in after if groups[i][1] == i} and joined.columns == docs.columns
+    deduped = stages["substring_dedup"](spark, joined, sf_dir)
+    left = dict(map(tuple, deduped.select("doc_id", "text").collect()))
+    plain = brute_repeats(single, 50)
+    assert {i: (t or "").split() for i, t in left.items()} == {i: w for i, w in plain.items() if w or not single[i]}
+    clean = stages["decontamination"](spark, deduped, sf_dir)
+    for i, t in clean.select("doc_id", "text").collect():
+        words = decontaminate.words_of(left[i])
+        hit = {s + k for s in range(len(words)) for n in range(1, 11) if tuple(words[s:s + n]) in windows for k in range(n)}
+        assert decontaminate.words_of(t) == [w for k, w in enumerate(words) if k not in hit]
+        assert 2 * len(hit) <= len(words)
+    final = dict(map(tuple, clean.select("doc_id", "text").collect()))
+    packed(stages["packing"](spark, clean, sf_dir).collect(), tokens(final))
+    assert queries.QUERIES and corpus_pipeline.run(spark, sf_dir).count() == stages["packing"](spark, clean, sf_dir).count()
