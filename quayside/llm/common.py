@@ -123,7 +123,7 @@ def mixed(h: np.ndarray) -> np.ndarray:
 def _powers(base: np.uint64, count: int) -> np.ndarray:
     known = _POWERS.get(int(base))
     if known is None or len(known) < count:
-        size = max(1 << 16, 1 << count.bit_length())
+        size = max(1 << 16, 1 << int(count).bit_length())
         known = np.full(size, base, dtype=np.uint64)
         known[0] = 1
         known = np.multiply.accumulate(known)
