@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from quayside.llm.common import computed, text_bytes
 from quayside.llm.svm import train_svm
 
-FEATURES = 1 << 13
+FEATURES = 1 << 12
 # Families of languages. A language not listed is a family of its own.
 FAMILIES = {
     "en": "germanic", "de": "germanic", "nl": "germanic", "sv": "germanic", "da": "germanic", "no": "germanic",
@@ -114,15 +114,16 @@ def learn(
         at, n = [], []
         for a, b in zip(bounds[:-1], bounds[1:], strict=True):
             index, count = np.unique(keys[a:b], return_counts=True)
-            at.append(index.astype(np.int64))
-            n.append(count.astype(np.int64))
+            at.append(index.astype("<i4").tobytes())
+            n.append(count.astype("<i4").tobytes())
         return at, n
 
-    found = computed(rows.where(chosen), ["lang", "text"], "at array<long>, n array<long>", features, keep=["lang"]).collect()
+    found = computed(rows.where(chosen), ["lang", "text"], "at binary, n binary", features, keep=["lang"]).collect()
     x = np.zeros((len(found), FEATURES), dtype=np.float32)
     for row, r in zip(x, found, strict=True):
-        if r["n"]:
-            row[r["at"]] = _SCALE * np.array(r["n"]) / np.sum(r["n"])
+        n = np.frombuffer(r["n"], "<i4")
+        if len(n):
+            row[np.frombuffer(r["at"], "<i4")] = _SCALE * n / n.sum()
     labels = np.array([r["lang"] for r in found])
     family = np.array([families.get(v, v) for v in labels])
     groups: dict[str, list[str]] = {}

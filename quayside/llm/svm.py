@@ -10,24 +10,28 @@ def train_svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None, pe
 
     Accelerated gradient steps of a size that the data's largest singular value allows, so the result is the same in every run.
     """
-    x = np.asarray(x, dtype=np.float64)
     y = np.asarray(y, dtype=np.float64)
     weight = np.ones(len(y)) if weight is None else np.asarray(weight, dtype=np.float64)
     weight = weight / weight.sum()
-    design = np.hstack([x, np.ones((len(x), 1))])
-    root = np.sqrt(weight)[:, None] * design
-    direction = np.ones(design.shape[1])
+
+    # ``x`` is used as it is, in its own precision, and never copied: it is the largest thing here.
+    def times(w: np.ndarray) -> np.ndarray:
+        return x @ w[:-1].astype(x.dtype) + w[-1]
+
+    def back(v: np.ndarray) -> np.ndarray:
+        return np.append((v.astype(x.dtype) @ x).astype(np.float64), v.sum())
+
+    direction = np.ones(x.shape[1] + 1)
     for _ in range(20):
-        direction = root.T @ (root @ direction)
+        direction = back(weight * times(direction))
         direction /= np.linalg.norm(direction) or 1.0
-    size = 1.0 / (2.2 * float(np.linalg.norm(root @ direction)) ** 2 + 2 * penalty)
-    ridge = np.full(design.shape[1], penalty)
+    size = 1.0 / (2.2 * float((weight * times(direction) ** 2).sum()) + 2 * penalty)
+    ridge = np.full(x.shape[1] + 1, penalty)
     ridge[-1] = 0
-    now = ahead = np.zeros(design.shape[1])
+    now = ahead = np.zeros(x.shape[1] + 1)
     for k in range(steps):
-        slack = np.maximum(0, 1 - y * (design @ ahead))
-        slope = -2 * design.T @ (weight * y * slack) + 2 * ridge * ahead
-        new = ahead - size * slope
+        slack = np.maximum(0, 1 - y * times(ahead))
+        new = ahead - size * (-2 * back(weight * y * slack) + 2 * ridge * ahead)
         ahead = new + k / (k + 3) * (new - now)
         now = new
     return now[:-1], float(now[-1])
