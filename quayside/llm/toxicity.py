@@ -12,7 +12,7 @@ import re
 import unicodedata
 from dataclasses import dataclass
 from functools import lru_cache
-from itertools import combinations
+from itertools import chain, combinations
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -24,6 +24,8 @@ from quayside.llm.svm import train_sigmoid, train_svm
 
 DECAY = 0.4
 LONGEST = 16
+# Letters that a subsequence may stretch over; beyond it the decay leaves less than a thousandth of a close one.
+SPAN = 7
 # The machine is fitted on about this many labelled documents of each class, chosen by a hash of the id, and on this many words.
 SAMPLE_PER_CLASS = 3_000
 TRAIN_WORDS = 3_000
@@ -49,30 +51,32 @@ def _letter(code: int) -> int:
 
 
 ALPHABET = 64
-_LETTERS = np.array([_letter(c) for c in range(0x250)], dtype=np.int64)
+_LETTERS = np.array([_letter(c) for c in range(0x250)], dtype=np.int32)
 
 
 @lru_cache(maxsize=None)
 def _triples(size: int) -> tuple[np.ndarray, np.ndarray]:
     """Places of all three-letter subsequences of a word of ``size``, and their decays."""
-    places = np.array(list(combinations(range(size), 3)), dtype=np.int64).reshape(-1, 3)
+    places = np.array([p for p in combinations(range(size), 3) if p[2] - p[0] <= SPAN], dtype=np.int64).reshape(-1, 3)
     return places, (DECAY ** (places[:, 2] - places[:, 0] + 1)).astype(np.float32)
 
 
 def units(text: str) -> list[str]:
-    """What is judged as a word: lower-cased, without marks at its edges; letters spelled one by one are put together."""
-    found = _WORD.findall(text.lower())
-    if _SPELLED.search(text):
-        found += [re.sub(r"[\W\d_]+", "", m.group().lower()) for m in _SPELLED.finditer(text)]
-    return found
+    """Stretches without white space, lower-cased; letters spelled one by one are put together as well."""
+    found = text.lower().split()
+    return found + [re.sub(r"[\W\d_]+", "", m.group().lower()) for m in _SPELLED.finditer(text)]
 
 
-def _windows(word: str) -> list[str]:
-    """The word without marks at its edges; a longer one than ``LONGEST`` as overlapping parts."""
-    word = word.strip(_EDGES)
-    if len(word) <= LONGEST:
-        return [word]
-    return [word[at:at + LONGEST] for at in range(0, len(word) - LONGEST // 2, LONGEST // 2)]
+def words_of(unit: str) -> list[str]:
+    """The words of a unit without marks at their edges; a longer one than ``LONGEST`` as overlapping parts."""
+    out = []
+    for word in _WORD.findall(unit):
+        word = word.strip(_EDGES)
+        if len(word) <= LONGEST:
+            out.append(word)
+        else:
+            out += [word[at:at + LONGEST] for at in range(0, len(word) - LONGEST // 2, LONGEST // 2)]
+    return out
 
 
 def subsequences(words: list[str]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -88,23 +92,24 @@ def subsequences(words: list[str]) -> list[tuple[np.ndarray, np.ndarray, np.ndar
     for size, rows in by_size.items():
         places, decay = _triples(size + 2)
         points = np.frombuffer("".join(words[r] for r in rows).encode("utf-32-le", "surrogatepass"), dtype="<u4").reshape(-1, size)
-        codes = np.where(points < len(_LETTERS), _LETTERS[np.minimum(points, len(_LETTERS) - 1)], 27 + points.astype(np.int64) % 36)
-        codes = np.pad(codes, ((0, 0), (1, 1)), constant_values=ALPHABET - 1)
+        codes = np.where(points < len(_LETTERS), _LETTERS[np.minimum(points, len(_LETTERS) - 1)], 27 + points.astype(np.int32) % 36)
+        codes = np.pad(codes.astype(np.int32), ((0, 0), (1, 1)), constant_values=ALPHABET - 1)
         first, second, third = (codes[:, places[:, k]] for k in range(3))
-        triple = (first * ALPHABET + second) * ALPHABET + third
-        triple[(first == 0) | (second == 0) | (third == 0)] = 0
-        decays = np.where(triple > 0, decay, np.float32(0))
+        letters = (first > 0) & (second > 0) & (third > 0)
+        triple = ((first * ALPHABET + second) * ALPHABET + third) * letters
+        decays = decay * letters
         norm = np.sqrt((decays * decays).sum(axis=1, keepdims=True))
         out.append((np.array(rows), triple, decays / np.where(norm > 0, norm, 1)))
     return out
 
 
 class Scorer(dict):
-    """Margin of every word; known words are kept up to a bound."""
+    """Margin of every unit, that of its strongest word; what is known is kept up to a bound."""
 
     def __init__(self, table: np.ndarray, offset: float):
         super().__init__()
         self.table, self.offset = table, offset
+        self.words: dict[str, float] = {}
 
     def margins(self, words: list[str]) -> np.ndarray:
         out = np.full(len(words), self.offset)
@@ -113,26 +118,30 @@ class Scorer(dict):
                 out[start + rows] += (self.table[triple] * decay).sum(axis=1)
         return out
 
-    def learn(self, words: list[str]) -> None:
-        new = {w for w in words if w not in self}
+    def learn(self, words: set[str]) -> None:
+        new = words.difference(self)
         if not new:
             return
         if len(self) + len(new) > KNOWN_WORDS:
             self.clear()
-            new = set(words)
-        names = list(new)
-        parts = [_windows(w) for w in names]
-        margins = self.margins([p for ps in parts for p in ps])
-        starts = np.cumsum([0] + [len(ps) for ps in parts[:-1]])
-        self.update(zip(names, np.maximum.reduceat(margins, starts).tolist(), strict=True))
-
-    def summary(self, text: str | None) -> np.ndarray:
+            new = words
+        if len(self.words) > KNOWN_WORDS:
+            self.words.clear()
+        split = {unit: words_of(unit) for unit in new}
+        fresh = list({w for ws in split.values() for w in ws if w not in self.words})
+        self.words.update(zip(fresh, self.margins(fresh).tolist(), strict=True))
+        self.update((unit, max(map(self.words.__getitem__, ws), default=self.offset)) for unit, ws in split.items())
+
+    def summaries(self, texts: list[str | None]) -> np.ndarray:
+        rows = [units(t) if t else [] for t in texts]
+        self.learn(set(chain.from_iterable(rows)))
+        return np.array([self.summary(words) for words in rows]).reshape(-1, _STRONGEST + 2)
+
+    def summary(self, words: list[str]) -> np.ndarray:
         """The strongest margins of the text, largest first, the log of the number of words on the toxic side, and that of all words."""
-        words = units(text) if text else []
         out = np.full(_STRONGEST + 2, -2.0)
         out[_STRONGEST:] = 0
         if words:
-            self.learn(words)
             margins = np.fromiter(map(self.__getitem__, words), dtype=np.float64, count=len(words))
             top = np.sort(np.partition(margins, max(0, len(margins) - _STRONGEST))[-_STRONGEST:])[::-1]
             out[:len(top)] = np.clip(top, -2, 2)
@@ -171,7 +180,7 @@ def disguises(word: str) -> list[str]:
 def _word_counts(sample: DataFrame) -> DataFrame:
     """(word, toxic, clean): in how many different labelled sentences of each class a word stands. Copies of a sentence count once."""
     def split(texts):
-        pairs = [[(hash_text(s), w) for s in _SENTENCE.split(t or "") for w in {p for u in units(s) for p in _windows(u)}]
+        pairs = [[(hash_text(s), w) for s in _SENTENCE.split(t or "") for w in {p for u in units(s) for p in words_of(u)}]
                  for t in texts.to_pylist()]
         return [[h for h, _ in row] for row in pairs], [[w for _, w in row] for row in pairs]
 
@@ -260,7 +269,7 @@ def _fit_words(bad: list, usual: list) -> Model:
 
 def _summaries(df: DataFrame, model: Model) -> DataFrame:
     shared = df.sparkSession.sparkContext.broadcast(model)
-    return computed(df, ["text"], "_summary array<double>", lambda state, texts: [[state.summary(t).tolist() for t in texts.to_pylist()]],
+    return computed(df, ["text"], "_summary array<double>", lambda state, texts: [state.summaries(texts.to_pylist()).tolist()],
                     lambda: Scorer(shared.value.table, shared.value.offset), keep=["toxic"])
 
 
@@ -273,7 +282,7 @@ def score_toxicity(df: DataFrame, model: Model, text_col: str = "text", threshol
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     def judge(state: Scorer, texts):
-        rows = np.array([state.summary(t) for t in texts.to_pylist()]).reshape(-1, _STRONGEST + 2)
+        rows = state.summaries(texts.to_pylist())
         scores = shared.value.probability(rows)
         return scores.tolist(), (scores >= threshold).astype(int).tolist()
 
