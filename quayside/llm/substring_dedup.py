@@ -136,6 +136,8 @@ def find_repeats(df: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text
     sampled = computed(docs, ["_text"], "keys array<long>", sample, keep=["_doc", "_hash"])
     keys = sampled.select("_doc", "_hash", F.explode("keys").alias("key"))
     shared = keys.groupBy("key").agg(F.min("_doc").alias("a"), F.max("_doc").alias("b")).where(F.col("a") < F.col("b")).select("key")
+    # Stored, so that the join has two plain sides and the rows of a hot key can be split.
+    shared = written(shared, "shared")
     wanted = written(keys.join(shared, "key").groupBy("_doc", "_hash").agg(F.collect_set("key").alias("keys")), "anchors")
     values = wanted.agg(F.sum(F.size("keys") + 2)).first()[0] or 0
 
@@ -156,6 +158,7 @@ def find_repeats(df: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text
         "_doc", "_hash", F.col("w.starts").alias("start"), F.col("w.prints").alias("print"))
     place = F.struct("_doc", "start", "_hash")
     first = windows.groupBy("print").agg(F.min(place).alias("ref"), F.max("_doc").alias("last")).where(F.col("ref._doc") < F.col("last")).select("print", "ref")
+    first = written(first, "first")
     # A block of a reference document is the least that a shard holds.
     block = F.floor(F.col("ref.start") / SHARD_WORDS)
     hits = windows.join(first, "print").where((F.col("_doc") > F.col("ref._doc")) | (F.struct("_doc", "start", "_hash") == F.col("ref")))
