@@ -90,17 +90,21 @@ def _prefix(values: np.ndarray, counts: np.ndarray, percent: int) -> np.ndarray:
     return values[np.lexsort((values, counts[_counter(values)]))[:size]]
 
 
+def bitmap(values: np.ndarray, bits: int) -> np.ndarray:
+    """One bit per token, ``bits`` (a power of two) in all."""
+    out = np.zeros(bits, dtype=bool)
+    out[(values % np.uint64(bits)).astype(np.int64)] = True
+    return np.packbits(out, bitorder="little").view(np.uint64)
+
+
+def _width(size: int, per_token: int) -> int:
+    return max(64, 1 << (per_token * max(size, 1) - 1).bit_length())
+
+
 class SignatureTree:
-    """Sets of a cell, with their bitmaps, in levels from the leaves up."""
-
-    def __init__(self, sets: list[np.ndarray]):
-        self.sets = sets
-        sizes = np.array([len(s) for s in sets], dtype=np.int64)
-        bits = max(1024, 1 << int(8 * max(sizes, default=1) - 1).bit_length())
-        maps = np.zeros((len(sets), bits // 64), dtype=np.uint64)
-        for row, values in enumerate(sets):
-            at = (values % np.uint64(bits)).astype(np.int64)
-            np.bitwise_or.at(maps[row], at // 64, np.uint64(1) << (at % 64).astype(np.uint64))
+    """Bitmaps of the sets of a cell, of equal width, in levels from the leaves up; ``sizes`` are the sets'."""
+
+    def __init__(self, maps: np.ndarray, sizes: np.ndarray):
         own = np.bitwise_count(maps).sum(axis=1, dtype=np.int64)
         # (OR, AND, smallest size, largest size, most tokens that share a bit with another)
         self.levels = [(maps, maps, sizes, sizes, sizes - own)]
@@ -154,7 +158,9 @@ class SignatureTree:
 def linked(sets: list[np.ndarray], percent: int = PERCENT) -> np.ndarray:
     """For each set the first set (in the given order) that it reaches by links; ties in nothing: a set without links is its own."""
     order = sorted(range(len(sets)), key=lambda i: (len(sets[i]), sets[i][:1].tolist()))
-    tree = SignatureTree([sets[i] for i in order])
+    inside = [sets[i] for i in order]
+    bits = _width(max(map(len, sets), default=1), 8)
+    tree = SignatureTree(np.array([bitmap(s, bits) for s in inside]), np.array([len(s) for s in inside], dtype=np.int64))
     root = np.arange(len(sets))
 
     def connected(level: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -169,7 +175,7 @@ def linked(sets: list[np.ndarray], percent: int = PERCENT) -> np.ndarray:
         for x, y in zip(a.tolist(), b.tolist(), strict=True):
             if root[x] == root[y]:
                 continue
-            one, two = tree.sets[x], tree.sets[y]
+            one, two = inside[x], inside[y]
             both = len(np.intersect1d(one, two, assume_unique=True))
             if both and 100 * both >= percent * (len(one) + len(two) - both):
                 root[root == max(root[x], root[y])] = min(root[x], root[y])
@@ -182,6 +188,31 @@ def linked(sets: list[np.ndarray], percent: int = PERCENT) -> np.ndarray:
     return out
 
 
+def possible(maps: list[np.ndarray], sizes: list[int], percent: int = PERCENT) -> np.ndarray:
+    """Which sets have another one in the cell that their bitmaps alone do not exclude.
+
+    Bitmaps are as wide as their own set asks for (a power of two). Sets that may be linked differ in size by less than a
+    factor of two, so each width is held against itself and the next one, folded to its half.
+    """
+    widths = np.array([len(m) for m in maps])
+    sizes_ = np.array(sizes, dtype=np.int64)
+    hit = np.zeros(len(maps), dtype=bool)
+    for width in sorted(set(widths.tolist())):
+        rows = np.flatnonzero((widths == width) | (widths == 2 * width))
+        rows = rows[np.argsort(sizes_[rows], kind="stable")]
+        folded = [maps[r] if len(maps[r]) == width else maps[r][:width] | maps[r][width:] for r in rows]
+        tree, marked = SignatureTree(np.array(folded), sizes_[rows]), np.zeros(len(rows), dtype=bool)
+
+        def done(level: int, a: np.ndarray, b: np.ndarray, marked=marked) -> np.ndarray:
+            every = np.minimum.reduceat(marked, np.arange(0, len(marked), _FANOUT**level)) if level else marked
+            return every[a] & every[b]
+
+        for a, b in tree.candidates(percent, done):
+            marked[a] = marked[b] = True
+        hit[rows[marked]] = True
+    return hit
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, label): the smallest node that each node of ``edges`` (a, b) reaches. Nothing of it is gathered on the driver."""
     both = written(edges.select("a", "b").unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
@@ -198,6 +229,19 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def _largest(members: DataFrame) -> DataFrame:
+    """``members`` without the cells that lie within another one: all their pairs meet there.
+
+    A cell is named after its smallest class, and is held against the smallest cell that has this class: among near copies that
+    is the cell around the smallest of them, so of the many cells of a group about one is left.
+    """
+    above = members.groupBy(F.col("one").alias("cell")).agg(F.min("cell").alias("above")).where("above < cell")
+    held = members.join(above, "cell").select("cell", "above", "one")
+    inside = members.select(F.col("cell").alias("above"), "one", F.lit(1).alias("in")).distinct()
+    within = held.join(inside, ["above", "one"], "left").groupBy("cell").agg(F.count("in").alias("i"), F.count("*").alias("n")).where("i = n")
+    return written(members.join(within, "cell", "left_anti"), "members")
+
+
 def _edges(docs: DataFrame, cells: DataFrame, width: int, percent: int) -> DataFrame:
     """(a, b): what the classes of each cell are linked to, from (cell, x, y, rep) with ``rep`` the class's document."""
     per_document = cells.select(F.col("rep._doc").alias("_doc"), F.col("rep._hash").alias("_hash"), F.struct("cell", "x", "y").alias("where")).groupBy(
@@ -205,13 +249,29 @@ def _edges(docs: DataFrame, cells: DataFrame, width: int, percent: int) -> DataF
     needed = written(per_document, "cells")
     values = needed.agg(F.sum(F.size("cells") * 3 + 2)).first()[0] or 0
 
+    def maps(texts):
+        sets = shingle_sets(texts, width)
+        return [bitmap(s, _width(len(s), 2)).tobytes() for s in sets], [len(s) for s in sets]
+
+    def screen(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.drop_duplicates(["_doc", "_hash"])
+        hit = possible([np.frombuffer(b, dtype=np.uint64) for b in group["bits"]], group["n"].tolist(), percent)
+        return group.loc[hit, ["cell", "x", "y", "_doc", "_hash"]]
+
+    # First the bitmaps, a quarter of a byte per shingle, go to the cells; only what they leave follows with whole sets.
+    kind = docs.schema["_doc"].dataType.simpleString()
+    bits = computed(docs.join(lookup(needed, values, LOOKUP_VALUES), ["_doc", "_hash"]), ["_text"], "bits binary, n long", maps, keep=["_doc", "_hash", "cells"])
+    sent = bits.select("_doc", "_hash", "bits", "n", F.explode("cells").alias("w")).select("_doc", "_hash", "bits", "n", "w.*")
+    left = sent.groupBy("cell", "x", "y").applyInPandas(screen, f"cell long, x long, y long, _doc {kind}, _hash long")
+    needed = written(left.groupBy("_doc", "_hash").agg(F.collect_list(F.struct("cell", "x", "y")).alias("cells")), "cells")
+    values = needed.agg(F.sum(F.size("cells") * 3 + 2)).first()[0] or 0
+
     def sets(texts):
         return [[s.tobytes() for s in shingle_sets(texts, width)]]
 
     joined = docs.join(lookup(needed, values, LOOKUP_VALUES), ["_doc", "_hash"])
     rows = computed(joined, ["_text"], "shingles binary", sets, keep=["_doc", "cells"])
     placed = rows.select("_doc", "shingles", F.explode("cells").alias("w")).select("_doc", "shingles", "w.*")
-    kind = docs.schema["_doc"].dataType.simpleString()
 
     def link(group: pd.DataFrame) -> pd.DataFrame:
         group = group.drop_duplicates("_doc").sort_values("_doc")
@@ -233,23 +293,32 @@ def near_groups(df: DataFrame, width: int = WIDTH, percent: int = PERCENT, id_co
     docs = df.select(ids.alias("_doc"), F.xxhash64(text).alias("_hash"), text.alias("_text"))
     shared_counts = df.sparkSession.sparkContext.broadcast(rarity(docs, "_text", width))
 
+    def one_of(values: np.ndarray) -> int:
+        return int(np.add.reduce(mixed(values), dtype=np.uint64).view(np.int64))
+
     def mark(texts):
-        sizes, one, two, keys = [], [], [], []
+        sizes, one, two = [], [], []
         for values in shingle_sets(texts, width):
             sizes.append(len(values))
-            one.append(np.add.reduce(mixed(values), dtype=np.uint64).view(np.int64) if len(values) else 0)
-            two.append(np.bitwise_xor.reduce(mixed(values + np.uint64(0x5851F42D4C957F2D))).view(np.int64) if len(values) else 0)
-            keys.append(_prefix(values, shared_counts.value, percent).view(np.int64) if len(values) else [])
-        return sizes, one, two, keys
+            one.append(one_of(values))
+            two.append(int(np.bitwise_xor.reduce(mixed(values + np.uint64(0x5851F42D4C957F2D)), initial=np.uint64(0)).view(np.int64)))
+        return sizes, one, two
+
+    def prefixes(texts):
+        sets = shingle_sets(texts, width)
+        return [one_of(v) for v in sets], [_prefix(v, shared_counts.value, percent).view(np.int64) if len(v) else [] for v in sets]
 
-    marked = written(computed(docs, ["_text"], "n long, one long, two long, keys array<long>", mark, keep=["_doc", "_hash"]), "prefixes")
+    marked = written(computed(docs, ["_text"], "n long, one long, two long", mark, keep=["_doc", "_hash"]), "classes")
     classed = marked.where((F.col("n") > 0) & F.col("_doc").isNotNull())
     same = ["n", "one", "two"]
     classes = classed.groupBy(*same).agg(F.min(F.struct("_doc", "_hash")).alias("rep"))
-    keys = classed.select(F.explode("keys").alias("key"), "one")
+    # A fifth of all shingles: computed again for each use rather than stored.
+    keys = computed(docs.where(F.col("_doc").isNotNull()), ["_text"], "one long, keys array<long>", prefixes, keep=[]).select(F.explode("keys").alias("key"), "one")
     met = keys.groupBy("key").agg(F.min("one").alias("cell"), F.max("one").alias("last")).where(F.col("cell") < F.col("last")).select("key", "cell")
-    members = keys.join(met, "key").select("cell", "one").distinct().join(classes, "one").select("cell", "n", "rep")
-    members = written(members, "members")
+    # Stored, so that the join has two plain sides and the rows of a hot key can be split.
+    met = written(met, "met")
+    members = keys.join(met, "key").select("cell", "one").distinct().join(classes, "one").select("cell", "one", "n", "rep")
+    members = _largest(written(members, "members"))
     size = members.groupBy("cell").agg(F.greatest(F.ceil(F.sum("n") / CELL_SHINGLES), F.ceil(F.count("*") / CELL_CLASSES)).alias("shares"))
     split = members.join(size, "cell").withColumn("share", F.pmod(F.xxhash64("rep", "cell"), F.col("shares")))
     grid = split.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("shares") - 1))).select(
