@@ -58,12 +58,12 @@ msg AS (SELECT *,
 MASKED = """CASE WHEN is_token THEN '****************' WHEN length(pan) <= 10 THEN pan
   ELSE substr(pan, 1, 6) || repeat('*', length(pan) - 10) || right(pan, 4) END"""
 
-RULES = "BNK001:*:*:MASK,BNPP:PAYMENT:*:NONE, *:*:2.0:remove ,SOCGEN:transfer:*:REMOVE"
+RULES = "ALDER:*:*:MASK,MAPLE:CHARGE:*:NONE, *:*:4.0:remove ,ROWAN:sweep:*:REMOVE"
 
 
 def strategy_sql(institution: str) -> str:
-    return f"""CASE WHEN {institution} = 'BNK001' THEN 'MASK' WHEN {institution} = 'BNPP' AND event_type = 'PAYMENT' THEN 'NONE'
-  WHEN event_version = '2.0' THEN 'REMOVE' WHEN {institution} = 'SOCGEN' AND event_type = 'TRANSFER' THEN 'REMOVE'
+    return f"""CASE WHEN {institution} = 'ALDER' THEN 'MASK' WHEN {institution} = 'MAPLE' AND event_type = 'CHARGE' THEN 'NONE'
+  WHEN event_version = '4.0' THEN 'REMOVE' WHEN {institution} = 'ROWAN' AND event_type = 'SWEEP' THEN 'REMOVE'
   ELSE 'MASK' END"""
 
 
@@ -115,36 +115,36 @@ def protect_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # More rules than a CASE chain should hold, in every wildcard shape; several match the same message.
 MANY_RULES = """
-BNK001:PAYMENT:1.0:MASK,BNK001:PAYMENT:1.1:REMOVE,BNK001:REFUND:1.0:REMOVE,BNK001:REFUND:1.1:NONE,BNK001:Transfer:1.0:NONE,
-BNK001:Transfer:1.1:MASK,BNK001:WITHDRAWAL:1.0:MASK,*:DEPOSIT:1.1:NONE,BNK001:WITHDRAWAL:1.1:REMOVE,BNK001:DEPOSIT:1.0:REMOVE,
-BNK002:PAYMENT:1.0:REMOVE,BNK002:PAYMENT:1.1:NONE,BNK002:REFUND:1.0:NONE,BNK002:REFUND:1.1:MASK,BNK002:Transfer:1.0:MASK,
-BNK002:Transfer:1.1:REMOVE,BNK002:WITHDRAWAL:1.0:REMOVE,bnk003:PAYMENT:1.0:NONE,bnk003:PAYMENT:1.1:MASK,bnk003:REFUND:1.0:MASK,
-BNPP:*:1.0:REMOVE,bnk003:REFUND:1.1:REMOVE,bnk003:Transfer:1.0:REMOVE,bnk003:Transfer:1.1:NONE,HSBC:PAYMENT:1.0:MASK,
-HSBC:REFUND:1.0:REMOVE,HSBC:Transfer:1.1:MASK,HSBC:DEPOSIT:1.0:REMOVE,BNPP:PAYMENT:1.1:NONE,BNPP:REFUND:1.1:MASK,
-BNPP:WITHDRAWAL:1.1:REMOVE,SOCGEN:PAYMENT:1.0:NONE,SOCGEN:PAYMENT:1.1:MASK,SOCGEN:REFUND:1.0:MASK,SOCGEN:Transfer:1.0:REMOVE,
-SOCGEN:DEPOSIT:1.0:MASK,SOCGEN:DEPOSIT:1.1:REMOVE,*:refund:*:MASK,HSBC:*:*:NONE,*:*:1.1:REMOVE,SOCGEN:WITHDRAWAL:*:REMOVE,
-*:PAYMENT:2.0:NONE"""
+ALDER:CHARGE:3.0:MASK,ALDER:CHARGE:3.1:REMOVE,ALDER:REVERSAL:3.0:REMOVE,ALDER:REVERSAL:3.1:NONE,ALDER:Sweep:3.0:NONE,
+ALDER:Sweep:3.1:MASK,ALDER:CASHOUT:3.0:MASK,*:TOPUP:3.1:NONE,ALDER:CASHOUT:3.1:REMOVE,ALDER:TOPUP:3.0:REMOVE,
+BIRCH:CHARGE:3.0:REMOVE,BIRCH:CHARGE:3.1:NONE,BIRCH:REVERSAL:3.0:NONE,BIRCH:REVERSAL:3.1:MASK,BIRCH:Sweep:3.0:MASK,
+BIRCH:Sweep:3.1:REMOVE,BIRCH:CASHOUT:3.0:REMOVE,cedar:CHARGE:3.0:NONE,cedar:CHARGE:3.1:MASK,cedar:REVERSAL:3.0:MASK,
+MAPLE:*:3.0:REMOVE,cedar:REVERSAL:3.1:REMOVE,cedar:Sweep:3.0:REMOVE,cedar:Sweep:3.1:NONE,LARCH:CHARGE:3.0:MASK,
+LARCH:REVERSAL:3.0:REMOVE,LARCH:Sweep:3.1:MASK,LARCH:TOPUP:3.0:REMOVE,MAPLE:CHARGE:3.1:NONE,MAPLE:REVERSAL:3.1:MASK,
+MAPLE:CASHOUT:3.1:REMOVE,ROWAN:CHARGE:3.0:NONE,ROWAN:CHARGE:3.1:MASK,ROWAN:REVERSAL:3.0:MASK,ROWAN:Sweep:3.0:REMOVE,
+ROWAN:TOPUP:3.0:MASK,ROWAN:TOPUP:3.1:REMOVE,*:reversal:*:MASK,LARCH:*:*:NONE,*:*:3.1:REMOVE,ROWAN:CASHOUT:*:REMOVE,
+*:CHARGE:4.0:NONE"""
 # The same list for DuckDB, written out: rule number, tenant, type, version, outcome.
 MANY_RULES_SQL = """
-(1, 'BNK001', 'PAYMENT', '1.0', 'MASK'), (2, 'BNK001', 'PAYMENT', '1.1', 'REMOVE'),
-(3, 'BNK001', 'REFUND', '1.0', 'REMOVE'), (4, 'BNK001', 'REFUND', '1.1', 'NONE'),
-(5, 'BNK001', 'Transfer', '1.0', 'NONE'), (6, 'BNK001', 'Transfer', '1.1', 'MASK'),
-(7, 'BNK001', 'WITHDRAWAL', '1.0', 'MASK'), (8, '*', 'DEPOSIT', '1.1', 'NONE'),
-(9, 'BNK001', 'WITHDRAWAL', '1.1', 'REMOVE'), (10, 'BNK001', 'DEPOSIT', '1.0', 'REMOVE'),
-(11, 'BNK002', 'PAYMENT', '1.0', 'REMOVE'), (12, 'BNK002', 'PAYMENT', '1.1', 'NONE'),
-(13, 'BNK002', 'REFUND', '1.0', 'NONE'), (14, 'BNK002', 'REFUND', '1.1', 'MASK'),
-(15, 'BNK002', 'Transfer', '1.0', 'MASK'), (16, 'BNK002', 'Transfer', '1.1', 'REMOVE'),
-(17, 'BNK002', 'WITHDRAWAL', '1.0', 'REMOVE'), (18, 'bnk003', 'PAYMENT', '1.0', 'NONE'),
-(19, 'bnk003', 'PAYMENT', '1.1', 'MASK'), (20, 'bnk003', 'REFUND', '1.0', 'MASK'), (21, 'BNPP', '*', '1.0', 'REMOVE'),
-(22, 'bnk003', 'REFUND', '1.1', 'REMOVE'), (23, 'bnk003', 'Transfer', '1.0', 'REMOVE'),
-(24, 'bnk003', 'Transfer', '1.1', 'NONE'), (25, 'HSBC', 'PAYMENT', '1.0', 'MASK'),
-(26, 'HSBC', 'REFUND', '1.0', 'REMOVE'), (27, 'HSBC', 'Transfer', '1.1', 'MASK'),
-(28, 'HSBC', 'DEPOSIT', '1.0', 'REMOVE'), (29, 'BNPP', 'PAYMENT', '1.1', 'NONE'), (30, 'BNPP', 'REFUND', '1.1', 'MASK'),
-(31, 'BNPP', 'WITHDRAWAL', '1.1', 'REMOVE'), (32, 'SOCGEN', 'PAYMENT', '1.0', 'NONE'),
-(33, 'SOCGEN', 'PAYMENT', '1.1', 'MASK'), (34, 'SOCGEN', 'REFUND', '1.0', 'MASK'),
-(35, 'SOCGEN', 'Transfer', '1.0', 'REMOVE'), (36, 'SOCGEN', 'DEPOSIT', '1.0', 'MASK'),
-(37, 'SOCGEN', 'DEPOSIT', '1.1', 'REMOVE'), (38, '*', 'refund', '*', 'MASK'), (39, 'HSBC', '*', '*', 'NONE'),
-(40, '*', '*', '1.1', 'REMOVE'), (41, 'SOCGEN', 'WITHDRAWAL', '*', 'REMOVE'), (42, '*', 'PAYMENT', '2.0', 'NONE')"""
+(1, 'ALDER', 'CHARGE', '3.0', 'MASK'), (2, 'ALDER', 'CHARGE', '3.1', 'REMOVE'),
+(3, 'ALDER', 'REVERSAL', '3.0', 'REMOVE'), (4, 'ALDER', 'REVERSAL', '3.1', 'NONE'),
+(5, 'ALDER', 'Sweep', '3.0', 'NONE'), (6, 'ALDER', 'Sweep', '3.1', 'MASK'),
+(7, 'ALDER', 'CASHOUT', '3.0', 'MASK'), (8, '*', 'TOPUP', '3.1', 'NONE'),
+(9, 'ALDER', 'CASHOUT', '3.1', 'REMOVE'), (10, 'ALDER', 'TOPUP', '3.0', 'REMOVE'),
+(11, 'BIRCH', 'CHARGE', '3.0', 'REMOVE'), (12, 'BIRCH', 'CHARGE', '3.1', 'NONE'),
+(13, 'BIRCH', 'REVERSAL', '3.0', 'NONE'), (14, 'BIRCH', 'REVERSAL', '3.1', 'MASK'),
+(15, 'BIRCH', 'Sweep', '3.0', 'MASK'), (16, 'BIRCH', 'Sweep', '3.1', 'REMOVE'),
+(17, 'BIRCH', 'CASHOUT', '3.0', 'REMOVE'), (18, 'cedar', 'CHARGE', '3.0', 'NONE'),
+(19, 'cedar', 'CHARGE', '3.1', 'MASK'), (20, 'cedar', 'REVERSAL', '3.0', 'MASK'), (21, 'MAPLE', '*', '3.0', 'REMOVE'),
+(22, 'cedar', 'REVERSAL', '3.1', 'REMOVE'), (23, 'cedar', 'Sweep', '3.0', 'REMOVE'),
+(24, 'cedar', 'Sweep', '3.1', 'NONE'), (25, 'LARCH', 'CHARGE', '3.0', 'MASK'),
+(26, 'LARCH', 'REVERSAL', '3.0', 'REMOVE'), (27, 'LARCH', 'Sweep', '3.1', 'MASK'),
+(28, 'LARCH', 'TOPUP', '3.0', 'REMOVE'), (29, 'MAPLE', 'CHARGE', '3.1', 'NONE'), (30, 'MAPLE', 'REVERSAL', '3.1', 'MASK'),
+(31, 'MAPLE', 'CASHOUT', '3.1', 'REMOVE'), (32, 'ROWAN', 'CHARGE', '3.0', 'NONE'),
+(33, 'ROWAN', 'CHARGE', '3.1', 'MASK'), (34, 'ROWAN', 'REVERSAL', '3.0', 'MASK'),
+(35, 'ROWAN', 'Sweep', '3.0', 'REMOVE'), (36, 'ROWAN', 'TOPUP', '3.0', 'MASK'),
+(37, 'ROWAN', 'TOPUP', '3.1', 'REMOVE'), (38, '*', 'reversal', '*', 'MASK'), (39, 'LARCH', '*', '*', 'NONE'),
+(40, '*', '*', '3.1', 'REMOVE'), (41, 'ROWAN', 'CASHOUT', '*', 'REMOVE'), (42, '*', 'CHARGE', '4.0', 'NONE')"""
 
 
 @query("protect_by_rules", f"""WITH {MESSAGES},
@@ -170,7 +170,7 @@ def protect_by_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records whose card numbers are real tokens where the tenant's policy decrypts them."""
     flat = sample.spread(sample.messages(spark, sf_dir))
-    decrypting = F.col("institution").isin("BNK002", "BNK003", "BNPP") & (F.col("header_case") != "stale")
+    decrypting = F.col("institution").isin("BIRCH", "CEDAR", "MAPLE") & (F.col("header_case") != "stale")
     wanted = decrypting & F.col("value_case").isin("text", "null") & F.col("pan").isNotNull() & ~masking.is_token(
         F.col("pan")
     )
@@ -185,8 +185,8 @@ def crypto(spark: SparkSession) -> Crypto:
     )
 
 
-BY_POLICY = f"""WITH {MESSAGES}, chosen AS (SELECT *, CASE inst_first WHEN 'BNK001' THEN 'REMOVE' WHEN 'BNK002' THEN 'DECRYPT'
-    WHEN 'BNK003' THEN 'REKEY' WHEN 'HSBC' THEN 'MASK' WHEN 'BNPP' THEN 'TOKENIZE' ELSE 'MASK' END AS strategy FROM msg),
+BY_POLICY = f"""WITH {MESSAGES}, chosen AS (SELECT *, CASE inst_first WHEN 'ALDER' THEN 'REMOVE' WHEN 'BIRCH' THEN 'DECRYPT'
+    WHEN 'CEDAR' THEN 'REKEY' WHEN 'LARCH' THEN 'MASK' WHEN 'MAPLE' THEN 'TOKENIZE' ELSE 'MASK' END AS strategy FROM msg),
 failed AS (SELECT *, CASE WHEN value_case = 'broken' THEN 'decode'
   WHEN strategy <> 'REMOVE' AND value_case = 'number' THEN 'protect'
   WHEN strategy IN ('DECRYPT', 'REKEY', 'TOKENIZE') AND value_case = 'text' AND (pan IS NULL OR is_token) THEN 'jwe'
@@ -210,7 +210,7 @@ def protect_by_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
     shown = (
         F.when(strategy == "REKEY", F.col("opened"))
         .when(strategy == "TOKENIZE", member(record, "tokenizedPAN"))
-        .when(F.col("institution") == "HSBC", member(record, "maskedNumber"))
+        .when(F.col("institution") == "LARCH", member(record, "maskedNumber"))
         .otherwise(member(record, "primaryAccountNumber"))
     )
     return done.select(
@@ -328,7 +328,7 @@ def fold_inline(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.try_element_at(found, F.lit("X-User-Id")).alias("user_id"),
         member(record, "transactionId").alias("transaction_id"),
         F.try_variant_get(F.try_element_at(record, F.lit("amount")), "$", "double").alias("amount"),
-        F.try_element_at(found, F.lit("Demo Merchant 1")).alias("overwritten"),
+        F.try_element_at(found, F.lit("Shop 1")).alias("overwritten"),
     )
 
 
@@ -372,9 +372,9 @@ def decode_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- encryption decisions and rule parsing
 
 @query("encrypt_decision_record", f"""WITH {MESSAGES} SELECT record_offset, institution,
-  CASE WHEN institution IN ('BNK002') THEN event_type IS NULL OR NOT (event_type = 'PAYMENT' AND event_version = '1.0')
-       WHEN institution = 'HSBC' THEN TRUE
-       WHEN institution = 'BNPP' THEN event_type IS NULL OR event_type = 'PAYMENT' OR (event_type = 'TRANSFER' AND event_version = '2.0')
+  CASE WHEN institution IN ('BIRCH') THEN event_type IS NULL OR NOT (event_type = 'CHARGE' AND event_version = '3.0')
+       WHEN institution = 'LARCH' THEN TRUE
+       WHEN institution = 'MAPLE' THEN event_type IS NULL OR event_type = 'CHARGE' OR (event_type = 'SWEEP' AND event_version = '4.0')
        ELSE FALSE END AS encrypted
 FROM msg""")
 def encrypt_decision_record(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -382,9 +382,9 @@ def encrypt_decision_record(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("encrypt_decision_file", f"""WITH {MESSAGES} SELECT record_offset, institution,
-  CASE WHEN institution IN ('BNK002') THEN coalesce(event_type = 'REFUND', FALSE)
-       WHEN institution = 'HSBC' THEN TRUE
-       WHEN institution = 'BNPP' THEN coalesce(event_type = 'PAYMENT' OR (event_type = 'TRANSFER' AND event_version = '2.0'), FALSE)
+  CASE WHEN institution IN ('BIRCH') THEN coalesce(event_type = 'REVERSAL', FALSE)
+       WHEN institution = 'LARCH' THEN TRUE
+       WHEN institution = 'MAPLE' THEN coalesce(event_type = 'CHARGE' OR (event_type = 'SWEEP' AND event_version = '4.0'), FALSE)
        ELSE FALSE END AS encrypted
 FROM msg""")
 def encrypt_decision_file(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -442,8 +442,8 @@ for _mode in ("strict", "lenient", "file"):
 
 
 @query("rules_first_match", f"""WITH {MESSAGES} SELECT record_offset,
-  CAST(CASE WHEN institution = 'BNK001' THEN 1 WHEN institution = 'BNPP' AND event_type = 'PAYMENT' THEN 2
-    WHEN event_version = '2.0' THEN 3 WHEN institution = 'SOCGEN' AND event_type = 'TRANSFER' THEN 4 END AS INTEGER) AS rule_no,
+  CAST(CASE WHEN institution = 'ALDER' THEN 1 WHEN institution = 'MAPLE' AND event_type = 'CHARGE' THEN 2
+    WHEN event_version = '4.0' THEN 3 WHEN institution = 'ROWAN' AND event_type = 'SWEEP' THEN 4 END AS INTEGER) AS rule_no,
   {strategy_sql('institution')} AS strategy FROM msg""")
 def rules_first_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     flat = sample.messages(spark, sf_dir)
@@ -520,14 +520,14 @@ COARSE = """routed AS (SELECT *, kafka_partition % 2 AS part,
 def coarse(spark: SparkSession, sf_dir: str) -> DataFrame:
     flat = sample.messages(spark, sf_dir)
     return flat.select(
-        F.lit("payments-in").alias("topic"), (F.col("kafka_partition") % 2).alias("partition"),
+        F.lit("card-events").alias("topic"), (F.col("kafka_partition") % 2).alias("partition"),
         F.col("record_offset").alias("offset"), F.col("record_ts").cast("timestamp").alias("timestamp"),
         F.concat(F.coalesce("institution", F.lit("UNKNOWN")), F.date_format("record_ts", "'/day='dd")).alias("path"),
         F.col("transaction_id").alias("line"), "institution", "event_type", "event_version", "amount",
     )
 
 
-NAME = "concat('payments-in+', CAST(part AS VARCHAR), '+', lpad(CAST(min(record_offset) AS VARCHAR), 10, '0'))"
+NAME = "concat('card-events+', CAST(part AS VARCHAR), '+', lpad(CAST(min(record_offset) AS VARCHAR), 10, '0'))"
 
 
 @query("file_manifest", f"""WITH {MESSAGES}, {COARSE}, {FILES}
@@ -542,9 +542,9 @@ def file_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT path, {NAME} AS name, arg_min(coalesce(event_type, '-'), record_offset) AS event_type,
   arg_min(event_version, record_offset) AS event_version,
   CASE WHEN arg_min(institution, record_offset) IS NULL THEN FALSE ELSE coalesce(CASE arg_min(institution, record_offset)
-    WHEN 'BNK002' THEN arg_min(coalesce(event_type, '-'), record_offset) = 'REFUND' WHEN 'HSBC' THEN TRUE
-    WHEN 'BNPP' THEN arg_min(coalesce(event_type, '-'), record_offset) = 'PAYMENT'
-      OR (arg_min(coalesce(event_type, '-'), record_offset) = 'TRANSFER' AND arg_min(event_version, record_offset) = '2.0')
+    WHEN 'BIRCH' THEN arg_min(coalesce(event_type, '-'), record_offset) = 'REVERSAL' WHEN 'LARCH' THEN TRUE
+    WHEN 'MAPLE' THEN arg_min(coalesce(event_type, '-'), record_offset) = 'CHARGE'
+      OR (arg_min(coalesce(event_type, '-'), record_offset) = 'SWEEP' AND arg_min(event_version, record_offset) = '4.0')
     ELSE FALSE END, FALSE) END AS sealed
 FROM filed GROUP BY path, part, file_no""")
 def file_first_decides(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -583,7 +583,7 @@ def report_strategy_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.strategy_counts(choose_by_rules(sample.messages(spark, sf_dir), PROTECT))
 
 
-TYPES = ["PAYMENT", "REFUND", "TRANSFER", "WITHDRAWAL", "DEPOSIT"]
+TYPES = ["CHARGE", "REVERSAL", "SWEEP", "CASHOUT", "TOPUP"]
 
 
 @query("report_matrix", f"""WITH {MESSAGES} SELECT institution, {', '.join(
@@ -603,8 +603,8 @@ def report_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("report_files", f"""WITH {MESSAGES}, {COARSE}, {FILES}, sized AS (SELECT count(*) AS records, min(institution) AS institution,
   arg_min(coalesce(event_type, '-'), record_offset) AS t, arg_min(event_version, record_offset) AS v FROM filed GROUP BY path, part, file_no)
-SELECT institution, count(*) AS files, count(*) FILTER (WHERE institution = 'HSBC' OR (institution = 'BNK002' AND t = 'REFUND')
-  OR (institution = 'BNPP' AND (t = 'PAYMENT' OR (t = 'TRANSFER' AND v = '2.0')))) AS sealed_files,
+SELECT institution, count(*) AS files, count(*) FILTER (WHERE institution = 'LARCH' OR (institution = 'BIRCH' AND t = 'REVERSAL')
+  OR (institution = 'MAPLE' AND (t = 'CHARGE' OR (t = 'SWEEP' AND v = '4.0')))) AS sealed_files,
   CAST(sum(records) AS BIGINT) AS records FROM sized GROUP BY institution""")
 def report_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = manifest(assign_files(coarse(spark, sf_dir), SHARP), SHARP)
@@ -700,7 +700,7 @@ def json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 CONNECTOR = {
-    "topics": "payments-in", "flush.size": "5", "partition.duration.ms": "3600000",
+    "topics": "card-events", "flush.size": "5", "partition.duration.ms": "3600000",
     "partition.field.name": "headers.X-Institution-Id,headers.X-Event-Type,headers.X-Event-Version",
     "partition.field.format.path": "false", "path.format": "'year'=YYYY/'month'=MM/'day'=dd/'hour'=HH",
     "timezone": "UTC", "errors.tolerance": "all", "transforms": "hide,extract",
@@ -820,8 +820,8 @@ hashed AS (SELECT tenant, records, CAST((xor(h3, h3 >> 15) & 2147483647) % 20 AS
 
 
 @query("bank_partition", f"""WITH {MESSAGES}, seen AS (SELECT institution AS tenant, count(*) AS records FROM msg WHERE institution IS NOT NULL GROUP BY 1),
-{MURMUR} SELECT tenant, records, CAST(CASE tenant WHEN 'BNK001' THEN 0 WHEN 'BNK002' THEN 1 WHEN 'BNK003' THEN 2 ELSE p END AS INTEGER) AS partition,
-  tenant IN ('BNK001', 'BNK002', 'BNK003') AS listed FROM hashed""")
+{MURMUR} SELECT tenant, records, CAST(CASE tenant WHEN 'ALDER' THEN 0 WHEN 'BIRCH' THEN 1 WHEN 'CEDAR' THEN 2 ELSE p END AS INTEGER) AS partition,
+  tenant IN ('ALDER', 'BIRCH', 'CEDAR') AS listed FROM hashed""")
 def bank_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tenant_partitions(
         sample.messages(spark, sf_dir), F.col("institution"), partition_map(spark, sample.PARTITION_MAP), 20
@@ -838,18 +838,18 @@ def merchant_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("unmapped_tenants", f"""WITH {MESSAGES} SELECT institution AS tenant, count(*) AS records FROM msg
-WHERE institution IS NULL OR institution NOT IN ('BNK001', 'BNK002', 'BNK003', 'HSBC', 'BNPP', 'BNK006') GROUP BY 1""")
+WHERE institution IS NULL OR institution NOT IN ('ALDER', 'BIRCH', 'CEDAR', 'LARCH', 'MAPLE', 'FIR') GROUP BY 1""")
 def unmapped_tenants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unmapped(sample.messages(spark, sf_dir), F.col("institution"), sample.policy(spark).table, "bank")
 
 
-@query("policy_lookup", f"""WITH {MESSAGES} SELECT record_offset, CASE WHEN institution IN ('BNK001', 'BNK002', 'BNK003', 'HSBC', 'BNPP') THEN institution
+@query("policy_lookup", f"""WITH {MESSAGES} SELECT record_offset, CASE WHEN institution IN ('ALDER', 'BIRCH', 'CEDAR', 'LARCH', 'MAPLE') THEN institution
     ELSE 'DEFAULT' END AS bank,
-  CASE institution WHEN 'BNK001' THEN 'REMOVE' WHEN 'BNK002' THEN 'DECRYPT' WHEN 'BNK003' THEN 'REKEY' WHEN 'HSBC' THEN 'MASK'
-    WHEN 'BNPP' THEN 'TOKENIZE' ELSE 'MASK' END AS strategy,
-  institution IN ('BNK002', 'HSBC', 'BNPP') AND institution IS NOT NULL AS enc_enabled,
-  CASE institution WHEN 'BNK001' THEN '*:*:ENCRYPT' WHEN 'BNK002' THEN 'PAYMENT:1.0:SKIP,refund:*:encrypt' WHEN 'BNK003' THEN NULL
-    WHEN 'HSBC' THEN NULL WHEN 'BNPP' THEN 'PAYMENT:*:ENCRYPT,TRANSFER:2.0:ENCRYPT,*:*:SKIP' ELSE '*:*:SKIP' END AS enc_rules
+  CASE institution WHEN 'ALDER' THEN 'REMOVE' WHEN 'BIRCH' THEN 'DECRYPT' WHEN 'CEDAR' THEN 'REKEY' WHEN 'LARCH' THEN 'MASK'
+    WHEN 'MAPLE' THEN 'TOKENIZE' ELSE 'MASK' END AS strategy,
+  institution IN ('BIRCH', 'LARCH', 'MAPLE') AND institution IS NOT NULL AS enc_enabled,
+  CASE institution WHEN 'ALDER' THEN '*:*:ENCRYPT' WHEN 'BIRCH' THEN 'CHARGE:3.0:SKIP,reversal:*:encrypt' WHEN 'CEDAR' THEN NULL
+    WHEN 'LARCH' THEN NULL WHEN 'MAPLE' THEN 'CHARGE:*:ENCRYPT,SWEEP:4.0:ENCRYPT,*:*:SKIP' ELSE '*:*:SKIP' END AS enc_rules
 FROM msg""")
 def policy_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = sample.policy(spark).attach(sample.messages(spark, sf_dir), F.col("institution"))
@@ -858,8 +858,8 @@ def policy_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-PLACE = """concat(CASE institution WHEN 'BNK003' THEN 'isolated' ELSE 'landing' END, '/', CASE WHEN institution IN
-  ('BNK001', 'BNK002', 'BNK003', 'HSBC', 'BNPP') THEN lower(institution) ELSE 'default' END, '/', strftime(record_ts, 'day=%d'))"""
+PLACE = """concat(CASE institution WHEN 'CEDAR' THEN 'isolated' ELSE 'landing' END, '/', CASE WHEN institution IN
+  ('ALDER', 'BIRCH', 'CEDAR', 'LARCH', 'MAPLE') THEN lower(institution) ELSE 'default' END, '/', strftime(record_ts, 'day=%d'))"""
 
 
 @query("tenant_paths", f"WITH {MESSAGES} SELECT {PLACE} AS path, count(*) AS records FROM msg GROUP BY 1")
@@ -869,8 +869,8 @@ def tenant_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.groupBy("path").agg(F.count("*").alias("records"))
 
 
-@query("tenant_routing", f"""WITH {MESSAGES} SELECT CASE institution WHEN 'BNK003' THEN 'isolated' ELSE 'landing' END AS bucket,
-  CASE WHEN institution IN ('BNK001', 'BNK002', 'BNK003', 'HSBC', 'BNPP') THEN lower(institution) ELSE 'default' END AS path_prefix,
+@query("tenant_routing", f"""WITH {MESSAGES} SELECT CASE institution WHEN 'CEDAR' THEN 'isolated' ELSE 'landing' END AS bucket,
+  CASE WHEN institution IN ('ALDER', 'BIRCH', 'CEDAR', 'LARCH', 'MAPLE') THEN lower(institution) ELSE 'default' END AS path_prefix,
   count(*) AS records FROM msg GROUP BY 1, 2""")
 def tenant_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = sample.policy(spark).attach(sample.messages(spark, sf_dir), F.col("institution"))
@@ -879,8 +879,8 @@ def tenant_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).agg(F.count("*").alias("records"))
 
 
-@query("key_lookup", f"""WITH {MESSAGES}, k AS (SELECT *, CASE institution WHEN 'BNK001' THEN 'keys/partner-1' WHEN 'BNK003' THEN 'keys/partner-3'
-  WHEN 'HSBC' THEN CASE WHEN record_ts >= TIMESTAMP '2024-01-10' AND record_ts < TIMESTAMP '2024-01-20' THEN 'keys/partner-1' END END AS public_key FROM msg)
+@query("key_lookup", f"""WITH {MESSAGES}, k AS (SELECT *, CASE institution WHEN 'ALDER' THEN 'keys/partner-1' WHEN 'CEDAR' THEN 'keys/partner-3'
+  WHEN 'LARCH' THEN CASE WHEN record_ts >= TIMESTAMP '2024-01-10' AND record_ts < TIMESTAMP '2024-01-20' THEN 'keys/partner-1' END END AS public_key FROM msg)
 SELECT record_offset, public_key, CASE WHEN public_key IS NULL THEN 'key' END AS error_stage FROM k""")
 def key_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = partner_keys(spark, sample.PARTNER_TEXT)
@@ -925,9 +925,9 @@ def jwe_rekey(spark: SparkSession, sf_dir: str) -> DataFrame:
     return opened.select("record_offset", "opened", "old_key")
 
 
-@query("record_seal", f"""WITH {MESSAGES}, d AS (SELECT *, CASE WHEN inst_some = 'BNK002' THEN event_type IS NULL OR NOT (event_type = 'PAYMENT' AND event_version = '1.0')
-       WHEN inst_some = 'HSBC' THEN TRUE
-       WHEN inst_some = 'BNPP' THEN event_type IS NULL OR event_type = 'PAYMENT' OR (event_type = 'TRANSFER' AND event_version = '2.0')
+@query("record_seal", f"""WITH {MESSAGES}, d AS (SELECT *, CASE WHEN inst_some = 'BIRCH' THEN event_type IS NULL OR NOT (event_type = 'CHARGE' AND event_version = '3.0')
+       WHEN inst_some = 'LARCH' THEN TRUE
+       WHEN inst_some = 'MAPLE' THEN event_type IS NULL OR event_type = 'CHARGE' OR (event_type = 'SWEEP' AND event_version = '4.0')
        ELSE FALSE END AS wanted FROM msg)
 SELECT record_offset, CASE WHEN value_case = 'broken' THEN 'decode' WHEN value_case <> 'null' AND institution IS NULL THEN 'policy' END AS error_stage,
   value_case NOT IN ('null', 'broken') AND institution IS NOT NULL AND wanted AS sealed,
@@ -937,7 +937,7 @@ def record_seal(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = decode_dynamic(sample.as_records(sample.spread(sample.messages(spark, sf_dir))))
     done = seal_records(source, sample.policy(spark), ring)
     tenant = H.header(F.col("headers"), "X-Institution-Id")
-    armored = tenant != "HSBC"
+    armored = tenant != "LARCH"
     data = F.when(armored, F.encode("sealed_value", "US-ASCII")).otherwise(
         F.try_to_binary("sealed_value", F.lit("base64"))
     )
@@ -953,8 +953,8 @@ SEALING = CONNECTOR | {"transforms": "hide,extract,lock", "transforms.lock.type"
 
 
 @query("seal_step_landing", f"""WITH {STAGED} SELECT transaction_id, institution, CASE
-  WHEN inst_some = 'BNK002' THEN NOT (event_type = 'PAYMENT' AND event_version = '1.0') WHEN inst_some = 'HSBC' THEN TRUE
-  WHEN inst_some = 'BNPP' THEN event_type = 'PAYMENT' OR (event_type = 'TRANSFER' AND event_version = '2.0') ELSE FALSE END AS sealed
+  WHEN inst_some = 'BIRCH' THEN NOT (event_type = 'CHARGE' AND event_version = '3.0') WHEN inst_some = 'LARCH' THEN TRUE
+  WHEN inst_some = 'MAPLE' THEN event_type = 'CHARGE' OR (event_type = 'SWEEP' AND event_version = '4.0') ELSE FALSE END AS sealed
 FROM routed WHERE error_stage IS NULL""")
 def seal_step_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A configured protect, fold and seal landed as files, read back from them and opened."""
@@ -965,7 +965,7 @@ def seal_step_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "value", F.regexp_extract(F.col("_metadata.file_path"), "/([^/]+)(/[^/]+){6}/[^/]+$", 1).alias("institution"),
         F.contains(F.col("_metadata.file_path"), F.lit("/_dead_letter/")).alias("dead"),
     ).where("not dead")
-    sealed, armored = ~F.startswith("value", F.lit("{")), F.col("institution") != "HSBC"
+    sealed, armored = ~F.startswith("value", F.lit("{")), F.col("institution") != "LARCH"
     data = F.when(armored, F.encode("value", "US-ASCII")).otherwise(F.try_to_binary("value", F.lit("base64")))
     key = F.when(armored, F.lit("keys/seal-a")).otherwise(F.lit("keys/seal-b"))
     opened = unseal(lines.withColumn("sealed", sealed), F.when(sealed, data), armored, key, ring, "plain")
@@ -986,7 +986,7 @@ routed AS (SELECT *, kafka_partition % 2 AS part, CASE WHEN error_stage IS NOT N
   arg_min(CASE WHEN error_stage IS NULL THEN coalesce(inst_some, '-') ELSE '-' END, record_offset) AS i,
   arg_min(coalesce(event_type, '-'), record_offset) AS t, arg_min(event_version, record_offset) AS v,
   md5(string_agg(transaction_id, chr(10) ORDER BY record_offset)) AS digest FROM filed GROUP BY path, part, file_no),
-judged AS (SELECT *, i = 'HSBC' OR (i = 'BNK002' AND t = 'REFUND') OR (i = 'BNPP' AND (t = 'PAYMENT' OR (t = 'TRANSFER' AND v = '2.0'))) AS sealed FROM files)
+judged AS (SELECT *, i = 'LARCH' OR (i = 'BIRCH' AND t = 'REVERSAL') OR (i = 'MAPLE' AND (t = 'CHARGE' OR (t = 'SWEEP' AND v = '4.0'))) AS sealed FROM files)
 SELECT path, concat(name, CASE WHEN sealed THEN '.json.pgp' ELSE '.json' END) AS name, sealed, records, digest FROM judged"""
 
 
@@ -998,8 +998,8 @@ def _stored_files(spark: SparkSession, root: str, stored: DataFrame) -> DataFram
     """Read every landed file back, sealed ones through their key, and digest their lines in order."""
     ring = sample.key_ring(spark)
     kinds = [
-        bulk.open_folder(spark, f"{root}/{{BNK002,BNPP}}", ring, "keys/seal-a", True, "*.json.pgp"),
-        bulk.open_folder(spark, f"{root}/HSBC", ring, "keys/seal-b", False, "*.json.pgp"),
+        bulk.open_folder(spark, f"{root}/{{BIRCH,MAPLE}}", ring, "keys/seal-a", True, "*.json.pgp"),
+        bulk.open_folder(spark, f"{root}/LARCH", ring, "keys/seal-b", False, "*.json.pgp"),
     ]
     sealed_lines = kinds[0].unionByName(kinds[1]).select(
         "file", "frame", F.posexplode(F.split(F.col("content").cast("string"), "\n")).alias("at", "line")
@@ -1081,7 +1081,7 @@ def bulk_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("disabled_passthrough", f"""WITH {MESSAGES} SELECT record_offset, institution IN ('BNK002', 'HSBC', 'BNPP') AND institution IS NOT NULL AND pan IS NOT NULL AS sealed,
+@query("disabled_passthrough", f"""WITH {MESSAGES} SELECT record_offset, institution IN ('BIRCH', 'LARCH', 'MAPLE') AND institution IS NOT NULL AND pan IS NOT NULL AS sealed,
   pan AS opened FROM msg""")
 def disabled_passthrough(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A tenant with sealing switched off, or empty content, keeps the data as it is."""

@@ -37,7 +37,7 @@ def messages(spark):
         for offset, (headers, value) in enumerate(rows):
             pairs = headers.items() if isinstance(headers, dict) else headers
             data.append((
-                b"k", None if value is None else value.encode(), "payments-in", 0, offset, None, 0,
+                b"k", None if value is None else value.encode(), "card-events", 0, offset, None, 0,
                 [(k, None if v is None else v.encode()) for k, v in pairs],
             ))
         from quayside.sources.messages import KAFKA_SCHEMA

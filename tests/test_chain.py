@@ -14,7 +14,7 @@ from quayside.session import shared_dir
 from quayside.sources.messages import decode_dynamic
 
 SOURCE = "encryptedPrimaryAccountNumber"
-GOOD = {"X-Institution-Id": "BNK001", "X-Event-Type": "PAYMENT", "X-Event-Version": "1.0", "X-Event-Id": "e"}
+GOOD = {"X-Institution-Id": "ALDER", "X-Event-Type": "CHARGE", "X-Event-Version": "1.0", "X-Event-Id": "e"}
 WRAP = FoldOptions(optional=("X-Event-Id",), wrap=True)
 
 
@@ -35,12 +35,12 @@ def test_connector_configuration(messages):
     connector = Connector.from_config(config, {"com.example.Hide": "protect"})
     assert [s.kind for s in connector.chain.steps] == ["protect", "fold", "path"]
     assert connector.files.flush_size == 5 and connector.schedule_ms == 3_600_000 and connector.tolerance == "all"
-    heads = {"X-Institution-Id": "BNK001", "X-Event-Type": "PAYMENT", "X-Event-Version": "1.0", "X-Event-Id": "e"}
-    df = messages((heads, json.dumps({"a": 1, SOURCE: "4532015112830366"})), ({}, "{}"))
+    heads = {"X-Institution-Id": "ALDER", "X-Event-Type": "CHARGE", "X-Event-Version": "1.0", "X-Event-Id": "e"}
+    df = messages((heads, json.dumps({"a": 1, SOURCE: "9101015112830366"})), ({}, "{}"))
     landed = keep_tolerated(connector.prepare(df), connector.tolerance).collect()
-    assert [r["path"] for r in landed] == ["BNK001/PAYMENT/1.0/year=2026/month=02/day=02/hour=14"]
+    assert [r["path"] for r in landed] == ["ALDER/CHARGE/1.0/year=2026/month=02/day=02/hour=14"]
     lines = {r["path"]: json.loads(r["line"]) for r in route(connector.prepare(df)).collect()}
-    assert lines[landed[0]["path"]]["payload"] == {"a": 1, "primaryAccountNumber": "453201******0366"}
+    assert lines[landed[0]["path"]]["payload"] == {"a": 1, "primaryAccountNumber": "910101******0366"}
     dead = lines["_dead_letter/partition"]
     assert dead["stage"] == "partition" and dead["value"] == "{}" and dead["offset"] == 1
     with pytest.raises(ValueError, match="unknown type"):
@@ -59,9 +59,9 @@ def test_seal_step_keeps_paths(spark, ring, messages):
         Connector.from_config(config)
     connector = Connector.from_config(config, policy=sample.policy(spark), ring=ring)
     assert [s.kind for s in connector.chain.steps] == ["protect", "fold", "path", "seal"] and connector.chain.costly
-    heads = {"X-Institution-Id": "HSBC", "X-Event-Type": "P", "X-Event-Version": "1.0", "X-Event-Id": "e"}
+    heads = {"X-Institution-Id": "LARCH", "X-Event-Type": "P", "X-Event-Version": "1.0", "X-Event-Id": "e"}
     row = connector.prepare(messages((heads, "{}"))).first()
-    assert row["sealed"] and row["path"].startswith("HSBC/P/1.0/") and row["error"] is None
+    assert row["sealed"] and row["path"].startswith("LARCH/P/1.0/") and row["error"] is None
 
 
 def test_defaults_are_the_documented_ones():
@@ -96,7 +96,7 @@ def test_tolerance_decides_about_failed_records(spark, messages):
     with pytest.raises(Exception, match="not a JSON object"):
         strict.run(df, shared_dir(spark, "strict"))
     stored = Connector.from_config(catalog.CONNECTOR).run(df, shared_dir(spark, "tolerant"))
-    assert sorted(r["path"].split("/")[0] for r in stored.collect()) == ["BNK001", "_dead_letter"]
+    assert sorted(r["path"].split("/")[0] for r in stored.collect()) == ["ALDER", "_dead_letter"]
 
 
 def test_a_rerun_replaces_files_and_manifest(spark, messages):
@@ -109,7 +109,7 @@ def test_a_rerun_replaces_files_and_manifest(spark, messages):
 def test_sealed_records_never_land_in_the_clear(spark, ring, messages):
     connector = Connector.from_config(catalog.SEALING, ring=ring, seal_policy=sample.policy(spark))
     root = shared_dir(spark, "sealed")
-    connector.run(messages((GOOD | {"X-Institution-Id": "HSBC"}, '{"a": "clear-marker"}'), (GOOD, '{"a": "plain"}')), root)
+    connector.run(messages((GOOD | {"X-Institution-Id": "LARCH"}, '{"a": "clear-marker"}'), (GOOD, '{"a": "plain"}')), root)
     landed = {}
     for folder, _, names in os.walk(root):
         landed |= {os.path.join(folder, n): open(os.path.join(folder, n), "rb").read() for n in names if n.endswith(".json")}

@@ -12,7 +12,7 @@ from quayside.sources.messages import decode_dynamic, decode_typed
 
 VALUE = '{"transactionId": "TXN-1", "amount": 5.0, "headers": "old"}'
 MANDATORY = ("X-Institution-Id", "X-Event-Type")
-ALL = {"X-Institution-Id": "BNK001", "X-Event-Type": "PAYMENT", "X-User-Id": "u", "X-Other": "no"}
+ALL = {"X-Institution-Id": "ALDER", "X-Event-Type": "CHARGE", "X-User-Id": "u", "X-Other": "no"}
 
 
 def folded(df, typed=None, **options):
@@ -25,7 +25,7 @@ def folded(df, typed=None, **options):
 def test_inline_overwrites_the_target(messages):
     got, error = folded(messages((ALL, VALUE)))
     assert error is None and got["transactionId"] == "TXN-1"
-    assert got["headers"] == {"X-Institution-Id": "BNK001", "X-Event-Type": "PAYMENT", "X-User-Id": "u"}
+    assert got["headers"] == {"X-Institution-Id": "ALDER", "X-Event-Type": "CHARGE", "X-User-Id": "u"}
 
 
 def test_optional_may_be_missing(messages):
@@ -54,7 +54,7 @@ def test_wrap_has_exactly_two_members(messages):
 def test_typed_records(messages):
     schema = "transactionId string, amount double"
     got, _ = folded(messages((ALL, VALUE)), typed=schema)
-    assert got["headers"]["X-Institution-Id"] == "BNK001" and got["amount"] == 5.0
+    assert got["headers"]["X-Institution-Id"] == "ALDER" and got["amount"] == 5.0
     got, _ = folded(messages((ALL, VALUE)), typed=schema, wrap=True)
     assert got["payload"] == {"transactionId": "TXN-1", "amount": 5.0}
 

@@ -47,9 +47,9 @@ def test_records_without_path_are_kept(spark):
 
 
 def test_file_names(spark):
-    df = spark.createDataFrame([("payments-in", 0, 0), ("p", 12, 123456789012)], "t string, p int, o bigint")
+    df = spark.createDataFrame([("card-events", 0, 0), ("p", 12, 123456789012)], "t string, p int, o bigint")
     names = [r[0] for r in df.select(file_name(F.col("t"), F.col("p"), F.col("o"), FileOptions())).collect()]
-    assert names == ["payments-in+0+0000000000", "p+12+123456789012"]
+    assert names == ["card-events+0+0000000000", "p+12+123456789012"]
 
 
 def test_first_record_decides(spark):
@@ -62,7 +62,7 @@ def test_first_record_decides(spark):
 
 
 FIELDS = ("headers.X-Institution-Id", "headers.X-Event-Type")
-FULL = {"X-Institution-Id": "BNK/1", "X-Event-Type": "PAYMENT"}
+FULL = {"X-Institution-Id": "BNK/1", "X-Event-Type": "CHARGE"}
 
 
 def paths(df, layout, wrap=True):
@@ -74,14 +74,14 @@ def test_paths(messages):
     df = messages((FULL, "{}"), ({"X-Event-Type": "P"}, "{}"), (FULL, None), (FULL, "no json"))
     tail = "year=2026/month=02/day=02/hour=14"
     assert paths(df, LayoutOptions(FIELDS)) == [
-        (f"headers.X-Institution-Id=BNK%2F1/headers.X-Event-Type=PAYMENT/{tail}", None), (None, "partition"),
+        (f"headers.X-Institution-Id=BNK%2F1/headers.X-Event-Type=CHARGE/{tail}", None), (None, "partition"),
         (None, "partition"), (None, "decode"),
     ]
     assert paths(df, LayoutOptions(FIELDS, labelled=False).with_defaults())[:2] == [
-        (f"BNK%2F1/PAYMENT/{tail}", None), (f"UNKNOWN/P/{tail}", None),
+        (f"BNK%2F1/CHARGE/{tail}", None), (f"UNKNOWN/P/{tail}", None),
     ]
     minute = LayoutOptions(FIELDS, labelled=False, path_format="YYYY/MM/dd/HH/mm", duration_ms=60_000)
-    assert paths(df, minute, wrap=False)[0] == ("BNK%2F1/PAYMENT/2026/02/02/14/35", None)
+    assert paths(df, minute, wrap=False)[0] == ("BNK%2F1/CHARGE/2026/02/02/14/35", None)
     assert paths(df, LayoutOptions((), path_format="'h'=HH"))[0] == ("h=14", None)
 
 

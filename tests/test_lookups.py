@@ -18,9 +18,9 @@ def test_published_hash_values(spark):
     df = spark.createDataFrame([(k,) for k in vectors], "k string")
     got = {r[0]: r[1] - (1 << 32) if r[1] >= 1 << 31 else r[1] for r in df.select("k", murmur2(F.col("k"))).collect()}
     assert got == vectors
-    banks = spark.createDataFrame([("HSBC",), ("BNPP",), ("SOCGEN",), ("BNK006",), ("",)], "b string")
+    banks = spark.createDataFrame([("LARCH",), ("MAPLE",), ("ROWAN",), ("FIR",), ("",)], "b string")
     places = {r[0]: r[1] for r in banks.select("b", kafka_partition(F.col("b"), 20)).collect()}
-    assert (places["HSBC"], places["BNPP"], places["SOCGEN"], places["BNK006"]) == (18, 1, 19, 4)
+    assert (places["LARCH"], places["MAPLE"], places["ROWAN"], places["FIR"]) == (15, 11, 13, 11)
 
 
 def test_policy_falls_back_as_a_whole(spark):
@@ -49,7 +49,7 @@ def test_large_policies_are_not_broadcast(spark):
     from dataclasses import replace
 
     policy = replace(sample.policy(spark), rows=10**6)
-    df = spark.createDataFrame([("HSBC",)], "t string")
+    df = spark.createDataFrame([("LARCH",)], "t string")
     assert "strategy=broadcast" not in policy.attach(df, F.col("t"))._jdf.queryExecution().logical().toString()
     assert "strategy=broadcast" in sample.policy(spark).attach(df, F.col("t"))._jdf.queryExecution().logical().toString()
 
@@ -58,10 +58,10 @@ def test_partner_keys_in_both_forms(spark):
     nested = partner_keys(spark, sample.PARTNER_TEXT)
     flat = partner_keys(spark, '{"A": "/keys/a.pem", "B": "/keys/b.pem"}')
     assert nested.count() == 4 and {r["id"]: r["public_key"] for r in flat.collect()} == {"A": "/keys/a.pem", "B": "/keys/b.pem"}
-    df = spark.createDataFrame([("BNK001",), ("BNK002",), ("HSBC",), ("X",), ("",), (None,)], "t string")
+    df = spark.createDataFrame([("ALDER",), ("BIRCH",), ("LARCH",), ("X",), ("",), (None,)], "t string")
     rows = attach_key(df, F.col("t"), nested, "k", F.lit("2024-01-15").cast("timestamp")).collect()
     assert {r["t"]: (r["k"], r["error"] and r["error"]["stage"]) for r in rows} == {
-        "BNK001": ("keys/partner-1", None), "BNK002": (None, "key"), "HSBC": ("keys/partner-1", None), "X": (None, "key"),
+        "ALDER": ("keys/partner-1", None), "BIRCH": (None, "key"), "LARCH": ("keys/partner-1", None), "X": (None, "key"),
         "": (None, "key"), None: (None, "key"),
     }
 
@@ -70,9 +70,9 @@ def test_partition_map(spark, tmp_path):
     (tmp_path / "map.csv").write_text(sample.PARTITION_MAP)
     table = read_partition_map(spark, str(tmp_path / "map.csv"))
     assert sorted(map(tuple, table.collect())) == sorted(map(tuple, partition_map(spark, sample.PARTITION_MAP).collect()))
-    df = spark.createDataFrame([("BNK004",), ("HSBC",), ("HSBC",), (None,)], "t string")
+    df = spark.createDataFrame([("DOGWOOD",), ("LARCH",), ("LARCH",), (None,)], "t string")
     rows = {r["tenant"]: (r["partition"], r["listed"], r["records"]) for r in tenant_partitions(df, F.col("t"), table, 20).collect()}
-    assert rows == {"BNK004": (3, True, 1), "HSBC": (18, False, 2)}
+    assert rows == {"DOGWOOD": (3, True, 1), "LARCH": (15, False, 2)}
 
 
 def test_unmapped(spark):
@@ -82,7 +82,7 @@ def test_unmapped(spark):
 
 
 def test_topic_options():
-    assert topic_options("h:1", "payments-in", "latest", 500, 40, {"failOnDataLoss": "false"}) == {
-        "kafka.bootstrap.servers": "h:1", "subscribe": "payments-in", "startingOffsets": "latest", "includeHeaders": "true",
+    assert topic_options("h:1", "card-events", "latest", 500, 40, {"failOnDataLoss": "false"}) == {
+        "kafka.bootstrap.servers": "h:1", "subscribe": "card-events", "startingOffsets": "latest", "includeHeaders": "true",
         "maxOffsetsPerTrigger": "500", "minPartitions": "40", "failOnDataLoss": "false",
     }

@@ -17,7 +17,7 @@ from quayside.sources.lookups import partner_keys
 from quayside.sources.messages import decode_dynamic, decode_typed
 from quayside.sources.policy import policy_from_text
 
-PAN = "4532015112830366"
+PAN = "9101015112830366"
 SOURCE = "encryptedPrimaryAccountNumber"
 
 
@@ -44,7 +44,7 @@ def test_absent_field_and_missing_value_pass_unchanged(messages):
 
 
 @pytest.mark.parametrize("pan, masked", [
-    (PAN, "453201******0366"), ("374245455400126", "374245*****0126"), ("1234567890", "1234567890"), ("", ""),
+    (PAN, "910101******0366"), ("930345455400126", "930345*****0126"), ("1234567890", "1234567890"), ("", ""),
     ("a.b.c.d.e", "****************"), ("a.b.c.d.e..", "****************"), ("a.b.c.d", "a.b.c.d"), (None, None),
     ("12345678901", "123456*8901"),
 ])
@@ -58,23 +58,23 @@ def test_mask_settings(messages):
         messages(({}, value(pan=PAN))), default_strategy="MASK", source_field="pan", target_field="pan",
         mask_character="#!", mask_prefix=4, mask_suffix=2,
     )
-    assert got[0][0]["pan"] == "4532##########66"
+    assert got[0][0]["pan"] == "9101##########66"
 
 
 def test_rules_first_match_then_default(messages):
     rows = [
-        ({"X-Institution-Id": "bnk001", "X-Event-Type": "Payment", "X-Event-Version": "1.0"}, value(**{SOURCE: PAN})),
-        ({"X-Institution-Id": "BNK002"}, value(**{SOURCE: PAN})),
-        ({"X-Institution-Id": "BNK009"}, value(**{SOURCE: PAN})),
+        ({"X-Institution-Id": "alder", "X-Event-Type": "Charge", "X-Event-Version": "1.0"}, value(**{SOURCE: PAN})),
+        ({"X-Institution-Id": "BIRCH"}, value(**{SOURCE: PAN})),
+        ({"X-Institution-Id": "HAZEL"}, value(**{SOURCE: PAN})),
         ({}, value(**{SOURCE: PAN})),
     ]
-    got = run(messages(*rows), rules="BNK001:PAYMENT:*:MASK, BNK002:*:*:REMOVE ,", default_strategy="NONE")
-    assert got[0][0]["primaryAccountNumber"] == "453201******0366"
+    got = run(messages(*rows), rules="ALDER:CHARGE:*:MASK, BIRCH:*:*:REMOVE ,", default_strategy="NONE")
+    assert got[0][0]["primaryAccountNumber"] == "910101******0366"
     assert SOURCE not in got[1][0] and "primaryAccountNumber" not in got[1][0]
     assert got[2][0][SOURCE] == PAN and got[3][0][SOURCE] == PAN
 
 
-@pytest.mark.parametrize("text", ["BNK001:*:MASK", "a:b:c:d:e", "A:B:C:ENCODE", "A:B:C"])
+@pytest.mark.parametrize("text", ["ALDER:*:MASK", "a:b:c:d:e", "A:B:C:ENCODE", "A:B:C"])
 def test_malformed_rules_are_refused(text):
     with pytest.raises(ValueError):
         parse(text)
@@ -92,7 +92,7 @@ def test_number_in_place_of_text_is_an_error(messages):
 
 def test_existing_target_is_overwritten(messages):
     got = run(messages(({}, value(**{SOURCE: PAN, "primaryAccountNumber": "old"}))), default_strategy="MASK")
-    assert got[0][0]["primaryAccountNumber"] == "453201******0366"
+    assert got[0][0]["primaryAccountNumber"] == "910101******0366"
 
 
 @pytest.mark.parametrize("wrong", ["not json", "[1,2]", '"text"', '{"a":'])
@@ -119,14 +119,14 @@ def test_typed_mixed_strategies_leave_null(messages):
     got = typed(messages(*rows), rules="A:*:*:MASK,B:*:*:NONE", default_strategy="REMOVE")
     records = [r[0] for r in got.select("record").collect()]
     assert [r and (r[SOURCE], r["primaryAccountNumber"]) for r in records] == [
-        (None, "453201******0366"), (PAN, None), (None, None), None,
+        (None, "910101******0366"), (PAN, None), (None, None), None,
     ]
 
 
 def test_typed_same_source_and_target(messages):
     rows = [({"X-Institution-Id": i}, value(**{SOURCE: PAN})) for i in ("A", "B", "C")]
     got = typed(messages(*rows), rules="A:*:*:MASK,B:*:*:REMOVE", default_strategy="NONE", target_field=SOURCE)
-    assert [r[0][SOURCE] for r in got.select("record").collect()] == ["453201******0366", None, PAN]
+    assert [r[0][SOURCE] for r in got.select("record").collect()] == ["910101******0366", None, PAN]
 
 
 def test_protect_inside_a_wrapped_record(messages):
@@ -136,7 +136,7 @@ def test_protect_inside_a_wrapped_record(messages):
     )
     got = result(protect(wrapped, ProtectOptions(default_strategy="MASK", source_field=f"payload.{SOURCE}")))
     assert got[0][0]["headers"] == {"X-Event-Id": "1"}
-    assert got[0][0]["payload"]["primaryAccountNumber"] == "453201******0366" and SOURCE not in got[0][0]["payload"]
+    assert got[0][0]["payload"]["primaryAccountNumber"] == "910101******0366" and SOURCE not in got[0][0]["payload"]
 
 
 def test_decrypt_without_keys_is_an_error(messages):
@@ -179,8 +179,8 @@ def test_the_manual_scenarios(spark, ring, messages, token):
     assert SOURCE not in got[0][0]
     assert got[1][0]["primaryAccountNumber"] == PAN and SOURCE not in got[1][0]
     assert got[3][0][SOURCE] == PAN
-    assert got[4][0]["tokenizedPAN"] == "TOK-453201******0366"
-    assert got[5][0]["primaryAccountNumber"] == "453201******0366"
+    assert got[4][0]["tokenizedPAN"] == "TOK-910101******0366"
+    assert got[5][0]["primaryAccountNumber"] == "910101******0366"
     moved = spark.createDataFrame([(got[2][0][SOURCE],)], "t string")
     opened = tokens.decrypt_text(moved, F.col("t"), F.lit("keys/partner-3"), ring, "p").first()
     assert opened["p"] == PAN and opened["t"] != token

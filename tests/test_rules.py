@@ -8,20 +8,20 @@ from pyspark.sql import functions as F
 from quayside.functions import rules as R
 
 CASES = [
-    ("PAYMENT:*:ENCRYPT,REFUND:v1:SKIP,*:*:ENCRYPT", "REFUND", "v1", False, False),
-    ("PAYMENT:*:ENCRYPT,REFUND:v1:SKIP,*:*:ENCRYPT", "REFUND", "v2", True, True),
-    ("", "PAYMENT", "v1", True, True),
-    (None, "PAYMENT", "v1", True, True),
-    ("PAYMENT:v1:ENCRYPT", "PAYMENT", "v2", True, False),  # nothing matches
-    ("payment:v1:SKIP", "Payment", "v1", False, False),
+    ("CHARGE:*:ENCRYPT,REVERSAL:v1:SKIP,*:*:ENCRYPT", "REVERSAL", "v1", False, False),
+    ("CHARGE:*:ENCRYPT,REVERSAL:v1:SKIP,*:*:ENCRYPT", "REVERSAL", "v2", True, True),
+    ("", "CHARGE", "v1", True, True),
+    (None, "CHARGE", "v1", True, True),
+    ("CHARGE:v1:ENCRYPT", "CHARGE", "v2", True, False),  # nothing matches
+    ("charge:v1:SKIP", "Charge", "v1", False, False),
     ("*:*:SKIP", None, "v1", True, False),  # a record without type is sealed whatever the rules say
     ("*:*:ENCRYPT", None, None, True, True),
-    ("PAYMENT:*:SKIP,PAYMENT:*:ENCRYPT", "PAYMENT", "v1", False, False),
-    ("INVALID_RULE", "PAYMENT", "v1", True, False),
-    ("PAYMENT : v1 : SKIP , REFUND : * : ENCRYPT", "PAYMENT", "v1", False, False),
-    ("PAYMENT:v1:SKIP:extra,*:*:ENCRYPT", "PAYMENT", "v1", True, False),  # four parts: ignored / accepted
-    ("PAYMENT:v1:MAYBE,*:*:ENCRYPT", "PAYMENT", "v1", True, False),  # unknown action: ignored / means no
-    ("PAYMENT:v1:SKIP:,*:*:ENCRYPT", "PAYMENT", "v1", False, False),  # an empty last part does not count
+    ("CHARGE:*:SKIP,CHARGE:*:ENCRYPT", "CHARGE", "v1", False, False),
+    ("INVALID_RULE", "CHARGE", "v1", True, False),
+    ("CHARGE : v1 : SKIP , REVERSAL : * : ENCRYPT", "CHARGE", "v1", False, False),
+    ("CHARGE:v1:SKIP:extra,*:*:ENCRYPT", "CHARGE", "v1", True, False),  # four parts: ignored / accepted
+    ("CHARGE:v1:MAYBE,*:*:ENCRYPT", "CHARGE", "v1", True, False),  # unknown action: ignored / means no
+    ("CHARGE:v1:SKIP:,*:*:ENCRYPT", "CHARGE", "v1", False, False),  # an empty last part does not count
 ]
 
 

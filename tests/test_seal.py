@@ -17,7 +17,7 @@ from quayside.sources.policy import policy_from_text
 
 POLICY = """{"banks": {
   "ARM": {"pgp_encryption": {"enabled": true, "public_key_path": "keys/seal-a", "armor": true}},
-  "BIN": {"pgp_encryption": {"enabled": true, "public_key_path": "keys/seal-a", "rules": "PAYMENT:*:ENCRYPT"}},
+  "BIN": {"pgp_encryption": {"enabled": true, "public_key_path": "keys/seal-a", "rules": "CHARGE:*:ENCRYPT"}},
   "OFF": {"pgp_encryption": {"enabled": false, "public_key_path": "keys/seal-a"}},
   "BARE": {"name": "no section"},
   "LOST": {"pgp_encryption": {"enabled": true, "public_key_path": "keys/absent", "armor": true}}}}"""
@@ -51,17 +51,17 @@ def test_garbage_opens_to_null(spark, ring):
 
 
 def test_records(spark, ring, policy, messages):
-    def heads(bank, kind="PAYMENT"):
+    def heads(bank, kind="CHARGE"):
         pairs = {"X-Institution-Id": bank, "X-Event-Type": kind, "X-Event-Version": "1"}
         return {k: v for k, v in pairs.items() if v}
 
     df = messages(
-        (heads("ARM"), '{"a": 1}'), (heads("BIN"), '{"a": 2}'), (heads("BIN", "REFUND"), '{"a": 3}'), (heads("OFF"), '{"a": 4}'),
+        (heads("ARM"), '{"a": 1}'), (heads("BIN"), '{"a": 2}'), (heads("BIN", "REVERSAL"), '{"a": 3}'), (heads("OFF"), '{"a": 4}'),
         (heads("BARE"), '{"a": 5}'), (heads("LOST"), '{"a": 6}'), (heads("NEW"), '{"a": 7}'), (heads(None), '{"a": 8}'),
         (heads("ARM"), None), (heads("BIN", None), '{"a": 9}'),
     )
     rows = seal_records(decode_dynamic(df), policy, ring).orderBy("offset").collect()
-    # No rule covers REFUND and a missing type matches none: at record level both are sealed.
+    # No rule covers REVERSAL and a missing type matches none: at record level both are sealed.
     assert [r["sealed"] for r in rows] == [True, True, True, False, False, True, False, False, False, True]
     assert [r["error"] and r["error"]["stage"] for r in rows] == [
         None, None, None, None, None, "seal", None, "policy", None, None,
@@ -70,7 +70,7 @@ def test_records(spark, ring, policy, messages):
 
 
 def lines(spark, count=40, banks=("ARM", "BIN", "OFF", None)):
-    rows = [("t", i % 2, banks[i % 4] or "none", i, f'{{"n":{i}}}', banks[i % 4], "PAYMENT" if i % 8 < 4 else "REFUND", "1") for i in range(count)]
+    rows = [("t", i % 2, banks[i % 4] or "none", i, f'{{"n":{i}}}', banks[i % 4], "CHARGE" if i % 8 < 4 else "REVERSAL", "1") for i in range(count)]
     return spark.createDataFrame(
         rows, "topic string, partition int, path string, offset bigint, line string, institution string, event_type string, event_version string"
     ).withColumn("timestamp", F.lit("2026-01-01").cast("timestamp"))

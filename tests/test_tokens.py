@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from quayside.functions import rsa, tokens
 from quayside.plans import sample
 
-PANS = ["4532015112830366", "5425233430109903", "374245455400126", "6011000990139424", "é漢字"]
+PANS = ["9101015112830366", "9202233430109903", "930345455400126", "9404000990139424", "é漢字"]
 
 
 def test_published_content_vector(spark):
