@@ -15,7 +15,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quayside.llm.common import Words, computed, lookup, mixed, slices, written
@@ -30,7 +30,10 @@ _FAN_IN = 128
 CELL_SHINGLES = 1_500_000
 CELL_CLASSES = 4_096
 LOOKUP_VALUES = 4_000_000
+# Members of cells that one call works on, about; it takes one cell after the other.
+GROUP_MEMBERS = 1_000
 _FANOUT = 8
+_CELL = ["cell", "x", "y"]
 
 
 def shingle_sets(texts, width: int = WIDTH) -> list[np.ndarray]:
@@ -242,6 +245,12 @@ def _largest(members: DataFrame) -> DataFrame:
     return written(members.join(within, "cell", "left_anti"), "members")
 
 
+def _together(needed: DataFrame) -> Column:
+    """A number that puts cells of about ``GROUP_MEMBERS`` members together: most cells are small, and a group costs time."""
+    members = needed.agg(F.sum(F.size("cells"))).first()[0] or 0
+    return F.pmod(F.xxhash64(*_CELL), F.lit(-(-members // GROUP_MEMBERS) or 1)).alias("group")
+
+
 def _edges(docs: DataFrame, cells: DataFrame, width: int, percent: int) -> DataFrame:
     """(a, b): what the classes of each cell are linked to, from (cell, x, y, rep) with ``rep`` the class's document."""
     per_document = cells.select(F.col("rep._doc").alias("_doc"), F.col("rep._hash").alias("_hash"), F.struct("cell", "x", "y").alias("where")).groupBy(
@@ -254,15 +263,17 @@ def _edges(docs: DataFrame, cells: DataFrame, width: int, percent: int) -> DataF
         return [bitmap(s, _width(len(s), 2)).tobytes() for s in sets], [len(s) for s in sets]
 
     def screen(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.drop_duplicates(["_doc", "_hash"])
-        hit = possible([np.frombuffer(b, dtype=np.uint64) for b in group["bits"]], group["n"].tolist(), percent)
-        return group.loc[hit, ["cell", "x", "y", "_doc", "_hash"]]
+        group = group.drop_duplicates([*_CELL, "_doc", "_hash"], ignore_index=True)
+        bits, sizes, hit = group["bits"].tolist(), group["n"].to_numpy(), np.zeros(len(group), dtype=bool)
+        for rows in group.groupby(_CELL, sort=False).indices.values():
+            hit[rows] = possible([np.frombuffer(bits[r], dtype=np.uint64) for r in rows], sizes[rows].tolist(), percent)
+        return group.loc[hit, [*_CELL, "_doc", "_hash"]]
 
     # First the bitmaps, a quarter of a byte per shingle, go to the cells; only what they leave follows with whole sets.
     kind = docs.schema["_doc"].dataType.simpleString()
     bits = computed(docs.join(lookup(needed, values, LOOKUP_VALUES), ["_doc", "_hash"]), ["_text"], "bits binary, n long", maps, keep=["_doc", "_hash", "cells"])
     sent = bits.select("_doc", "_hash", "bits", "n", F.explode("cells").alias("w")).select("_doc", "_hash", "bits", "n", "w.*")
-    left = sent.groupBy("cell", "x", "y").applyInPandas(screen, f"cell long, x long, y long, _doc {kind}, _hash long")
+    left = sent.groupBy(_together(needed)).applyInPandas(screen, f"cell long, x long, y long, _doc {kind}, _hash long")
     needed = written(left.groupBy("_doc", "_hash").agg(F.collect_list(F.struct("cell", "x", "y")).alias("cells")), "cells")
     values = needed.agg(F.sum(F.size("cells") * 3 + 2)).first()[0] or 0
 
@@ -274,12 +285,14 @@ def _edges(docs: DataFrame, cells: DataFrame, width: int, percent: int) -> DataF
     placed = rows.select("_doc", "shingles", F.explode("cells").alias("w")).select("_doc", "shingles", "w.*")
 
     def link(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.drop_duplicates("_doc").sort_values("_doc")
-        ids = group["_doc"].tolist()
-        first = linked([np.frombuffer(s, dtype=np.uint64) for s in group["shingles"]], percent)
-        return pd.DataFrame([(ids[i], ids[f]) for i, f in enumerate(first) if f != i], columns=["a", "b"])
-
-    return placed.groupBy("cell", "x", "y").applyInPandas(link, f"a {kind}, b {kind}")
+        group = group.drop_duplicates([*_CELL, "_doc"]).sort_values("_doc", ignore_index=True)
+        ids, sets, found = group["_doc"].tolist(), group["shingles"].tolist(), []
+        for rows in group.groupby(_CELL, sort=False).indices.values():
+            first = linked([np.frombuffer(sets[r], dtype=np.uint64) for r in rows], percent)
+            found += [(ids[rows[i]], ids[rows[f]]) for i, f in enumerate(first) if f != i]
+        return pd.DataFrame(found, columns=["a", "b"])
+
+    return placed.groupBy(_together(needed)).applyInPandas(link, f"a {kind}, b {kind}")
 
 
 def near_groups(df: DataFrame, width: int = WIDTH, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
