@@ -62,15 +62,17 @@ def test_packing(spark, sf_dir, texts):
     assert used <= least * 1.01 + 1
 
 
-def test_toxicity_on_held_out_rows(spark, sf_dir):
+def test_toxicity_on_held_out_rows(spark):
+    # The smallest table has a few labelled toxic rows, too few to learn from: this one has enough to hold the score to a real bound.
+    sf_dir = "/root/testdata/sf0.1"
     labels = dict(duckdb.sql(f"SELECT doc_id, toxic FROM '{sf_dir}/labels.parquet'").fetchall())
     got = {r["doc_id"]: r for r in queries.op5_toxicity(spark, sf_dir).collect()}
     held = [r for i, r in got.items() if i in labels and r["held_out"]]
     assert all(r["held_out"] == (zlib.crc32(str(i).encode()) % 3 == 1) for i, r in got.items())
     toxic = [r["score"] for r in held if labels[r["doc_id"]]]
     clean = [r["score"] for r in held if not labels[r["doc_id"]]]
-    # Few labelled rows here: only the order is held against chance.
-    assert np.mean([a > b for a in toxic for b in clean]) > 0.6
+    assert np.mean([a > b for a in toxic for b in clean]) > 0.9
+    assert np.mean([a >= 0.7 for a in toxic]) > 0.7 and np.mean([b >= 0.7 for b in clean]) < 0.02
 
 
 def test_language_on_held_out_rows(spark, sf_dir):
