@@ -1,11 +1,13 @@
 """Licence recognition by sentences: native DataFrame functions only.
 
-A text is cut into sentences, each is normalised and mapped to the identifier of a known licence sentence, and the sequence of
-identifiers is matched against ordered licence rules. Everything is one projection: no shuffle, no Python.
+The known licence sentences are found in a text, however its lines are wrapped, each is normalised and mapped to its identifier, and
+the sequence of identifiers is matched against ordered licence rules. Everything is one projection: no shuffle, no Python.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -55,8 +57,24 @@ RULES = [
     ("CC-BY-4.0", ["cc-by-4-notice"]),
     ("LicenseRef-reserved", ["reserved"]),
 ]
-# A sentence ends at a line end, or at one of .!?; before white space.
-_BREAK = r"[.!?;][ \t\r\n]+|[\r\n]+"
+# A sentence ends at .!?; before white space or at a line end. Inside a known sentence a semicolon or a line end is a blank like any
+# other mark, so that wrapped and commented notices are whole; .!? before white space is one only after a single letter ("v. 2.0").
+_END = r"[.!?;][ \t\r\n]|[\r\n]"
+_OTHER = "[^A-Za-z0-9]"
+_WITHIN = rf"(?={_OTHER})[^A-Za-z0-9.!?]*+(?:[.!?](?![ \t\r\n])[^A-Za-z0-9.!?]*+)*+"
+
+
+def _pattern(sentences: dict[str, str]) -> str:
+    """Group 1 is a known sentence that starts and stops at the ends of sentences; of those that start at one place the longest.
+
+    What lies between two words is read once for each run of it, so runs of any length cost no more than their length.
+    """
+    def one(words: list[str]) -> str:
+        gaps = [f"{_OTHER}++" if len(w) == 1 and w.isalpha() else _WITHIN for w in words[:-1]] + [""]
+        return "".join(re.escape(w) + gap for w, gap in zip(words, gaps, strict=True))
+
+    known = "|".join(one(s.split()) for s in sorted(sentences, key=len, reverse=True))
+    return rf"(?i)(?:\A|(?<=[A-Za-z0-9])(?={_OTHER}*?(?:{_END}))){_OTHER}*+({known})(?={_OTHER}*?(?:{_END}|\z))"
 
 
 def sentence_ids(text: Column, sentences: dict[str, str]) -> Column:
@@ -64,11 +82,9 @@ def sentence_ids(text: Column, sentences: dict[str, str]) -> Column:
     table = F.create_map(*(F.lit(v) for pair in sentences.items() for v in pair))
 
     def normal(part: Column) -> Column:
-        return F.trim(F.regexp_replace(F.translate(part, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), "[^a-z0-9]+", " "))
+        return F.regexp_replace(F.translate(part, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), "[^a-z0-9]+", " ")
 
-    # A known sentence has at least as many characters as the shortest entry; shorter parts skip the normalising.
-    least = min(map(len, sentences))
-    parts = F.filter(F.split(F.coalesce(text, F.lit("")), _BREAK), lambda p: F.length(p) >= least)
+    parts = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(_pattern(sentences)), F.lit(1))
     return F.filter(F.transform(parts, lambda p: F.get(F.array(F.try_element_at(table, normal(p))), F.lit(0))), lambda x: x.isNotNull())
 
 

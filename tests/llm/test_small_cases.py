@@ -344,6 +344,62 @@ def test_rules_want_their_order(documents):
     assert rows(licenses.scan_licenses(df, known, rules), "doc_id", "license") == [(1, "X"), (2, "Y"), (3, "Y"), (4, None)]
 
 
+MIT_WRAPPED = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software."""
+GPL_WRAPPED = """This program is free software; you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation; either version 2 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details."""
+BSD_WRAPPED = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice.
+3. Neither the name of the copyright holder nor the names of its contributors
+   may be used to endorse or promote products derived from this software
+   without specific prior written permission."""
+APACHE_WRAPPED = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+"""
+MPL_WRAPPED = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/."""
+
+
+@pytest.mark.parametrize("mark", ["", " * ", "# ", "// ", "    "])
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_wrapped_notices(documents, mark, end):
+    gpl3 = GPL_WRAPPED.replace("software;", "software:").replace("Foundation;", "Foundation,").replace("version 2", "version 3")
+    texts = [MIT_WRAPPED, GPL_WRAPPED, gpl3, BSD_WRAPPED, APACHE_WRAPPED, MPL_WRAPPED]
+    texts += [GPL_WRAPPED.replace("\n", " "), "You may not sell\nit. Permission is hereby granted, free\nof charge. To any person.", "All\nrights.\nReserved"]
+    df = documents(*((i, "".join(mark + line + end for line in f"Copyright 2020 A. Uthor\n\n{t}\n\nint x;".split("\n"))) for i, t in enumerate(texts)))
+    assert rows(licenses.scan_licenses(df), "doc_id", "license", "sentence_ids") == [
+        (0, "MIT", "mit-grant,mit-notice-kept"), (1, "GPL-2.0-or-later", "gpl2-later,gpl-no-warranty"),
+        (2, "GPL-3.0-or-later", "gpl3-later,gpl-no-warranty"), (3, "BSD-3-Clause", "bsd-grant,bsd-no-endorsement"),
+        (4, "Apache-2.0", "apache2-notice,apache2-compliance,apache2-copy"), (5, "MPL-2.0", "mpl2-notice"),
+        (6, "GPL-2.0-or-later", "gpl2-later,gpl-no-warranty"), (7, None, ""), (8, None, ""),
+    ]
+
+
+def test_long_runs_of_marks(documents):
+    df = documents((1, "all" + ".\n" * 300_000 + "rights reserved"), (2, "all " + "*\n" * 300_000 + "rights reserved"), (3, ";\n" * 300_000 + "All rights reserved;;;"))
+    assert rows(licenses.scan_licenses(df), "doc_id", "n_sentences") == [(1, 0), (2, 1), (3, 1)]
+
+
 # ------------------------------------------------------------------------------------------------ 8 substring dedup
 
 def brute_repeats(texts, width):
