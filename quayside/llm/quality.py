@@ -1,8 +1,9 @@
 """Quality rules by distribution divergence.
 
 A document's histograms of character classes and of common words are compared to those of every language, by the Jensen-Shannon
-distance (square root of the divergence in bits, 0 to 1). The references are counted over all documents. A document passes when it
-is close to some language; documents too short to judge are left to the base rules.
+distance (square root of the divergence in bits, 0 to 1). The references are counted over all documents. Words are held to a language
+twice: how large the share of its common words is, and how they are spread. A document passes when it is close to some language;
+documents too short to judge are left to the base rules.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ COMMON_SHARE = 0.002
 
 @dataclass(frozen=True)
 class Limits:
-    """Largest distances that pass, and the least evidence (words, common words) for which they are applied."""
+    """Largest distances that pass, the words from which on they are applied, and the common words from which on their spread counts."""
 
     classes: float = 0.25
     words: float = 0.75
@@ -166,21 +167,38 @@ class Judge:
         for row, (_, common, _) in enumerate(references.values()):
             for word, n in common.items():
                 self.words[row, self.place[word]] = n
-        self.words /= np.maximum(self.words.sum(axis=1, keepdims=True), 1)
-
-    def distances(self, text: str, words: list[bytes]) -> tuple[float | None, float | None, int]:
-        """Smallest distance of the character classes and of the common words (null without any), and the common words found."""
+        known = self.words.sum(axis=1)
+        self.words /= np.maximum(known, 1)[:, None]
+        # Shares of common and of other words, and how far a text without any common word is from them.
+        share = known / np.maximum([total for _, _, total in references.values()], 1)
+        self.shares = np.stack([share, 1 - share], axis=1)
+        self.without = distance(np.array([0.0, 1.0]), self.shares)
+
+    def distances(self, text: str, words: list[bytes], least_common: int = 0) -> tuple[float | None, float | None]:
+        """Smallest distance of the character classes, and of the words (null without any) to a language.
+
+        Too small a share of common words is as far as it comes near a text without any, which has distance 1; a larger one than the
+        language's is no distance. From ``least_common`` common words on their spread counts too: the larger distance is the
+        language's. A language without common words is known by its character classes alone.
+        """
         if not len(self.classes) or not text:
-            return None, None, 0
+            return None, None
         counts = class_counts(text)
-        near = float(distance(counts / counts.sum(), self.classes).min())
+        classes = distance(counts / counts.sum(), self.classes)
+        if not words:
+            return float(classes.min()), None
         common, found = np.zeros(len(self.place)), 0
         for word, n in Counter(words).items():
             place = self.place.get(word_key(word))
             if place is not None:
                 common[place] += n
                 found += n
-        return near, float(distance(common / found, self.words).min()) if found else None, found
+        share = found / len(words)
+        far = distance(np.array([share, 1 - share]), self.shares) / np.where(self.without > 0, self.without, 1)
+        far = np.where(share < self.shares[:, 0], far, 0)
+        if found and found >= least_common:
+            far = np.maximum(far, distance(common / found, self.words))
+        return float(classes.min()), float(np.where(self.shares[:, 0] > 0, far, classes).min())
 
 
 def judge_quality(
@@ -191,7 +209,7 @@ def judge_quality(
     class_distance, word_distance, kept.
 
     Base rules: fewer than 50 words, or over half of the words in repeated 3-word windows, fail. The rest is kept unless the smallest
-    distance to a language exceeds its limit; the word distance counts from ``least_common`` common words on. Without any
+    distance to a language exceeds its limit; both are applied from ``least_words`` words on, however few of them are common. Without any
     reference nothing is rejected by distance. Null texts have no words and fail, as empty ones do. Repeated rows are judged one by
     one; an empty table gives no rows. The language column only serves the references. Kept columns must not have a new one's name.
     """
@@ -203,9 +221,9 @@ def judge_quality(
         for text in texts.to_pylist():
             words, chars, symbols, lines, repeated = base_counts(text or "")
             failed = len(words) < 50 or 100 * repeated > 50 * len(words)
-            near, common, found = state.distances(text or "", words)
-            good = len(words) < limits.least_words or near is None or near <= limits.classes
-            good = good and (common is None or found < limits.least_common or common <= limits.words)
+            near, common = state.distances(text or "", words, limits.least_common)
+            good = near is None or common is None or (near <= limits.classes and common <= limits.words)
+            good = good or len(words) < limits.least_words
             rows.append((len(words), chars, symbols, lines, repeated, failed, near, common, not failed and good))
         return list(zip(*rows, strict=True))
 

@@ -502,6 +502,33 @@ def test_quality_cases(documents, empty):
     assert bare.where("kept").count() == 42
 
 
+def test_long_texts_without_common_words(spark):
+    """Whatever a long text's letters look like, words that no language has in common use are a large distance."""
+    rng = random.Random(7)
+    common = ["the", "of", "and", "to", "in", "that", "was", "his", "with", "for"]
+
+    def rare():
+        return "".join(rng.choice("etaoinshrdlu") for _ in range(7))
+
+    def text(n, share):
+        return " ".join(rng.choice(common) if rng.random() < share else rare() for _ in range(n)) + "."
+
+    good = [(i, text(rng.randrange(50, 400), 0.4), "en") for i in range(60)]
+    bad = [
+        (100, " ".join(rare() for _ in range(100_000)), None), (101, " ".join(rare() for _ in range(60)), None),
+        (102, " ".join([*(rare() for _ in range(2_000)), *common * 4]), None), (103, " ".join(f"{rare()}&{rare()}" for _ in range(400)), None),
+    ]
+    short = [(200, " ".join(rare() for _ in range(49)), None)]
+    other = [(300, "".join(chr(0x4E00 + rng.randrange(3000)) + " " * (k % 9 == 8) for k in range(6000)), "zh")]
+    df = spark.createDataFrame([*good, *bad, *short, *other], "doc_id long, text string, lang string")
+    by = {r["doc_id"]: r for r in quality.judge_quality(df).collect()}
+    assert all(by[i]["kept"] for i, _, _ in good) and by[300]["kept"]
+    assert all(not by[i]["base_failed"] and by[i]["class_distance"] <= 0.25 and by[i]["word_distance"] > 0.75 and not by[i]["kept"] for i, _, _ in bad)
+    assert by[100]["word_distance"] > 0.9 and by[200]["base_failed"]
+    lenient = quality.judge_quality(df, limits=quality.Limits(least_words=100)).where("doc_id IN (100, 101)")
+    assert rows(lenient, "doc_id", "kept") == [(100, False), (101, True)]
+
+
 def test_distance():
     p, q = np.array([1.0, 0]), np.array([[1.0, 0], [0, 1.0], [0.5, 0.5]])
     assert quality.distance(p, q).tolist() == pytest.approx([0, 1, 0.5579230452841438])
