@@ -34,7 +34,8 @@ KNOWN_WORDS = 400_000
 _STRONGEST = 3
 
 _WORD = re.compile(r"[^\s\"“”„«»()\[\]{}|/\;:,]+")
-_SPELLED = re.compile(r"(?<!\S)[^\W\d_](?:[ .*_-]+[^\W\d_]){2,}(?!\S)")
+# Single letters with any run of other characters between each two.
+_SPELLED = re.compile(r"(?<![\w'’])[^\W\d_](?:[\W\d_]+[^\W\d_]){2,}(?![^\W\d_])")
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
 _EDGES = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
 # Characters that stand for letters in disguised words.
@@ -68,9 +69,11 @@ def units(text: str) -> list[str]:
 
 
 def words_of(unit: str) -> list[str]:
-    """The words of a unit without marks at their edges; a longer one than ``LONGEST`` as overlapping parts."""
+    """The words of a unit without marks at their edges, and all of them put together, as marks that part words may be put into one;
+    a longer one than ``LONGEST`` as overlapping parts."""
     out = []
-    for word in _WORD.findall(unit):
+    found = _WORD.findall(unit)
+    for word in [*found, "".join(found)] if len(found) > 1 else found:
         word = word.strip(_EDGES)
         if len(word) <= LONGEST:
             out.append(word)

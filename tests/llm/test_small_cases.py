@@ -265,6 +265,28 @@ def test_toxicity_cases(spark, empty):
     assert toxicity.score_toxicity(df.drop("score"), none).where("score BETWEEN 0 AND 1").count() == df.count()
 
 
+@pytest.mark.parametrize("mark", ["|", "/", "\\", ";", ":", ",", "(", "]", "{", '"', "“", "*", ".", "-", "_", "||", "/.", "(("])
+def test_inserted_characters_hide_nothing(mark):
+    """A word with marks put in is held to the machine as one word, in whichever places they are."""
+    def whole(text):
+        return {re.sub(r"[\W_]+", "", w) for u in toxicity.units(text) for w in toxicity.words_of(u)}
+
+    for text in (f"you st{mark}up{mark}id.", f"you {mark.join('stupid')}, no", f"a ({mark.join('stupid')})", f"oh {f' {mark} '.join('stupid')} oh", f"stup{mark}id"):
+        assert "stupid" in whole(text), text
+    codes = {int(c) for _, triple, _ in toxicity.subsequences(["stupid"]) for c in triple.ravel() if c}
+    table = np.zeros(toxicity.ALPHABET**3, dtype=np.float32)
+    table[sorted(codes)] = 1
+    scorer = toxicity.Scorer(table, -1.0)
+    top = scorer.summaries([f"you st{mark}up{mark}id.", "garden window"])[:, 0]
+    assert top[0] > 0 > top[1]
+
+
+def test_spelled_words_in_linear_time():
+    for text in ("a, b, c, d, " * 100_000, "a " + "1 " * 400_000 + "bb", "a. " * 300_000 + "end", "it's a-b"):
+        assert len(toxicity.units(text)) >= 2
+    assert toxicity.units("it's a b")[-1] == "b"
+
+
 def test_the_score_is_the_landmarks_kernel():
     """The table of subsequence weights gives the same margins as the kernels to the landmarks would."""
     words = ["trash", "trashy", "garden", "hardly", "warden"]
