@@ -281,6 +281,13 @@ def test_inserted_characters_hide_nothing(mark):
     assert top[0] > 0 > top[1]
 
 
+def test_widely_spaced_letters_count():
+    """Every subsequence is summed, over whatever stretch: of a word with three characters between letters nothing else is left."""
+    inner = {(c // toxicity.ALPHABET**2, c // toxicity.ALPHABET % toxicity.ALPHABET, c % toxicity.ALPHABET)
+             for _, triple, _ in toxicity.subsequences(["t***r***a***s"]) for c in triple.ravel().tolist() if c}
+    assert {tuple(ord(x) - 96 for x in part) for part in ("tra", "ras", "trs", "tas")} <= inner
+
+
 def test_spelled_words_in_linear_time():
     for text in ("a, b, c, d, " * 100_000, "a " + "1 " * 400_000 + "bb", "a. " * 300_000 + "end", "it's a-b"):
         assert len(toxicity.units(text)) >= 2
