@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
@@ -174,3 +174,40 @@ class Words:
         a, b = self.first[row], self.first[row + 1]
         total = np.add.reduce(self.hash[a:b] * _powers(_WORD, b - a), dtype=np.uint64) if b > a else np.uint64(0)
         return mixed(np.array([total], dtype=np.uint64))[0]
+
+
+# --- a total order without a single task -----------------------------------------------------------------------------
+
+# Rows of one range of an ordered table, about.
+ORDERED_ROWS = 100_000
+
+
+def ordered(df: DataFrame, order: list[str], purpose: str, rows: int = ORDERED_ROWS) -> DataFrame:
+    """``df``, a stored table, stored again in ranges of ``order``, with ``_range`` and ``_place``: comparing (_range, _place) compares rows.
+
+    Rows equal in ``order`` come in any order; nulls come first. A hot value is spread over ranges, as a last,
+    arbitrary column breaks ties.
+    """
+    parts = -(-df.count() // rows) or 1
+    tied = df.withColumn("_tie", F.monotonically_increasing_id())
+    dealt = tied.repartitionByRange(parts, *(F.col(f"`{c}`") for c in order), F.col("_tie"))
+    sorted_rows = dealt.sortWithinPartitions(*(F.col(f"`{c}`") for c in order), "_tie").drop("_tie")
+    at = F.monotonically_increasing_id()
+    return written(sorted_rows.withColumn("_range", F.shiftright(at, 33)).withColumn("_place", at.bitwiseAND(F.lit((1 << 33) - 1))), purpose)
+
+
+def first_of_ranges(df: DataFrame, group: str, totals: dict[str, Column]) -> DataFrame:
+    """Per (group, _range) of an ``ordered`` table: ``totals``, each summed over the group's ranges before, and the range's least place.
+
+    One short row per group and range, summed up along the ranges of each group. The order must start with ``group``.
+    """
+    parts = df.groupBy(group, "_range").agg(F.min("_place").alias("_least"), *(v.alias(k) for k, v in totals.items()))
+    before = Window.partitionBy(group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    return parts.select(group, "_range", "_least", *(F.coalesce(F.sum(k).over(before), F.lit(0)).cast("long").alias(k) for k in totals))
+
+
+def ranked(df: DataFrame, group: str) -> DataFrame:
+    """An ``ordered`` table with ``_rank``, counted from 0 within ``group`` (no nulls), by which its order must start."""
+    first = first_of_ranges(df, group, {"_first": F.count("*")})
+    # Every (group, range) is one row there and at most one range of rows here.
+    return df.join(first, [group, "_range"]).withColumn("_rank", F.col("_first") + F.col("_place") - F.col("_least")).drop("_first", "_least")

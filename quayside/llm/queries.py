@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quayside.llm import (
-    decontaminate, language_id, licenses, ngram_join, packing, quality, sharding, sql, substring_dedup, toxicity, url_filter,
+    decontaminate, language_id, licenses, manifest, mixing, ngram_join, packing, quality, sharding, sql, substring_dedup, toxicity,
+    url_filter, whitening,
 )
 from quayside.llm.common import table
 
@@ -74,10 +76,24 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge_quality(table(spark, sf_dir, "documents"), keep=["doc_id"])
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened_components(table(spark, sf_dir, "embeddings"))
+
+
+def op12_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    return manifest.verify_documents(table(spark, sf_dir, "documents"), tampered)
+
+
 QUERIES = {
     f.__name__: f
     for f in (op1_best_fit_packing, op2_url_filter, op3_ngram_jaccard_join, op4_decontamination, op5_toxicity, op6_sharding, op7_license_scan, op8_substring_dedup,
-              op9_language_id, op10_quality_rules)
+              op9_language_id, op10_quality_rules, op11_embedding_whitening, op12_source_mixing, op13_merkle_manifest)
 }
 ORACLES = {
     "op2_url_filter": sql.URL_FILTER, "op3_ngram_jaccard_join": sql.NGRAM_JOIN, "op4_decontamination": sql.DECONTAMINATION,
