@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -69,6 +71,15 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def give_back() -> None:
+    """Return freed memory to the system at the end of a task: the worker process lives on, for stages with other needs."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library, which has its own ways
+
+
 def computed(
     df: DataFrame, inputs: list[str], fields: str, step: Callable[..., list], setup: Callable[[], object] | None = None,
     keep: list[str] | None = None,
@@ -77,12 +88,12 @@ def computed(
 
     ``step`` gets one Arrow array per input, the last of which is the text, and first what ``setup`` made, once a
     task; it returns one sequence per field and row. Works slice by slice, so memory follows the slice or the longest text.
-    Fields must not be among the kept columns: see ``fresh``.
+    A field with the name of a kept column gets ``_`` before it.
     """
     keep = df.columns if keep is None else keep
     given = list(dict.fromkeys([*keep, *inputs]))
     source = df.select(*(F.col(f"`{c}`") for c in given))
-    kinds = T.StructType.fromDDL(fields)
+    kinds = T.StructType([T.StructField(fresh(df.select(*(F.col(f"`{c}`") for c in keep)), f.name), f.dataType) for f in T.StructType.fromDDL(fields)])
     result = T.StructType([*(source.schema[c] for c in keep), *kinds])
     at, kept = [given.index(c) for c in inputs], [given.index(c) for c in keep]
 
@@ -95,6 +106,7 @@ def computed(
                 made = step(*state, *(part.column(i) for i in at))
                 arrays = [v if isinstance(v, pa.Array) else pa.array(v, t) for v, t in zip(made, types, strict=True)]
                 yield pa.RecordBatch.from_arrays([*(part.column(i) for i in kept), *arrays], names=result.names)
+        give_back()
 
     return source.mapInArrow(run, result)
 
@@ -102,39 +114,100 @@ def computed(
 # --- fingerprints of words and runs of words -------------------------------------------------------------------------
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
-_ODD_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _WORD = np.uint64(0xD6E8FEB86659FD93)
-_WORD_INVERSE = np.uint64(pow(0xD6E8FEB86659FD93, -1, 1 << 64))
-_BYTES = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
-_FOLDED = _BYTES.copy()
-_FOLDED[65:91] = _BYTES[97:123]
+_FOLD = np.arange(256, dtype=np.uint8)
+_FOLD[65:91] += 32
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
-_POWERS: dict[int, np.ndarray] = {}
+_BLOCK = 8
+# Words of more bytes than this are digested one by one, the others block by block together.
+_SHORT = 64
+_MASKS = np.array([(1 << 8 * n) - 1 for n in range(_BLOCK)] + [(1 << 64) - 1], dtype=np.uint64)
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
-    """Spread every bit of 64-bit values over the whole value."""
+    """Spread every bit of 64-bit values over the whole value; no two values become one."""
     h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return h ^ (h >> np.uint64(31))
 
 
-def _powers(base: np.uint64, count: int) -> np.ndarray:
-    known = _POWERS.get(int(base))
-    if known is None or len(known) < count:
-        size = max(1 << 16, 1 << int(count).bit_length())
-        known = np.full(size, base, dtype=np.uint64)
-        known[0] = 1
-        known = np.multiply.accumulate(known)
-        _POWERS[int(base)] = known
-    return known[:count]
+def _blocks_at(data: np.ndarray, start: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """Up to eight bytes from each ``start`` on, as numbers; ``data`` has eight bytes more than its words reach."""
+    views = np.lib.stride_tricks.sliding_window_view(data, _BLOCK)
+    return views[start].view("<u8").ravel() & _MASKS[np.minimum(left, _BLOCK)]
+
+
+def _padded(data: np.ndarray) -> np.ndarray:
+    return np.concatenate((data, np.zeros(_BLOCK, dtype=np.uint8)))
+
+
+def byte_prints(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit fingerprints of byte ranges of padded ``data``.
+
+    Blocks of eight bytes are taken in one by one, each through a full mixing, so nothing cancels out; ranges of one length up
+    to eight bytes never share a fingerprint. Long ranges are digested by themselves.
+    """
+    size = end - start
+    out = mixed(size.astype(np.uint64) * _ODD + _WORD)
+    live = np.flatnonzero(size <= _SHORT)
+    at = 0
+    while len(live):
+        left = size[live] - at
+        if at:
+            live, left = live[left > 0], left[left > 0]
+        out[live] = mixed((out[live] ^ _blocks_at(data, start[live] + at, left)) * _ODD)
+        at += _BLOCK
+        live = live[left > _BLOCK]
+    for i in np.flatnonzero(size > _SHORT).tolist():
+        out[i] = int.from_bytes(hashlib.blake2b(data[start[i]:end[i]].tobytes(), digest_size=8).digest(), "little")
+    return out
+
+
+def same_bytes(data: np.ndarray, start: np.ndarray, other: np.ndarray, other_start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether ranges of two padded byte arrays, of equal sizes, hold the same bytes."""
+    same = np.ones(len(size), dtype=bool)
+    live = np.flatnonzero((size > 0) & (size <= _SHORT))
+    at = 0
+    while len(live):
+        left = size[live] - at
+        same[live] &= _blocks_at(data, start[live] + at, left) == _blocks_at(other, other_start[live] + at, left)
+        at += _BLOCK
+        live = live[left > _BLOCK]
+    for i in np.flatnonzero(size > _SHORT).tolist():
+        same[i] = np.array_equal(data[start[i]:start[i] + size[i]], other[other_start[i]:other_start[i] + size[i]])
+    return same
+
+
+def _joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Fingerprints of what ``a`` and ``b`` stand for, one after the other."""
+    return mixed(a * _ODD + b)
+
+
+def run_prints(words: np.ndarray, width: int, seed: int = 0) -> np.ndarray:
+    """Fingerprint of each ``width`` successive values; another ``seed`` gives independent ones.
+
+    Runs are put together from runs of half the width, each time through a full mixing, so no pattern of values cancels out.
+    """
+    level = mixed(words ^ np.uint64(seed)) if seed else words
+    size, done, out, rest = 1, 0, None, width
+    while True:
+        if rest & 1:
+            count = max(len(words) - done - size + 1, 0)
+            out = level[:count] if out is None else _joined(out[:count], level[done:done + count])
+            done += size
+        rest >>= 1
+        if not rest:
+            return out
+        count = max(len(words) - 2 * size + 1, 0)
+        level = _joined(level[:count], level[size:size + count])
+        size *= 2
 
 
 class Words:
     """Words ``[^\\x20\\x09-\\x0D]+`` of several texts: byte ranges, rows and 64-bit fingerprints.
 
-    ``lower`` folds A-Z before fingerprinting. ``first[r]:first[r + 1]`` are the words of row ``r``.
+    ``lower`` folds A-Z first. ``first[r]:first[r + 1]`` are the words of row ``r``; ``data`` is padded.
     """
 
     def __init__(self, column: pa.Array, lower: bool):
@@ -150,30 +223,20 @@ class Words:
         ends = inside[:size].copy()
         ends[: size - 1] &= ~inside[1:size] if size else ends[:0]
         ends[cuts - 1] = inside[cuts - 1]
-        self.data, self.offsets = data, offsets
+        self.data, self.offsets = _padded(_FOLD[data] if lower else data), offsets
         self.start, self.end = np.flatnonzero(starts), np.flatnonzero(ends) + 1
         self.first = np.searchsorted(self.start, offsets)
         self.counts = np.diff(self.first)
-        values = (_FOLDED if lower else _BYTES)[data] * _powers(_ODD, size)
-        sums = np.zeros(size + 1, dtype=np.uint64)
-        np.cumsum(values, out=sums[1:])
-        self.hash = mixed((sums[self.end] - sums[self.start]) * _powers(_ODD_INVERSE, size + 1)[self.start]
-                          + (self.end - self.start).astype(np.uint64) * _WORD)
+        self.hash = byte_prints(self.data, self.start, self.end)
 
-    def runs(self, width: int) -> np.ndarray:
+    def runs(self, width: int, seed: int = 0) -> np.ndarray:
         """Fingerprint of the ``width`` words from each word on; meaningless where the row has fewer words left."""
-        count = len(self.hash)
-        if count < width:
-            return np.zeros(0, dtype=np.uint64)
-        sums = np.zeros(count + 1, dtype=np.uint64)
-        np.cumsum(self.hash * _powers(_WORD, count), out=sums[1:])
-        return mixed((sums[width:] - sums[:-width]) * _powers(_WORD_INVERSE, count + 1)[: count - width + 1])
+        return run_prints(self.hash, width, seed)
 
     def whole(self, row: int) -> np.uint64:
-        """Fingerprint of all words of a row, as ``runs`` would give it for that width."""
+        """Fingerprint of all words of a row that has any, as ``runs`` would give it for that width."""
         a, b = self.first[row], self.first[row + 1]
-        total = np.add.reduce(self.hash[a:b] * _powers(_WORD, b - a), dtype=np.uint64) if b > a else np.uint64(0)
-        return mixed(np.array([total], dtype=np.uint64))[0]
+        return run_prints(self.hash[a:b], int(b - a))[0]
 
 
 # --- a total order without a single task -----------------------------------------------------------------------------

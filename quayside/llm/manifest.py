@@ -159,7 +159,8 @@ def attach_paths(leaves: DataFrame, columns: list[str], forest: Forest, roots: D
     above = roots.select("tree", F.lit(0).cast("long").alias("lo"), F.lit(True).alias("top"), "steps", "subroot")
     for band in range(len(forest.bands) - 1, 0, -1):
         nodes = forest.bands[band]
-        bottom = nodes.where("level = 0").select("tree", "bucket", "lo")
+        # New names, as both sides of the join come from one table.
+        bottom = nodes.where("level = 0").select(*(F.col(c).alias(c) for c in ("tree", "bucket", "lo")))
         paths = _paths(bottom, nodes, above, ["tree", "lo"])
         above = written(paths.select("tree", "lo", F.lit(True).alias("top"), "steps", "subroot"), f"{purpose}-{band}")
     bottom = leaves.withColumn("lo", F.col("rank")).withColumn("bucket", F.expr(f"rank div {span}L"))

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.common import computed
+from quayside.llm.common import computed, written
 
 _BLANKS = " \t\n\x0b\x0c\r"
 _SYMBOLS = re.compile(r"[#*$%&|<>]")
@@ -26,16 +26,19 @@ _SYMBOLS = re.compile(r"[#*$%&|<>]")
 CLASSES = 8
 # A word is common when it makes up this share of its language's words, so a language has at most 1 / share of them.
 COMMON_SHARE = 0.002
+# A language has a reference when it has this share of all words, so there are at most 1 / share of them, whatever the column holds.
+LANGUAGE_SHARE = 0.001
+# A document's spread of common words is smoothed by this many that follow the language, so a few words say little and none nothing.
+PRIOR = 5.0
 
 
 @dataclass(frozen=True)
 class Limits:
-    """Largest distances that pass, the words from which on they are applied, and the common words from which on their spread counts."""
+    """Largest distances that pass, and the words from which on they are applied."""
 
     classes: float = 0.25
     words: float = 0.75
     least_words: int = 50
-    least_common: int = 20
 
 
 def _class_of(char: str) -> int:
@@ -143,12 +146,15 @@ def language_references(df: DataFrame, text_col: str = "text", lang_col: str = "
     lang, text = F.col(f"`{lang_col}`").cast("string"), F.col(f"`{text_col}`")
     known = df.select(lang.alias("lang"), text.alias("text")).where(lang.isNotNull() & text.isNotNull())
     counted = known.mapInArrow(count, "lang string, word string, class int, n long").groupBy("lang", "word", "class").agg(F.sum("n").alias("n"))
-    # Nothing wider than (language, word) is grouped, and the totals are a row per language and class.
-    totals = counted.groupBy("lang", (F.col("class") >= 0).alias("_is")).agg(F.sum("n").alias("total"))
-    kept = counted.join(F.broadcast(totals.where(~F.col("_is")).select("lang", "total")), "lang", "left")
+    # One row per language and distinct word, asked twice. The totals are a row per language and class.
+    counted = written(counted, "counted")
+    totals = counted.where("class < 0").groupBy("lang").agg(F.sum("n").alias("total"))
+    every = totals.agg(F.sum("total")).first()[0] or 0
+    frequent = totals.where(F.col("total") >= F.lit(LANGUAGE_SHARE * every))
+    kept = counted.join(F.broadcast(frequent), "lang")  # at most 1 / LANGUAGE_SHARE rows
     out: dict[str, list] = {}
     for r in kept.where((F.col("class") >= 0) | ((F.col("word") != "") & (F.col("n") >= F.lit(share) * F.col("total")))).collect():
-        entry = out.setdefault(r["lang"], [np.zeros(CLASSES, dtype=np.int64), {}, r["total"] or 0])
+        entry = out.setdefault(r["lang"], [np.zeros(CLASSES, dtype=np.int64), {}, r["total"]])
         if r["class"] >= 0:
             entry[0][r["class"]] = r["n"]
         else:
@@ -174,12 +180,12 @@ class Judge:
         self.shares = np.stack([share, 1 - share], axis=1)
         self.without = distance(np.array([0.0, 1.0]), self.shares)
 
-    def distances(self, text: str, words: list[bytes], least_common: int = 0) -> tuple[float | None, float | None]:
-        """Smallest distance of the character classes, and of the words (null without any) to a language.
+    def distances(self, text: str, words: list[bytes], limits: Limits = Limits()) -> tuple[float | None, float | None]:
+        """Distances of the character classes and of the words (null without any) to the language that the text is nearest to.
 
-        Too small a share of common words is as far as it comes near a text without any, which has distance 1; a larger one than the
-        language's is no distance. From ``least_common`` common words on their spread counts too: the larger distance is the
-        language's. A language without common words is known by its character classes alone.
+        Both are to one language: the one whose larger distance, as a share of its limit, is smallest. Too small a share of common words
+        is as far as it comes near a text without any, which has distance 1; a larger one than the language's is no distance. Their
+        spread counts too: the larger distance is the words'. A language without common words is known by its character classes alone.
         """
         if not len(self.classes) or not text:
             return None, None
@@ -196,9 +202,11 @@ class Judge:
         share = found / len(words)
         far = distance(np.array([share, 1 - share]), self.shares) / np.where(self.without > 0, self.without, 1)
         far = np.where(share < self.shares[:, 0], far, 0)
-        if found and found >= least_common:
-            far = np.maximum(far, distance(common / found, self.words))
-        return float(classes.min()), float(np.where(self.shares[:, 0] > 0, far, classes).min())
+        smooth = (common + PRIOR * self.words) / (found + PRIOR)
+        spread = np.array([distance(p, q[None, :])[0] for p, q in zip(smooth, self.words, strict=True)])
+        far = np.where(self.shares[:, 0] > 0, np.maximum(far, spread), classes)
+        best = int(np.argmin(np.maximum(classes / limits.classes, far / limits.words)))
+        return float(classes[best]), float(far[best])
 
 
 def judge_quality(
@@ -208,10 +216,11 @@ def judge_quality(
     """The columns ``keep`` (all by default) and n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
     class_distance, word_distance, kept.
 
-    Base rules: fewer than 50 words, or over half of the words in repeated 3-word windows, fail. The rest is kept unless the smallest
-    distance to a language exceeds its limit; both are applied from ``least_words`` words on, however few of them are common. Without any
+    Base rules: fewer than 50 words, or over half of the words in repeated 3-word windows, fail. The rest is kept if there is a language
+    to which neither distance exceeds its limit; they are applied from ``least_words`` words on, however few of them are common. Without any
     reference nothing is rejected by distance. Null texts have no words and fail, as empty ones do. Repeated rows are judged one by
-    one; an empty table gives no rows. The language column only serves the references. Kept columns must not have a new one's name.
+    one; an empty table gives no rows. The language column only serves the references; values with less than ``LANGUAGE_SHARE`` of all words
+    have none. A new column with the name of a kept one gets ``_`` before it.
     """
     references = language_references(df, text_col, lang_col) if references is None else references
     shared = df.sparkSession.sparkContext.broadcast(references)
@@ -221,7 +230,7 @@ def judge_quality(
         for text in texts.to_pylist():
             words, chars, symbols, lines, repeated = base_counts(text or "")
             failed = len(words) < 50 or 100 * repeated > 50 * len(words)
-            near, common = state.distances(text or "", words, limits.least_common)
+            near, common = state.distances(text or "", words, limits)
             good = near is None or common is None or (near <= limits.classes and common <= limits.words)
             good = good or len(words) < limits.least_words
             rows.append((len(words), chars, symbols, lines, repeated, failed, near, common, not failed and good))

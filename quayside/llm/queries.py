@@ -98,4 +98,5 @@ QUERIES = {
 ORACLES = {
     "op2_url_filter": sql.URL_FILTER, "op3_ngram_jaccard_join": sql.NGRAM_JOIN, "op4_decontamination": sql.DECONTAMINATION,
     "op7_license_scan": sql.LICENSE_SCAN, "op8_substring_dedup": sql.SUBSTRING_DEDUP,
+    "op12_source_mixing": sql.SOURCE_MIXING, "op13_merkle_manifest": sql.MERKLE_MANIFEST,
 }

@@ -4,7 +4,7 @@ Copies of a passage of ``width`` words share its sampled anchor runs, so documen
 Of the others, the windows under repeated anchors are matched by fingerprint, which names for each repeated window
 its first place in the corpus: the reference. References are dealt to shards of bounded size; every shard's text becomes one
 suffix automaton, sent to each task that streams documents against it. The longest match that ends at each
-word decides, word by word, so a fingerprint alone removes nothing. A shard with much to stream goes to several tasks.
+word decides, word by word, so a fingerprint (of 128 bits) alone removes nothing. A shard with much to stream goes to several tasks.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ from quayside.llm.decontaminate import merged
 
 WIDTH = 50
 ANCHOR = 10
+SECOND = 0x2545F4914F6CDD1D
 # Words of references in a shard, about, and windows streamed through one copy of it, about.
 SHARD_WORDS = 20_000
 STREAM_WINDOWS = 200_000
@@ -143,25 +144,27 @@ def find_repeats(df: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text
 
     def prints(keys, texts):
         words = Words(texts, lower=False)
-        runs, wide = words.runs(ANCHOR), words.runs(width)
-        starts, hashes = [], []
+        # Two independent fingerprints: one of 64 bits would be shared by different windows of a corpus of many billions.
+        runs, wide, more = words.runs(ANCHOR), words.runs(width), words.runs(width, SECOND)
+        starts, hashes, others = [], [], []
         for r in range(len(texts)):
             at = words.first[r]
             under = np.isin(_signed(runs[at + anchors(words, r, width, runs)]), keys[r].values.to_numpy())
             found = np.flatnonzero(under)
             starts.append(found.astype(np.int32))
             hashes.append(_signed(wide[at + found]))
-        return starts, hashes
+            others.append(_signed(more[at + found]))
+        return starts, hashes, others
 
-    marked = computed(_by_document(docs, "_text", wanted, values), ["keys", "_text"], "starts array<int>, prints array<long>", prints, keep=["_doc", "_hash"])
-    windows = marked.select("_doc", "_hash", F.explode(F.arrays_zip("starts", "prints")).alias("w")).select(
-        "_doc", "_hash", F.col("w.starts").alias("start"), F.col("w.prints").alias("print"))
+    marked = computed(_by_document(docs, "_text", wanted, values), ["keys", "_text"], "starts array<int>, prints array<long>, others array<long>", prints, keep=["_doc", "_hash"])
+    windows = marked.select("_doc", "_hash", F.explode(F.arrays_zip("starts", "prints", "others")).alias("w")).select(
+        "_doc", "_hash", F.col("w.starts").alias("start"), F.col("w.prints").alias("print"), F.col("w.others").alias("other"))
     place = F.struct("_doc", "start", "_hash")
-    first = windows.groupBy("print").agg(F.min(place).alias("ref"), F.max("_doc").alias("last")).where(F.col("ref._doc") < F.col("last")).select("print", "ref")
+    first = windows.groupBy("print", "other").agg(F.min(place).alias("ref"), F.max("_doc").alias("last")).where(F.col("ref._doc") < F.col("last")).select("print", "other", "ref")
     first = written(first, "first")
     # A block of a reference document is the least that a shard holds.
     block = F.floor(F.col("ref.start") / SHARD_WORDS)
-    hits = windows.join(first, "print").where((F.col("_doc") > F.col("ref._doc")) | (F.struct("_doc", "start", "_hash") == F.col("ref")))
+    hits = windows.join(first, ["print", "other"]).where((F.col("_doc") > F.col("ref._doc")) | (F.struct("_doc", "start", "_hash") == F.col("ref")))
     hits = hits.select("_doc", "_hash", "start", F.xxhash64(F.col("ref._doc"), F.col("ref._hash"), block).alias("block"), (F.col("_doc") == F.col("ref._doc")).alias("is_ref"))
     parts = written(hits.groupBy("_doc", "_hash", "block", "is_ref").agg(F.collect_list("start").alias("starts")), "windows")
     sizes = parts.groupBy("is_ref").agg(F.sum(F.size("starts")).alias("n")).collect()

@@ -18,17 +18,24 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.common import computed, lookup
+from quayside.llm.common import computed, lookup, written
 from quayside.llm.language_id import id_remainder
 from quayside.llm.svm import train_sigmoid, train_svm
 
 DECAY = 0.4
-LONGEST = 16
+# The subsequences of words up to this length are listed; longer ones are summed by a recursion over the places, with the same result.
+LISTED = 40
+# A unit longer than this is judged whole and in overlapping parts of this length, as a word in it would be lost in the whole's norm.
+PART = 16
+# Values that listing works on at once.
+_LISTED_VALUES = 1 << 18
 # The machine is fitted on about this many labelled documents of each class, chosen by a hash of the id, and on this many words.
 SAMPLE_PER_CLASS = 3_000
 TRAIN_WORDS = 3_000
 LANDMARKS = 512
-KNOWN_WORDS = 400_000
+# Units and words whose margins a worker keeps, and characters in them.
+KNOWN_WORDS = 200_000
+KNOWN_CHARS = 1 << 22
 _STRONGEST = 3
 
 _WORD = re.compile(r"[^\s\"“”„«»()\[\]{}|/\;:,]+")
@@ -53,7 +60,7 @@ ALPHABET = 64
 _LETTERS = np.array([_letter(c) for c in range(0x250)], dtype=np.int32)
 
 
-@lru_cache(maxsize=None)
+@lru_cache(maxsize=LISTED + 2)
 def _triples(size: int) -> tuple[np.ndarray, np.ndarray]:
     """Places of all three-letter subsequences of a word of ``size``, and their decays."""
     places = np.array(list(combinations(range(size), 3)), dtype=np.int64).reshape(-1, 3)
@@ -68,18 +75,25 @@ def units(text: str) -> list[str]:
 
 def words_of(unit: str) -> list[str]:
     """The words of a unit without marks at their edges, and all of them put together, as marks that part words may be put into one;
-    a longer one than ``LONGEST`` as overlapping parts."""
+    a longer one than ``PART`` also in overlapping parts."""
     out = []
     found = _WORD.findall(unit)
     for word in [*found, "".join(found)] if len(found) > 1 else found:
         word = word.strip(_EDGES)
-        if len(word) <= LONGEST:
-            out.append(word)
-        else:
-            out += [word[at:at + LONGEST] for at in range(0, len(word) - LONGEST // 2, LONGEST // 2)]
+        out.append(word)
+        if len(word) > PART:
+            out += [word[at:at + PART] for at in range(0, len(word) - PART // 2, PART // 2)]
     return out
 
 
+def letter_codes(words: list[str]) -> np.ndarray:
+    """Codes of the characters of words of one length, a row each, between two ends; 0 where it is no letter."""
+    size = len(words[0])
+    points = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype="<u4").reshape(-1, size)
+    codes = np.where(points < len(_LETTERS), _LETTERS[np.minimum(points, len(_LETTERS) - 1)], 27 + points.astype(np.int32) % 36)
+    return np.pad(codes.astype(np.int32), ((0, 0), (1, 1)), constant_values=ALPHABET - 1)
+
+
 def subsequences(words: list[str]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """By length of word: rows, and for each row and place the subsequence's code and decay, scaled to a norm of 1 per row.
 
@@ -92,9 +106,7 @@ def subsequences(words: list[str]) -> list[tuple[np.ndarray, np.ndarray, np.ndar
     out = []
     for size, rows in by_size.items():
         places, decay = _triples(size + 2)
-        points = np.frombuffer("".join(words[r] for r in rows).encode("utf-32-le", "surrogatepass"), dtype="<u4").reshape(-1, size)
-        codes = np.where(points < len(_LETTERS), _LETTERS[np.minimum(points, len(_LETTERS) - 1)], 27 + points.astype(np.int32) % 36)
-        codes = np.pad(codes.astype(np.int32), ((0, 0), (1, 1)), constant_values=ALPHABET - 1)
+        codes = letter_codes([words[r] for r in rows])
         first, second, third = (codes[:, places[:, k]] for k in range(3))
         letters = (first > 0) & (second > 0) & (third > 0)
         triple = ((first * ALPHABET + second) * ALPHABET + third) * letters
@@ -104,34 +116,73 @@ def subsequences(words: list[str]) -> list[tuple[np.ndarray, np.ndarray, np.ndar
     return out
 
 
+def recursive_sum(codes: np.ndarray, by_last: np.ndarray) -> float:
+    """Sum of the weights of all subsequences of one word times their decays, the decays' norm divided out.
+
+    ``by_last[c]`` holds the weights of subsequences that end in c. Place by place: what pairs and single letters before it weigh,
+    by their letters, and the sums of the squared decays.
+    """
+    pairs, singles = np.zeros((ALPHABET, ALPHABET)), np.zeros(ALPHABET)
+    total = square = pair_squares = single_squares = 0.0
+    for code in codes.tolist():
+        if code:
+            total += DECAY * np.vdot(by_last[code], pairs)
+            square += DECAY**2 * pair_squares
+            pairs[:, code] += singles
+            pair_squares += single_squares
+            singles[code] += 1
+            single_squares += 1
+        pairs *= DECAY
+        singles *= DECAY
+        pair_squares *= DECAY**2
+        single_squares *= DECAY**2
+    return total / np.sqrt(square) if square > 0 else 0.0
+
+
 class Scorer(dict):
     """Margin of every unit, that of its strongest word; what is known is kept up to a bound."""
 
     def __init__(self, table: np.ndarray, offset: float):
         super().__init__()
         self.table, self.offset = table, offset
+        self.by_last = np.ascontiguousarray(table.reshape(ALPHABET, ALPHABET, ALPHABET).transpose(2, 0, 1), dtype=np.float64)
+        self.forget()
+
+    def forget(self) -> None:
+        self.clear()
         self.words: dict[str, float] = {}
+        self.chars = 0
 
     def margins(self, words: list[str]) -> np.ndarray:
         out = np.full(len(words), self.offset)
-        for start in range(0, len(words), 4096):
-            for rows, triple, decay in subsequences(words[start:start + 4096]):
-                out[start + rows] += (self.table[triple] * decay).sum(axis=1)
+        by_size: dict[int, list[int]] = {}
+        for row, word in enumerate(words):
+            by_size.setdefault(len(word), []).append(row)
+        for size, places in by_size.items():
+            if size > LISTED:
+                for row in places:
+                    out[row] += recursive_sum(letter_codes([words[row]])[0], self.by_last)
+                continue
+            step = max(1, _LISTED_VALUES // ((size + 2) * (size + 1) * size // 6)) if size else len(places)
+            for start in range(0, len(places), step):
+                part = np.array(places[start:start + step])
+                for rows, triple, decay in subsequences([words[r] for r in part.tolist()]):
+                    out[part[rows]] += (self.table[triple] * decay).sum(axis=1)
         return out
 
-    def learn(self, words: set[str]) -> None:
-        new = words.difference(self)
+    def learn(self, units: set[str]) -> None:
+        """What a slice of texts needs is known afterwards, whatever the bound."""
+        new = units.difference(self)
         if not new:
             return
-        if len(self) + len(new) > KNOWN_WORDS:
-            self.clear()
-            new = words
-        if len(self.words) > KNOWN_WORDS:
-            self.words.clear()
+        if len(self) + len(self.words) + len(new) > KNOWN_WORDS or self.chars > KNOWN_CHARS:
+            self.forget()
+            new = units
         split = {unit: words_of(unit) for unit in new}
-        fresh = list({w for ws in split.values() for w in ws if w not in self.words})
-        self.words.update(zip(fresh, self.margins(fresh).tolist(), strict=True))
+        unseen = list({w for ws in split.values() for w in ws if w not in self.words})
+        self.words.update(zip(unseen, self.margins(unseen).tolist(), strict=True))
         self.update((unit, max(map(self.words.__getitem__, ws), default=self.offset)) for unit, ws in split.items())
+        self.chars += sum(map(len, new)) + sum(map(len, unseen))
 
     def summaries(self, texts: list[str | None]) -> np.ndarray:
         rows = [units(t) if t else [] for t in texts]
@@ -151,7 +202,13 @@ class Scorer(dict):
         return out
 
 
-@dataclass
+@lru_cache(maxsize=1)
+def _scorer(model: Model) -> Scorer:
+    """One for all tasks of a worker that judge by the same model."""
+    return Scorer(model.table, model.offset)
+
+
+@dataclass(eq=False)
 class Model:
     table: np.ndarray
     offset: float
@@ -188,7 +245,7 @@ def _word_counts(sample: DataFrame) -> DataFrame:
     rows = computed(sample, ["text"], "sentences array<long>, words array<string>", split, keep=["toxic"])
     each = rows.select("toxic", F.explode(F.arrays_zip("sentences", "words")).alias("x"))
     return (
-        each.select("toxic", F.col("x.sentences").alias("sentence"), F.col("x.words").alias("word")).where(F.length("word") >= 3).distinct()
+        each.select("toxic", F.col("x.sentences").alias("sentence"), F.col("x.words").alias("word")).where(F.length("word").between(3, LISTED)).distinct()
         .groupBy("word").agg(F.count_if(F.col("toxic") == 1).alias("toxic"), F.count_if(F.col("toxic") == 0).alias("clean"))
     )
 
@@ -212,14 +269,14 @@ def learn(
     ).groupBy("_id").agg(F.max("toxic").alias("toxic"), F.first("spread").alias("spread"))
     sizes = {r["toxic"]: r["count"] for r in labelled.groupBy("toxic").count().collect()}
     share = {k: min(1.0, sample / n) for k, n in sizes.items()}
-    chosen = labelled.where(
+    chosen = written(labelled.where(
         ((F.col("toxic") == 1) & (F.col("spread") < share.get(1, 0.0))) | ((F.col("toxic") == 0) & (F.col("spread") < share.get(0, 0.0)))
-    )
-    # About two samples of ids, whatever the size of the corpus.
-    few = lookup(chosen, 2 * sample)
+    ), "chosen")
+    few = lookup(chosen, chosen.count())
     texts = df.select(ids.alias("_id"), F.col(f"`{text_col}`").alias("text")).join(few, "_id").where(F.col("text").isNotNull())
     half = F.pmod(F.xxhash64(F.col("_id").cast("string"), F.lit("half")), F.lit(2))
-    counts = _word_counts(texts.where(half == 0).select("text", "toxic"))
+    # Of a bounded sample of documents, but asked three times.
+    counts = written(_word_counts(texts.where(half == 0).select("text", "toxic")), "word-counts")
     totals = counts.agg(F.sum("toxic"), F.sum("clean")).first()
     toxic, clean = (totals[0] or 0) + 1, (totals[1] or 0) + 1
     # Evidence that a word is commoner in toxic sentences: its log likelihood ratio.
@@ -271,14 +328,14 @@ def _fit_words(bad: list, usual: list) -> Model:
 def _summaries(df: DataFrame, model: Model) -> DataFrame:
     shared = df.sparkSession.sparkContext.broadcast(model)
     return computed(df, ["text"], "_summary array<double>", lambda state, texts: [state.summaries(texts.to_pylist()).tolist()],
-                    lambda: Scorer(shared.value.table, shared.value.offset), keep=["toxic"])
+                    lambda: _scorer(shared.value), keep=["toxic"])
 
 
 def score_toxicity(df: DataFrame, model: Model, text_col: str = "text", threshold: float = 0.7, keep: list[str] | None = None) -> DataFrame:
     """The columns ``keep`` (all by default) and score (0 to 1), predicted (1 from ``threshold`` on) of every row.
 
     Null and empty texts get the score of a text without words. Whole texts are read, of any length; repeated rows are
-    scored one by one; an empty table gives no rows. Kept columns must not be called score or predicted.
+    scored one by one; an empty table gives no rows. Where kept columns are called score or predicted, the new ones get ``_`` before it.
     """
     shared = df.sparkSession.sparkContext.broadcast(model)
 
@@ -287,7 +344,7 @@ def score_toxicity(df: DataFrame, model: Model, text_col: str = "text", threshol
         scores = shared.value.probability(rows)
         return scores.tolist(), (scores >= threshold).astype(int).tolist()
 
-    return computed(df, [text_col], "score double, predicted int", judge, lambda: Scorer(shared.value.table, shared.value.offset), keep)
+    return computed(df, [text_col], "score double, predicted int", judge, lambda: _scorer(shared.value), keep)
 
 
 def held_out(id_col: str = "doc_id") -> Column:

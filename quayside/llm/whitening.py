@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.mllib.common import callMLlibFunc
 from pyspark.mllib.linalg import DenseMatrix
@@ -62,14 +63,20 @@ def _blocks(rows: DataFrame, count: int, dimension: int) -> BlockMatrix:
     """A block matrix of ``rows`` (index, values) with indexes below ``count``; rows that are not there are zero."""
     vectors = rows.select(F.col("index").cast("long").alias("index"), array_to_vector("values").alias("vector"))
     old = MLUtils.convertVectorColumnsFromML(vectors, "vector")
-    return IndexedRowMatrix(old, count, dimension).toBlockMatrix(BLOCK_ROWS, dimension)
+    # A product asks for its factors several times; what an executor loses is computed again.
+    return IndexedRowMatrix(old, count, dimension).toBlockMatrix(BLOCK_ROWS, dimension).persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def _release(blocks: BlockMatrix) -> None:
+    blocks._java_matrix_wrapper._java_model.blocks().unpersist(False)
 
 
 def _bands(rows: DataFrame, count: int, band_rows: int):
-    """(rows with indexes from 0 on, their number) of each band."""
+    """(rows with indexes from 0 on, first index, size) of each band that has rows."""
     for start in range(0, count, band_rows):
         inside = rows.where((F.col("index") >= start) & (F.col("index") < start + band_rows)) if count > band_rows else rows
-        yield inside.withColumn("index", F.col("index") - start), start, min(band_rows, count - start)
+        if not inside.isEmpty():
+            yield inside.withColumn("index", F.col("index") - start), start, min(band_rows, count - start)
 
 
 def scatter(rows: DataFrame, count: int, dimension: int, band_rows: int = BAND_ROWS) -> np.ndarray:
@@ -81,19 +88,22 @@ def scatter(rows: DataFrame, count: int, dimension: int, band_rows: int = BAND_R
         # The Python class has no argument for the split of the inner dimension; without it one task would get all blocks.
         product = blocks.transpose()._java_matrix_wrapper.call("multiply", blocks._java_matrix_wrapper._java_model, splits)
         total += BlockMatrix(product, dimension, dimension).toLocalMatrix().toArray()
+        _release(blocks)
     return total
 
 
-def project(rows: DataFrame, count: int, matrix: np.ndarray, band_rows: int = BAND_ROWS) -> DataFrame:
-    """(index, projected array<double>): ``values`` of every row times ``matrix``."""
+def project(rows: DataFrame, count: int, matrix: np.ndarray, purpose: str, band_rows: int = BAND_ROWS) -> DataFrame:
+    """(index, projected array<double>), stored: ``values`` of every row times ``matrix``."""
     spark = rows.sparkSession
     dimension, width = matrix.shape
     right = BlockMatrix(spark.sparkContext.parallelize([((0, 0), DenseMatrix(dimension, width, matrix.ravel(order="F").tolist()))], 1), dimension, width)
     parts = []
     for part, start, size in _bands(rows, count, band_rows):
-        made = _blocks(part, size, dimension).multiply(right).toIndexedRowMatrix()
+        blocks = _blocks(part, size, dimension)
+        made = blocks.multiply(right).toIndexedRowMatrix()
         back = callMLlibFunc("getIndexedRows", made._java_matrix_wrapper._java_model)
-        parts.append(back.select((F.col("index") + start).alias("index"), vector_to_array("vector").alias("projected")))
+        parts.append(written(back.select((F.col("index") + start).alias("index"), vector_to_array("vector").alias("projected")), purpose))
+        _release(blocks)
     return reduce(DataFrame.unionAll, parts)
 
 
@@ -159,7 +169,7 @@ def whiten(
     values, vectors = np.linalg.eigh((covariance + covariance.T) / 2)
     fit.values, fit.vectors = values[::-1], vectors[:, ::-1]
     matrix = fit.matrix(components)
-    projected = written(project(kept.select("index", centred(F.col("x"), fit).alias("values")), total, matrix, band_rows), "whiten-projected")
+    projected = project(kept.select("index", centred(F.col("x"), fit).alias("values")), total, matrix, "whiten-projected", band_rows)
     result = kept.join(projected, "index").select("index", "id", "x", deviation(F.col("x"), fit).alias("deviation"), F.col("projected").alias("whitened"))
     return result, fit, identity_error(distinct.select("index").join(projected, "index"), fit, matrix, total, band_rows)
 

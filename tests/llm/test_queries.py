@@ -30,7 +30,7 @@ def test_query_matches_sql(spark, sf_dir, name):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES) == list(range(1, 14))
 
 
 def packed(pieces, ids_of):
