@@ -17,7 +17,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from quayside.session import shared_dir
 
 # Bytes of text that one step of a task works on at once; a longer text is a step of its own.
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 20
 # Rows (of a few words each) a lookup may have to be broadcast; beyond it the join shuffles.
 LOOKUP_ROWS = 1_000_000
 

@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.common import Words, computed, lookup, mixed, slices, written
+from quayside.llm.common import Words, computed, give_back, lookup, mixed, slices, written
 
 WIDTH = 5
 PERCENT = 80
@@ -267,6 +267,7 @@ def _edges(docs: DataFrame, cells: DataFrame, width: int, percent: int) -> DataF
         bits, sizes, hit = group["bits"].tolist(), group["n"].to_numpy(), np.zeros(len(group), dtype=bool)
         for rows in group.groupby(_CELL, sort=False).indices.values():
             hit[rows] = possible([np.frombuffer(bits[r], dtype=np.uint64) for r in rows], sizes[rows].tolist(), percent)
+        give_back()
         return group.loc[hit, [*_CELL, "_doc", "_hash"]]
 
     # First the bitmaps, a quarter of a byte per shingle, go to the cells; only what they leave follows with whole sets.
@@ -290,6 +291,7 @@ def _edges(docs: DataFrame, cells: DataFrame, width: int, percent: int) -> DataF
         for rows in group.groupby(_CELL, sort=False).indices.values():
             first = linked([np.frombuffer(sets[r], dtype=np.uint64) for r in rows], percent)
             found += [(ids[rows[i]], ids[rows[f]]) for i, f in enumerate(first) if f != i]
+        give_back()
         return pd.DataFrame(found, columns=["a", "b"])
 
     return placed.groupBy(_together(needed)).applyInPandas(link, f"a {kind}, b {kind}")
