@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 # Rows a lookup table may have to be broadcast; beyond it the join shuffles and AQE splits hot keys.
 BROADCAST_ROWS = 50_000
+ARROW_BYTES = "4m"
 
 
 def local_session(name: str, cores: int | str = "*", **conf) -> SparkSession:
@@ -40,6 +41,8 @@ def prepare_session(spark: SparkSession) -> SparkSession:
     """Runtime settings every job here relies on, and the package for the Python workers."""
     # Record times are UTC, so paths and windows need the session to agree.
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    # What a Python worker gets at once follows bytes, not rows: texts and lines may be long.
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
     ship_package(spark)
     return spark
 
@@ -75,6 +78,13 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` as a table in the shared folder: computed once, and still there when executors are lost."""
+    path = shared_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def require_utc(spark: SparkSession) -> None:
     zone = spark.conf.get("spark.sql.session.timeZone")
     if zone not in ("UTC", "Etc/UTC", "GMT", "Z", "+00:00"):
