@@ -5,7 +5,7 @@ from __future__ import annotations
 import posixpath
 import re
 import uuid
-from collections.abc import Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping
 
 import pyarrow as pa
 from pyarrow import fs
@@ -144,25 +144,17 @@ def _remove(system: fs.FileSystem, path: str) -> None:
         system.delete_file(path)
 
 
-def write_files(frames: DataFrame, root: str, clustered: bool = False, roots: Mapping[str, str] | None = None) -> DataFrame:
-    """Write each file's frames, in order, to ``root/path/name``; returns one manifest row per file when evaluated.
-
-    Rows are clustered by file and sorted inside their task, then streamed: a task holds a few frames at a time. Names
-    are fixed by topic, partition and first offset, so a retried task or a replayed batch overwrites instead of adding.
-    ``framing`` says how frames are told apart: by ``line``, by a ``length`` prefix, or not at all (``raw``).
-    ``clustered`` skips the shuffle for frames that still lie file by file, as ``file_frames`` leaves them; the write
-    fails rather than produce a file with a missing or misplaced frame.
-    ``roots`` gives the landing root of each bucket, the first folder of a tenant's path; other paths lie below ``root``.
-    """
-    wanted = frames.select(
+def frame_columns(frames: DataFrame) -> DataFrame:
+    """The columns that writing needs, in their order."""
+    return frames.select(
         *FILE_KEY, "name", "start_offset", "frame", "records", "last", "content", "sealed", "framing",
         (F.col("siblings") if "siblings" in frames.columns else F.lit(None).cast("array<string>")).alias("siblings"),
         (F.col("institution") if "institution" in frames.columns else F.lit(None).cast("string")).alias("institution"),
     )
 
-    spark = frames.sparkSession
-    root, buckets = shared_root(spark, root), {name: shared_root(spark, place) for name, place in (roots or {}).items()}
 
+def frame_writer(root: str, buckets: Mapping[str, str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A function that writes the frames of a task, file by file and in order, and gives one manifest row per file."""
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         systems = {name: _file_system(place) for name, place in {**buckets, "": root}.items()}
         target, row, expected = None, None, 0
@@ -200,8 +192,24 @@ def write_files(frames: DataFrame, root: str, clustered: bool = False, roots: Ma
         if target is not None:
             raise RuntimeError("the last frame of a file is missing")
 
+    return write
+
+
+def write_files(frames: DataFrame, root: str, clustered: bool = False, roots: Mapping[str, str] | None = None) -> DataFrame:
+    """Write each file's frames, in order, to ``root/path/name``; returns one manifest row per file when evaluated.
+
+    Rows are clustered by file and sorted inside their task, then streamed: a task holds a few frames at a time. Names
+    are fixed by topic, partition and first offset, so a retried task or a replayed batch overwrites instead of adding.
+    ``framing`` says how frames are told apart: by ``line``, by a ``length`` prefix, or not at all (``raw``).
+    ``clustered`` skips the shuffle for frames that still lie file by file, as ``file_frames`` leaves them; the write
+    fails rather than produce a file with a missing or misplaced frame.
+    ``roots`` gives the landing root of each bucket, the first folder of a tenant's path; other paths lie below ``root``.
+    """
+    wanted = frame_columns(frames)
+    spark = frames.sparkSession
+    root, buckets = shared_root(spark, root), {name: shared_root(spark, place) for name, place in (roots or {}).items()}
     ordered = (wanted if clustered else wanted.repartition(*FILE_KEY)).sortWithinPartitions(*FILE_KEY, "frame")
-    return ordered.mapInArrow(write, WRITTEN_SCHEMA)
+    return ordered.mapInArrow(frame_writer(root, buckets), WRITTEN_SCHEMA)
 
 
 def land_files(

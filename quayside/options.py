@@ -138,6 +138,8 @@ class LayoutOptions:
 class FileOptions:
     flush_size: int = 1_000
     rotate_ms: int | None = None
+    # Whether a file's time starts with its first record; otherwise files end at fixed buckets of record time.
+    rotate_exact: bool = False
     pad: int = 10
     # Offsets of one topic partition ranked in one task. Offsets are unique there, so this bounds every group.
     chunk_offsets: int = 1 << 20
@@ -149,6 +151,7 @@ class FileOptions:
         rotate = props.get("rotate.interval.ms")
         return cls(
             flush_size=int(props.get("flush.size", 1_000)), rotate_ms=int(rotate) if rotate else None,
+            rotate_exact=bool(rotate),
             pad=int(props.get("filename.offset.zero.pad.width", 10)),
         )
 

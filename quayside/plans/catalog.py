@@ -2,33 +2,42 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.functions import headers as H
 from quayside.functions import masking, tokens
 from quayside.functions.paths import field_segment, nested, time_segment
+from quayside.functions.rule_table import match_rule_table
 from quayside.functions.rules import encrypt_decision, match_rules, parse, rule_array
 from quayside.operators import bulk, reports
+from quayside.operators.audit import offset_faults, offset_islands
+from quayside.operators.commits import (
+    LOG, committed_files, land_committed, landed_lines, remove_uncommitted, uncommitted_files,
+)
 from quayside.operators.fold import fold_headers
 from quayside.operators.land import keep_tolerated, land_lines, split_errors
 from quayside.operators.layout import (
-    add_path, add_tenant_prefix, assign_files, json_line, manifest, read_dead_letters, route,
+    add_path, add_tenant_layout, add_tenant_prefix, assign_files, json_line, manifest, read_dead_letters, route,
 )
 from quayside.operators.protect import Crypto, choose_by_rules, protect
-from quayside.operators.seal import seal_records, unseal
+from quayside.operators.seal import file_frames, seal_frames, seal_records, unseal
 from quayside.options import FileOptions, FoldOptions, LayoutOptions, ProtectOptions
 from quayside.plans import sample
 from quayside.plans.chain import Chain, Connector, fold_step, path_step, protect_step
 from quayside.session import shared_dir
-from quayside.sources.lookups import attach_key, partition_map, partner_keys, tenant_partitions
+from quayside.sources.lookups import attach_key, attach_key_as_of, partition_map, partner_keys, tenant_partitions
 from quayside.sources.messages import decode_dynamic, decode_typed
-from quayside.sources.policy import unmapped
+from quayside.sources.policy import policy_from_text, unmapped
+from quayside.sources.record_log import append_records, read_records
 from quayside.streaming.landing import (
     land_batch, latest_counts, latest_rates, stream_counts, stream_files, stream_lines, stream_rates,
 )
+from quayside.streaming.open_files import land_open_files, stream_open_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -123,7 +132,13 @@ MAPLE:*:3.0:REMOVE,cedar:REVERSAL:3.1:REMOVE,cedar:Sweep:3.0:REMOVE,cedar:Sweep:
 LARCH:REVERSAL:3.0:REMOVE,LARCH:Sweep:3.1:MASK,LARCH:TOPUP:3.0:REMOVE,MAPLE:CHARGE:3.1:NONE,MAPLE:REVERSAL:3.1:MASK,
 MAPLE:CASHOUT:3.1:REMOVE,ROWAN:CHARGE:3.0:NONE,ROWAN:CHARGE:3.1:MASK,ROWAN:REVERSAL:3.0:MASK,ROWAN:Sweep:3.0:REMOVE,
 ROWAN:TOPUP:3.0:MASK,ROWAN:TOPUP:3.1:REMOVE,*:reversal:*:MASK,LARCH:*:*:NONE,*:*:3.1:REMOVE,ROWAN:CASHOUT:*:REMOVE,
-*:CHARGE:4.0:NONE"""
+*:CHARGE:4.0:NONE,
+ALDER:*:4.0:NONE,BIRCH:TOPUP:*:MASK,cedar:*:4.0:REMOVE,MAPLE:TOPUP:*:NONE,*:cashout:4.0:REMOVE,BIRCH:Charge:4.0:MASK,
+BIRCH:*:4.0:NONE,BIRCH:CASHOUT:3.1:MASK,BIRCH:TOPUP:3.0:REMOVE,cedar:CASHOUT:3.0:MASK,cedar:CASHOUT:3.1:NONE,
+cedar:TOPUP:3.0:REMOVE,cedar:TOPUP:3.1:MASK,LARCH:CHARGE:3.1:REMOVE,LARCH:CASHOUT:3.0:NONE,MAPLE:CHARGE:4.0:MASK,
+MAPLE:Sweep:4.0:REMOVE,MAPLE:*:*:MASK,ROWAN:CHARGE:4.0:REMOVE,ROWAN:Sweep:*:NONE,ROWAN:*:3.0:REMOVE,
+ROWAN:TOPUP:4.0:MASK,cedar:*:*:NONE,*:TOPUP:*:REMOVE,*:sweep:4.0:MASK,ALDER:CASHOUT:*:NONE,*:*:4.0:MASK,
+STALE:*:*:REMOVE,BIRCH:*:*:REMOVE,*:*:*:NONE"""
 # The same list for DuckDB, written out: rule number, tenant, type, version, outcome.
 MANY_RULES_SQL = """
 (1, 'ALDER', 'CHARGE', '3.0', 'MASK'), (2, 'ALDER', 'CHARGE', '3.1', 'REMOVE'),
@@ -144,7 +159,18 @@ MANY_RULES_SQL = """
 (33, 'ROWAN', 'CHARGE', '3.1', 'MASK'), (34, 'ROWAN', 'REVERSAL', '3.0', 'MASK'),
 (35, 'ROWAN', 'Sweep', '3.0', 'REMOVE'), (36, 'ROWAN', 'TOPUP', '3.0', 'MASK'),
 (37, 'ROWAN', 'TOPUP', '3.1', 'REMOVE'), (38, '*', 'reversal', '*', 'MASK'), (39, 'LARCH', '*', '*', 'NONE'),
-(40, '*', '*', '3.1', 'REMOVE'), (41, 'ROWAN', 'CASHOUT', '*', 'REMOVE'), (42, '*', 'CHARGE', '4.0', 'NONE')"""
+(40, '*', '*', '3.1', 'REMOVE'), (41, 'ROWAN', 'CASHOUT', '*', 'REMOVE'), (42, '*', 'CHARGE', '4.0', 'NONE'),
+(43, 'ALDER', '*', '4.0', 'NONE'), (44, 'BIRCH', 'TOPUP', '*', 'MASK'), (45, 'cedar', '*', '4.0', 'REMOVE'),
+(46, 'MAPLE', 'TOPUP', '*', 'NONE'), (47, '*', 'cashout', '4.0', 'REMOVE'), (48, 'BIRCH', 'Charge', '4.0', 'MASK'),
+(49, 'BIRCH', '*', '4.0', 'NONE'), (50, 'BIRCH', 'CASHOUT', '3.1', 'MASK'), (51, 'BIRCH', 'TOPUP', '3.0', 'REMOVE'),
+(52, 'cedar', 'CASHOUT', '3.0', 'MASK'), (53, 'cedar', 'CASHOUT', '3.1', 'NONE'),
+(54, 'cedar', 'TOPUP', '3.0', 'REMOVE'), (55, 'cedar', 'TOPUP', '3.1', 'MASK'),
+(56, 'LARCH', 'CHARGE', '3.1', 'REMOVE'), (57, 'LARCH', 'CASHOUT', '3.0', 'NONE'),
+(58, 'MAPLE', 'CHARGE', '4.0', 'MASK'), (59, 'MAPLE', 'Sweep', '4.0', 'REMOVE'), (60, 'MAPLE', '*', '*', 'MASK'),
+(61, 'ROWAN', 'CHARGE', '4.0', 'REMOVE'), (62, 'ROWAN', 'Sweep', '*', 'NONE'), (63, 'ROWAN', '*', '3.0', 'REMOVE'),
+(64, 'ROWAN', 'TOPUP', '4.0', 'MASK'), (65, 'cedar', '*', '*', 'NONE'), (66, '*', 'TOPUP', '*', 'REMOVE'),
+(67, '*', 'sweep', '4.0', 'MASK'), (68, 'ALDER', 'CASHOUT', '*', 'NONE'), (69, '*', '*', '4.0', 'MASK'),
+(70, 'STALE', '*', '*', 'REMOVE'), (71, 'BIRCH', '*', '*', 'REMOVE'), (72, '*', '*', '*', 'NONE')"""
 
 
 @query("protect_by_rules", f"""WITH {MESSAGES},
@@ -1005,7 +1031,8 @@ def _stored_files(spark: SparkSession, root: str, stored: DataFrame) -> DataFram
         "file", "frame", F.posexplode(F.split(F.col("content").cast("string"), "\n")).alias("at", "line")
     ).select("file", (F.col("frame") + F.col("at")).alias("at"), "line")
     # A plain file holds at most flush_size records.
-    plain = spark.read.format("binaryFile").load(f"{root}/*/*/*.json").select(
+    listed = spark.read.format("binaryFile").load(f"{root}/*/*/*.json").where(~F.contains("path", F.lit(f"/{LOG}/")))
+    plain = listed.select(
         F.col("path").alias("file"),
         F.posexplode(F.split(F.regexp_replace(F.col("content").cast("string"), "\n$", ""), "\n")).alias("at", "line"),
     )
@@ -1105,3 +1132,251 @@ def disabled_passthrough(spark: SparkSession, sf_dir: str) -> DataFrame:
         "record_offset", changed.alias("sealed"),
         F.when(changed, F.col("plain")).otherwise(F.col("stored")).cast("string").alias("opened"),
     )
+
+
+# ---------------------------------------------------------------- files that roll exactly, stay open, or are committed
+
+EXACT = FileOptions(flush_size=25, rotate_ms=7_200_000, rotate_exact=True, chunk_offsets=512)
+
+
+@query("file_rotation_exact", f"""WITH RECURSIVE {MESSAGES}, {COARSE},
+numbered AS (SELECT *, row_number() OVER (PARTITION BY part, path ORDER BY record_offset) - 1 AS n FROM routed),
+follows AS (SELECT a.part, a.path, a.n, min(b.n) AS m FROM numbered a JOIN numbered b ON a.part = b.part AND a.path = b.path AND b.n > a.n AND b.n <= a.n + 25
+  AND (b.n = a.n + 25 OR epoch_ms(b.record_ts) - epoch_ms(a.record_ts) >= 7200000) GROUP BY 1, 2, 3),
+starts(part, path, n) AS (SELECT part, path, n FROM numbered WHERE n = 0 UNION ALL SELECT s.part, s.path, f.m FROM starts s JOIN follows f USING (part, path, n)),
+marked AS (SELECT numbered.*, s.n AS start_n FROM numbered LEFT JOIN starts s ON s.part = numbered.part AND s.path = numbered.path AND s.n = numbered.n),
+filed AS (SELECT *, max(start_n) OVER (PARTITION BY part, path ORDER BY n) AS file_no FROM marked)
+SELECT path, {NAME} AS name, max(record_offset) AS end_offset, count(*) AS records FROM filed GROUP BY path, part, file_no""")
+def file_rotation_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file ends two hours after its own first record, or with 25 records."""
+    return manifest(assign_files(coarse(spark, sf_dir), EXACT), EXACT).select("path", "name", "end_offset", "records")
+
+
+OPEN_LAYOUT = LayoutOptions(("headers.X-Institution-Id",), labelled=False, path_format="'all'", duration_ms=86_400_000).with_defaults()
+WIDE = FileOptions(flush_size=100, frame_bytes=4_096)
+
+
+def open_chain() -> Chain:
+    return Chain([protect_step(PROTECT), fold_step(WRAP), path_step(OPEN_LAYOUT)])
+
+
+@query("stream_open_files", SEALED.replace("strftime(record_ts, 'day=%d')", "'all'").replace("// 10 AS", "// 100 AS"))
+def stream_open_files_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Six micro-batches in order; files stay open between them, so they are those of one batch over all records."""
+    root, checkpoint = shared_dir(spark, "open"), shared_dir(spark, "checkpoint")
+    policy, ring = sample.policy(spark), sample.key_ring(spark)
+    stream_open_files(
+        sample.ordered_deliveries(spark, sf_dir, 6), lambda df: open_chain()(decode_dynamic(df)), root, checkpoint, WIDE, policy, ring,
+    ).awaitTermination()
+    land_open_files(spark, root, checkpoint, WIDE, policy, ring)
+    return _stored_files(spark, root, committed_files(spark, root))
+
+
+@query("landed_snapshot", f"""WITH {MESSAGES}, {COARSE}, dealt AS (SELECT *, record_offset % 3 AS batch FROM routed),
+filed AS (SELECT *, (row_number() OVER (PARTITION BY batch, part, path ORDER BY record_offset) - 1) // 10 AS file_no FROM dealt WHERE batch <> 1)
+SELECT batch, path, concat({NAME}, '.json') AS name, count(*) AS records, md5(string_agg(transaction_id, chr(10) ORDER BY record_offset)) AS digest,
+  CAST(0 AS BIGINT) AS left_over FROM filed GROUP BY batch, path, part, file_no""")
+def landed_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three batches, of which the second fails while its files are being written: readers see the others whole, and its remains go."""
+    root = shared_dir(spark, "committed")
+    lines = coarse(spark, sf_dir).drop("institution", "event_type", "event_version")
+    for batch in range(3):
+        frames = seal_frames(file_frames(assign_files(lines.where(F.col("offset") % 3 == batch), SHARP), SHARP), None, None)
+        if batch == 1:
+            frames = frames.withColumn("content", F.when(F.xxhash64("name") % 5 != 0, F.col("content")))
+        try:
+            land_committed(frames, root, batch)
+        except PySparkException:
+            if batch != 1:
+                raise
+    remove_uncommitted(spark, root)
+    left = uncommitted_files(spark, root).count()
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda x: x["line"])
+    digests = landed_lines(spark, root).groupBy("path", "name").agg(F.md5(F.array_join(ordered, "\n").cast("binary")).alias("digest"))
+    files = committed_files(spark, root).join(digests, ["path", "name"], "left")
+    return files.select("batch", "path", "name", "records", "digest", F.lit(left).cast("bigint").alias("left_over"))
+
+
+TEMPLATES = """
+{"banks": {
+  "ALDER": {"s3_config": {"bucket": "first", "object_key_template": "alder/year={{yyyy}}/month={{MM}}/day={{dd}}/{{topic}}-{{partition}}.json"}},
+  "CEDAR": {"s3_config": {"bucket": "second", "object_key_template": "{{headers.X-Event-Type}}/{{HH}}/"}},
+  "LARCH": {"s3_config": {"bucket": "second", "object_key_template": "larch/{{topic}}/p{{partition}}/{{yyyy-MM-dd}}/"}},
+  "MAPLE": {"s3_config": {"bucket": "first", "object_key_template": "{{headers.X-Event-Type}}/{{HH}}/"}},
+  "BIRCH": {"s3_config": {"bucket": "first", "path_prefix": "birch"}}},
+ "default": {"s3_config": {"bucket": "first", "path_prefix": "others"}}}
+"""
+
+
+@query("tenant_layouts", f"""WITH {STAGED}, placed AS (SELECT *, CASE inst_some WHEN 'CEDAR' THEN 'second' WHEN 'LARCH' THEN 'second' ELSE 'first' END AS bucket,
+  CASE WHEN value_case = 'broken' THEN 'decode' WHEN value_case = 'null' OR (inst_some IN ('CEDAR', 'MAPLE') AND event_type IS NULL) THEN 'partition' END AS failed,
+  CASE inst_some WHEN 'ALDER' THEN strftime(record_ts, 'alder/year=%Y/month=%m/day=%d') WHEN 'CEDAR' THEN concat(event_type, strftime(record_ts, '/%H'))
+    WHEN 'MAPLE' THEN concat(event_type, strftime(record_ts, '/%H')) WHEN 'LARCH' THEN concat('larch/card-events/p', part, strftime(record_ts, '/%Y-%m-%d'))
+    WHEN 'BIRCH' THEN strftime(record_ts, 'birch/day=%d') ELSE strftime(record_ts, 'others/day=%d') END AS folder FROM routed)
+SELECT bucket AS root, folder AS path, count(*) AS records, min(transaction_id) AS first_id, max(transaction_id) AS last_id
+FROM placed WHERE failed IS NULL GROUP BY 1, 2""")
+def tenant_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One scan, one write: each tenant's own folders below the root of its bucket."""
+    base = shared_dir(spark, "layouts")
+    roots = {"first": f"{base}/first", "second": f"{base}/second"}
+    policy = policy_from_text(spark, TEMPLATES)
+    folded = fold_headers(decode_dynamic(sample.records(spark, sf_dir)), WRAP)
+    plain = LayoutOptions((), path_format="'day='dd", duration_ms=86_400_000)
+    placed = add_tenant_layout(folded, policy, H.header(F.col("headers"), "X-Institution-Id"), plain)
+    land_batch(placed, f"{base}/rest", f"{base}/_manifest", FileOptions(), None, None, roots=roots)
+    lines = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json").text(list(roots.values()))
+    below = F.substring_index(F.col("_metadata.file_path"), f"/{base.rstrip('/').rsplit('/', 1)[-1]}/", -1)
+    where, path = F.substring_index(below, "/", 1), F.regexp_extract(below, "^[^/]+/(.*)/[^/]+$", 1)
+    record_id = F.get_json_object("value", "$.payload.transactionId")
+    return lines.groupBy(where.alias("root"), path.alias("path")).agg(
+        F.count("*").alias("records"), F.min(record_id).alias("first_id"), F.max(record_id).alias("last_id"))
+
+
+# ---------------------------------------------------------------- rules as a table, keys with a history
+
+RULE_ROWS = """SELECT CAST(CASE WHEN j = 6 THEN 10000000 + c_custkey ELSE c_custkey * 7 + j + 1 END AS INT) AS rule_no,
+  CASE WHEN j = 6 THEN '*' WHEN j = 3 THEN concat('c', CAST(c_custkey AS VARCHAR(20))) ELSE concat('C', CAST(c_custkey AS VARCHAR(20))) END AS customer,
+  CASE WHEN j = 2 OR (j = 5 AND c_custkey % 4 = 0) THEN '*' ELSE CASE (c_custkey + j) % 5 WHEN 0 THEN '1-urgent' WHEN 1 THEN '2-HIGH' WHEN 2 THEN '3-MEDIUM'
+    WHEN 3 THEN '4-NOT SPECIFIED' ELSE '5-LOW' END END AS priority,
+  CASE WHEN j = 1 OR (j = 5 AND c_custkey % 4 = 0) THEN '*' ELSE CASE (c_custkey + j) % 3 WHEN 0 THEN 'F' WHEN 1 THEN 'o' ELSE 'P' END END AS status,
+  CASE (c_custkey + j) % 4 WHEN 0 THEN 'MASK' WHEN 1 THEN 'REMOVE' WHEN 2 THEN 'DECRYPT' ELSE 'NONE' END AS outcome
+FROM {customer} CROSS JOIN (VALUES (0), (1), (2), (3), (4), (5), (6)) AS v(j)"""
+ORDER_ROWS = """SELECT o_orderkey, CASE WHEN o_orderkey % 41 = 0 THEN NULL ELSE concat('C', CAST(o_custkey AS VARCHAR(20))) END AS customer,
+  CASE WHEN o_orderkey % 43 = 0 THEN NULL ELSE o_orderpriority END AS priority, o_orderstatus AS status FROM {orders}"""
+
+
+@query("rules_table", f"""WITH rules AS ({RULE_ROWS.format(customer='customer')}), o AS ({ORDER_ROWS.format(orders='orders')}),
+seen AS (SELECT DISTINCT customer, priority, status FROM o),
+hit AS (SELECT seen.customer, seen.priority, seen.status, min(rule_no) AS rule_no FROM seen JOIN rules r ON (r.customer = '*' OR lower(r.customer) = lower(seen.customer))
+  AND (r.priority = '*' OR lower(r.priority) = lower(seen.priority)) AND (r.status = '*' OR lower(r.status) = lower(seen.status)) GROUP BY 1, 2, 3)
+SELECT o_orderkey, hit.rule_no, rules.outcome FROM o LEFT JOIN hit ON o.customer IS NOT DISTINCT FROM hit.customer AND o.priority IS NOT DISTINCT FROM hit.priority
+  AND o.status IS NOT DISTINCT FROM hit.status LEFT JOIN rules ON rules.rule_no = hit.rule_no""")
+def rules_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Seven rules for each customer: 10,500 at the size of the correctness run."""
+    rules = spark.sql(RULE_ROWS, customer=spark.read.parquet(f"{sf_dir}/customer.parquet"))
+    orders = spark.sql(ORDER_ROWS, orders=spark.read.parquet(f"{sf_dir}/orders.parquet"))
+    matched = match_rule_table(orders, rules, ["customer", "priority", "status"])
+    return matched.select("o_orderkey", "matched.rule_no", "matched.outcome")
+
+
+@query("rules_table_tenant", f"""WITH rules AS ({RULE_ROWS.format(customer='customer')}), o AS ({ORDER_ROWS.format(orders='orders')}),
+hit AS (SELECT o_orderkey, min(r.rule_no) AS rule_no FROM o JOIN rules r ON r.customer = o.customer AND (r.priority = '*' OR lower(r.priority) = lower(o.priority))
+  AND (r.status = '*' OR lower(r.status) = lower(o.status)) GROUP BY 1)
+SELECT o.o_orderkey, hit.rule_no, rules.outcome FROM o LEFT JOIN hit USING (o_orderkey) LEFT JOIN rules ON rules.rule_no = hit.rule_no""")
+def rules_table_tenant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rules as each customer's own list: only rows of exactly that customer follow it."""
+    rules = spark.sql(RULE_ROWS, customer=spark.read.parquet(f"{sf_dir}/customer.parquet"))
+    orders = spark.sql(ORDER_ROWS, orders=spark.read.parquet(f"{sf_dir}/orders.parquet"))
+    matched = match_rule_table(orders, rules, ["priority", "status"], scope=F.col("customer"), rule_scope="customer")
+    return matched.select("o_orderkey", "matched.rule_no", "matched.outcome")
+
+
+# Sixty keys for each of five tenants: periods overlap, end early or leave gaps; some are disabled, some open at an end.
+KEY_ROWS = """SELECT id, concat('keys/', id, '-', CAST(n AS VARCHAR(9))) AS public_key, CAST(NULL AS VARCHAR(9)) AS key_id, n % 7 <> 3 AS enabled,
+  CASE WHEN n = 0 AND k = 1 THEN NULL ELSE TIMESTAMP '2024-01-01 00:00:00' + INTERVAL '1' HOUR * CAST(n * 12 + k - n % 2 AS INT) END AS valid_from,
+  CASE WHEN n = 57 THEN NULL ELSE TIMESTAMP '2024-01-01 00:00:00' + INTERVAL '1' HOUR * CAST(n * 12 + k + CASE n % 5 WHEN 0 THEN 4 WHEN 1 THEN 60 WHEN 2 THEN 13
+    WHEN 3 THEN 20 ELSE 2 END AS INT) END AS valid_to
+FROM (SELECT DISTINCT event_id % 60 AS n FROM {events}) CROSS JOIN (VALUES ('ALDER', 0), ('BIRCH', 1), ('CEDAR', 2), ('LARCH', 3), ('MAPLE', 4)) AS t(id, k)"""
+
+
+@query("key_as_of", f"""WITH {MESSAGES}, k AS ({KEY_ROWS.format(events='events')}),
+fit AS (SELECT record_offset, public_key, coalesce(valid_from, TIMESTAMP '1900-01-01') AS since FROM msg JOIN k ON k.id = institution AND enabled
+  AND (valid_from IS NULL OR valid_from <= record_ts) AND (valid_to IS NULL OR record_ts < valid_to)),
+best AS (SELECT record_offset, public_key FROM fit QUALIFY row_number() OVER (PARTITION BY record_offset ORDER BY since DESC, public_key DESC) = 1)
+SELECT record_offset, public_key, CASE WHEN public_key IS NULL THEN 'key' END AS error_stage FROM msg LEFT JOIN best USING (record_offset)""")
+def key_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    keys = spark.sql(KEY_ROWS, events=spark.read.parquet(f"{sf_dir}/events.parquet"))
+    flat = sample.messages(spark, sf_dir)
+    found = attach_key_as_of(flat, F.col("institution"), keys, "public_key", F.col("record_ts").cast("timestamp"))
+    return found.select("record_offset", "public_key", F.col("error.stage").alias("error_stage"))
+
+
+# ---------------------------------------------------------------- replay of a stored topic
+
+@query("topic_replay", f"""WITH {MESSAGES}, kept AS (SELECT kafka_partition % 2 AS part, record_offset, transaction_id FROM msg),
+late AS (SELECT part, max(record_offset) // 2 AS middle FROM kept GROUP BY part)
+SELECT 'earliest' AS start, part, count(*) AS records, min(record_offset) AS first_offset, max(record_offset) AS last_offset,
+  count(DISTINCT transaction_id) AS ids FROM kept GROUP BY part
+UNION ALL SELECT 'given', part, count(*), min(record_offset), max(record_offset), count(DISTINCT transaction_id) FROM kept JOIN late USING (part)
+  WHERE part = 1 AND record_offset >= middle GROUP BY part
+UNION ALL SELECT 'latest', part, count(*), min(record_offset), max(record_offset), count(DISTINCT transaction_id) FROM kept
+  WHERE record_offset >= 3 * (SELECT max(event_id) + 1 FROM events) / 4 GROUP BY part""")
+def topic_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored topic read from its beginning in bounded micro-batches, from given offsets, and from its end while it grows."""
+    log = shared_dir(spark, "log")
+    flat = sample.messages(spark, sf_dir)
+    size = flat.agg(F.max("record_offset")).first()[0] + 1
+    early = F.col("record_offset") * 4 < 3 * size
+    append_records(sample.as_records(flat.where(early)), log, 500)
+    tops = {r["p"]: r["m"] for r in flat.groupBy((F.col("kafka_partition") % 2).alias("p")).agg(F.max("record_offset").alias("m")).collect()}
+
+    def replay(start: str, limit: int | None, between=lambda: None) -> str:
+        root, checkpoint = shared_dir(spark, "replayed"), shared_dir(spark, "checkpoint")
+
+        def write(batch: DataFrame, batch_id: int) -> None:
+            batch.selectExpr("partition", "offset", "cast(key AS string) AS key").write.mode("overwrite").parquet(f"{root}/batch={batch_id}")
+
+        source = read_records(spark, log, start, max_per_trigger=limit, checkpoint=checkpoint)
+        run = source.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(processingTime="0 seconds").start()
+        try:
+            run.processAllAvailable()
+            between()
+            run.processAllAvailable()
+        finally:
+            run.stop()
+        return root
+
+    latest = replay("latest", None, lambda: append_records(sample.as_records(flat.where(~early)), log, 500))
+    given = json.dumps({"card-events": {"0": -1, "1": tops[1] // 2}})
+    roots = {"earliest": replay("earliest", max(size // 6, 1)), "given": replay(given, None), "latest": latest}
+    counted = [
+        spark.read.parquet(root).groupBy("partition").agg(
+            F.count("*").alias("records"), F.min("offset").alias("first_offset"), F.max("offset").alias("last_offset"), F.countDistinct("key").alias("ids"),
+        ).select(F.lit(name).alias("start"), F.col("partition").alias("part"), "records", "first_offset", "last_offset", "ids")
+        for name, root in roots.items()
+    ]
+    return counted[0].unionByName(counted[1]).unionByName(counted[2])
+
+
+
+# ---------------------------------------------------------------- audit of landed offsets
+
+# Two batches, the second of which lands the end of the first again; some offsets never land, some twice.
+LANDED_OFFSETS = """SELECT 'card-events' AS topic, kafka_partition % 2 AS part, CAST(floor(record_offset / 2) AS BIGINT) AS o, b AS batch
+FROM {messages} CROSS JOIN (VALUES (0), (1)) AS t(b) CROSS JOIN (VALUES (0), (1)) AS r(again)
+WHERE floor(record_offset / 2) % 97 <> 5 AND floor(record_offset / 2) NOT BETWEEN 40 AND 52
+  AND (b = 0 AND floor(record_offset / 2) < 260 OR b = 1 AND floor(record_offset / 2) >= 250) AND (again = 0 OR floor(record_offset / 2) % 211 = 7)"""
+
+
+@query("offset_gaps", f"""WITH {MESSAGES}, landed AS ({LANDED_OFFSETS.format(messages='messages')}),
+here AS (SELECT part, o, count(DISTINCT batch) AS batches FROM landed GROUP BY 1, 2),
+ends AS (SELECT part, min(o) AS a, max(o) AS z FROM here GROUP BY part),
+every AS (SELECT part, unnest(range(a, z + 1)) AS o FROM ends),
+marked AS (SELECT part, o, 'missing' AS kind FROM every ANTI JOIN here USING (part, o) UNION ALL SELECT part, o, 'overlap' FROM here WHERE batches > 1),
+runs AS (SELECT part, kind, o, o - row_number() OVER (PARTITION BY part, kind ORDER BY o) AS run FROM marked),
+per AS (SELECT part, batch, o, count(*) AS n FROM landed GROUP BY 1, 2, 3),
+lands AS (SELECT *, o - row_number() OVER (PARTITION BY part, batch ORDER BY o) AS run FROM per)
+SELECT part, kind, min(o) AS first_offset, max(o) AS last_offset, count(*) AS records FROM runs GROUP BY part, kind, run
+UNION ALL SELECT part, 'repeated', min(o), max(o), CAST(sum(n) - count(*) AS BIGINT) FROM lands GROUP BY part, batch, run HAVING sum(n) > count(*)""")
+def offset_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    landed = spark.sql(LANDED_OFFSETS, messages=sample.messages(spark, sf_dir))
+    shaped = landed.select("topic", F.col("part").alias("partition"), F.col("o").alias("offset"), "batch")
+    faults = offset_faults(offset_islands(shaped, F.col("batch"), chunk=64))
+    return faults.select(F.col("partition").alias("part"), "kind", F.col("first").alias("first_offset"), F.col("last").alias("last_offset"), "records")
+
+
+# ---------------------------------------------------------------- values that are plain strings
+
+STRING_VALUE = """CASE record_offset % 4 WHEN 0 THEN concat('"note ', transaction_id, ' \\\\"q\\\\" caf\\\\u00e9"') WHEN 1 THEN '"true"' WHEN 2 THEN '17' ELSE concat('{"a":"', transaction_id, '"}') END"""
+
+
+@query("strings_raw", f"""WITH {MESSAGES} SELECT record_offset, CASE WHEN record_offset % 4 = 2 THEN 'decode' END AS error_stage,
+  CASE record_offset % 4 WHEN 0 THEN concat('note ', transaction_id, ' "q" café') WHEN 1 THEN 'true' WHEN 3 THEN concat('{{"a":"', transaction_id, '"}}') END AS line,
+  CASE WHEN record_offset % 4 = 2 THEN '_dead_letter/decode' ELSE {HOUR} END AS path FROM msg""")
+def strings_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A JSON string lands as its text; numbers are still no records."""
+    value = F.expr(STRING_VALUE).cast("binary")
+    named = sample.records(spark, sf_dir).withColumn("transaction_id", F.col("key").cast("string")).withColumn("record_offset", F.col("offset"))
+    lines = route(add_path(decode_dynamic(named.withColumn("value", value), plain_strings=True), LayoutOptions(())))
+    failed = F.col("error").isNotNull()
+    return lines.select("record_offset", F.col("error.stage").alias("error_stage"), F.when(~failed, F.col("line")).alias("line"), "path")

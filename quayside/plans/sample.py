@@ -159,6 +159,18 @@ def deliveries(spark: SparkSession, sf_dir: str) -> Iterator[DataFrame]:
         yield read_record_files(spark, folder)
 
 
+def ordered_deliveries(spark: SparkSession, sf_dir: str, parts: int) -> DataFrame:
+    """A stream over all records in ``parts`` deliveries of about equal size, in offset order, one micro-batch each."""
+    folder = shared_dir(spark, "ordered")
+    flat = messages(spark, sf_dir)
+    size = flat.agg(F.max("record_offset")).first()[0] + 1
+    batch = F.floor(F.col("record_offset") * parts / F.lit(size))
+    for part in range(parts):
+        # Files are taken in order of their modification times, so each delivery is one file.
+        as_records(flat.where(batch == part)).coalesce(1).write.mode("append").parquet(folder)
+    return read_record_files(spark, folder, files_per_trigger=1)
+
+
 def policy(spark: SparkSession) -> Policy:
     return policy_from_text(spark, POLICY_TEXT)
 

@@ -81,18 +81,24 @@ def with_error(df: DataFrame, stage: str, failed: Column, message: Column | str)
     return df.withColumn(ERROR, first_error(df, (stage, failed, message)))
 
 
-def decode_dynamic(df: DataFrame, where: Column | str | None = None) -> DataFrame:
+def decode_dynamic(df: DataFrame, where: Column | str | None = None, plain_strings: bool = False) -> DataFrame:
     """Add ``record`` MAP<STRING,VARIANT> from schemaless JSON values; anything but an object is an error.
 
     A message without a value passes through with a NULL record. An object that names a member twice is an error: which
     value counts is for the producer to say. ``where`` is a filter on the source columns; placed below the parse, it reaches the scan.
+    With ``plain_strings`` a JSON string is no error: its text is ``plain``, the record is NULL, and it lands as that text. It has no
+    fields, so only a layout without fields has a place for it.
     """
     df = df if where is None else df.where(where)
-    parsed = F.try_variant_get(F.try_parse_json(F.col("value").cast("string")), "$", "map<string,variant>")
-    df = df.withColumn("record", once(parsed))
-    return with_error(
-        df, "decode", F.col("value").isNotNull() & F.col("record").isNull(), "value is not a JSON object"
-    )
+    value = F.try_parse_json(F.col("value").cast("string"))
+    unread = F.col("value").isNotNull() & F.col("record").isNull()
+    if not plain_strings:
+        df = df.withColumn("record", once(F.try_variant_get(value, "$", "map<string,variant>")))
+        return with_error(df, "decode", unread, "value is not a JSON object")
+    df = df.withColumn("__value", once(value))
+    text = F.when(F.schema_of_variant("__value") == "STRING", F.try_variant_get("__value", "$", "string"))
+    df = df.withColumn("record", once(F.try_variant_get("__value", "$", "map<string,variant>"))).withColumn("plain", once(text)).drop("__value")
+    return with_error(df, "decode", unread & F.col("plain").isNull(), "value is neither a JSON object nor a string")
 
 
 def decode_typed(df: DataFrame, schema: str | T.StructType, where: Column | str | None = None) -> DataFrame:

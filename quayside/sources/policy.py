@@ -17,8 +17,10 @@ TENANT = """struct<
     name:string, pan_strategy:string,
     pan_config:struct<source_field:string,target_field:string,private_key_path:string,tokenize:boolean,reason:string>,
     pgp_encryption:struct<enabled:boolean,public_key_path:string,armor:boolean,rules:string,reason:string>,
-    s3_config:struct<bucket:string,path_prefix:string>>"""
+    s3_config:struct<bucket:string,path_prefix:string,object_key_template:string>>"""
 DOCUMENT = f"struct<banks:map<string,{TENANT}>,`default`:{TENANT}>"
+# Distinct object key templates that one plan may hold; tenants may share them in any number.
+MAX_TEMPLATES = 500
 BUILT_IN_DEFAULT = (
     '{"name":"Default Configuration","pan_strategy":"REMOVE",'
     '"pan_config":{"source_field":"encryptedPrimaryAccountNumber"},"pgp_encryption":{"enabled":false}}'
@@ -42,6 +44,7 @@ def _flat(tenant: Column, bank: Column) -> list[Column]:
         seal["rules"].alias("enc_rules"),
         place["bucket"].alias("bucket"),
         place["path_prefix"].alias("path_prefix"),
+        place["object_key_template"].alias("template"),
     ]
 
 
@@ -77,6 +80,13 @@ class Policy:
         parsed = self.table.withColumn("parsed_rules", rule_array(F.col("enc_rules"), mode))
         return Policy(parsed, self.fallback, self.rows, mode)
 
+    def templates(self) -> list[str]:
+        """The distinct layouts in use: few, as each becomes one expression."""
+        found = [r[0] for r in self.table.where("template IS NOT NULL").select("template").distinct().limit(MAX_TEMPLATES + 1).collect()]
+        if len(found) > MAX_TEMPLATES:
+            raise ValueError(f"more than {MAX_TEMPLATES} different object key templates")
+        return sorted({*found, self.fallback["template"]} - {None})
+
     def strategies(self) -> set[str]:
         """Strategies in use: a list bounded by the strategy names, not by the tenants."""
         known = self.table.where(F.col("strategy").isin(*STRATEGIES))
