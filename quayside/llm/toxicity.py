@@ -32,11 +32,16 @@ _LISTED_VALUES = 1 << 18
 # The machine is fitted on about this many labelled documents of each class, chosen by a hash of the id, and on this many words.
 SAMPLE_PER_CLASS = 3_000
 TRAIN_WORDS = 3_000
+# Rounds in which the words of clean sentences nearest to insults join the training, and how many in each.
+HARD_ROUNDS = 2
+HARD_WORDS = 1_500
 LANDMARKS = 512
 # Units and words whose margins a worker keeps, and characters in them.
 KNOWN_WORDS = 200_000
 KNOWN_CHARS = 1 << 22
 _STRONGEST = 3
+# Margins count up to this size: learned insults reach about 5, other words of clean texts hardly 2.
+STRONG = 6.0
 
 _WORD = re.compile(r"[^\s\"“”„«»()\[\]{}|/\;:,]+")
 # Single letters with any run of other characters between each two.
@@ -191,12 +196,12 @@ class Scorer(dict):
 
     def summary(self, words: list[str]) -> np.ndarray:
         """The strongest margins of the text, largest first, the log of the number of words on the toxic side, and that of all words."""
-        out = np.full(_STRONGEST + 2, -2.0)
+        out = np.full(_STRONGEST + 2, -STRONG)
         out[_STRONGEST:] = 0
         if words:
             margins = np.fromiter(map(self.__getitem__, words), dtype=np.float64, count=len(words))
             top = np.sort(np.partition(margins, max(0, len(margins) - _STRONGEST))[-_STRONGEST:])[::-1]
-            out[:len(top)] = np.clip(top, -2, 2)
+            out[:len(top)] = np.clip(top, -STRONG, STRONG)
             out[_STRONGEST] = np.log1p((margins > 0).sum())
             out[_STRONGEST + 1] = np.log1p(len(words)) / 5
         return out
@@ -286,7 +291,13 @@ def learn(
     scored = counts.select("word", "toxic", "clean", rate.alias("rate"), lift.alias("lift"))
     bad = scored.where((F.col("toxic") >= 3) & (F.col("lift") >= 6) & (F.col("rate") > (1 + base) / 2)).orderBy(F.desc("lift"), "word").limit(TRAIN_WORDS // 3).collect()
     usual = scored.where(F.col("clean") >= 1).where(F.col("rate") <= base).orderBy(F.desc("clean"), "word").limit(TRAIN_WORDS).collect()
-    model = _fit_words(bad, usual)
+    bad, usual = [r["word"] for r in bad], [r["word"] for r in usual]
+    model, hard = _fit_words(bad, usual, []), []
+    # Most words of clean texts are rare: those that the machine takes for insults train the next one.
+    others = scored.where((F.col("clean") >= 1) & (F.col("rate") <= base))
+    for _ in range(HARD_ROUNDS if bad and usual else 0):
+        hard = list(dict.fromkeys([*hard, *_strongest_words(others.select("word"), model)]))
+        model = _fit_words(bad, usual, hard)
     summaries = _summaries(texts.where(half == 1).select("text", "toxic"), model).collect()
     x = np.array([r["_summary"] for r in summaries]).reshape(-1, _STRONGEST + 2)
     y = np.array([r["toxic"] for r in summaries], dtype=float)
@@ -298,16 +309,24 @@ def learn(
     return model
 
 
-def _fit_words(bad: list, usual: list) -> Model:
+def _strongest_words(words: DataFrame, model: Model) -> list[str]:
+    """The words of a bounded sample that come nearest to insults by the machine so far."""
+    shared = words.sparkSession.sparkContext.broadcast(model)
+    judged = computed(words, ["word"], "margin double", lambda state, column: [state.margins(column.to_pylist())], lambda: _scorer(shared.value))
+    found = [r["word"] for r in judged.orderBy(F.desc("margin"), "word").limit(HARD_WORDS).collect()]
+    shared.destroy()
+    return found
+
+
+def _fit_words(toxic: list[str], usual: list[str], hard: list[str]) -> Model:
     weights = np.zeros(_STRONGEST + 2)
     weights[0] = 4.0
     size = ALPHABET**3
-    if not bad or not usual:
+    if not toxic or not usual:
         return Model(np.zeros(size), -1.0, weights, -1.0)
-    toxic = [r["word"] for r in bad]
-    clean = [r["word"] for r in usual]
+    clean = list(dict.fromkeys([*usual, *hard]))
     n = LANDMARKS // 2
-    landmarks = toxic[:n] + clean[:n]
+    landmarks = list(dict.fromkeys([*toxic[:n], *usual[:n - len(hard[:n // 2])], *hard[:n // 2]]))
     words = toxic + [d for w in toxic[:n // 4] for d in disguises(w)] + clean
     y = np.array([1.0] * (len(words) - len(clean)) + [-1.0] * len(clean))
     codes = np.unique(np.concatenate([triple.ravel() for _, triple, _ in subsequences(landmarks)]))
