@@ -146,8 +146,9 @@ class _Log:
         self.limit = int(limit) if limit else None
         self.checkpoint = options.get("resume")
 
-    def read(self, partition: _Piece) -> Iterator[pa.RecordBatch]:
-        return read_piece(self.path, partition)
+    def read(self, partition: _Piece | None) -> Iterator[pa.RecordBatch]:
+        # Without any pieces Spark asks once for none.
+        return iter(()) if partition is None else read_piece(self.path, partition)
 
 
 class RecordReader(_Log, DataSourceReader):
