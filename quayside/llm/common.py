@@ -80,6 +80,18 @@ def give_back() -> None:
         pass  # another C library, which has its own ways
 
 
+# What a worker keeps between tasks: the cache of one operator at a time.
+_KEPT: dict[object, object] = {}
+
+
+def kept(key: object, make: Callable[[], object]) -> object:
+    """What ``make`` gives, made once for ``key`` and dropped when a worker turns to other work."""
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
 def computed(
     df: DataFrame, inputs: list[str], fields: str, step: Callable[..., list], setup: Callable[[], object] | None = None,
     keep: list[str] | None = None,
@@ -98,6 +110,8 @@ def computed(
     at, kept = [given.index(c) for c in inputs], [given.index(c) for c in keep]
 
     def run(batches):
+        if not setup:
+            _KEPT.clear()
         state = (setup(),) if setup else ()
         types = [to_arrow_type(f.dataType) for f in kinds]
         for batch in batches:

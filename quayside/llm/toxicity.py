@@ -18,7 +18,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.common import computed, lookup, written
+from quayside.llm.common import computed, kept, lookup, written
 from quayside.llm.language_id import id_remainder
 from quayside.llm.svm import train_sigmoid, train_svm
 
@@ -207,10 +207,9 @@ class Scorer(dict):
         return out
 
 
-@lru_cache(maxsize=1)
 def _scorer(model: Model) -> Scorer:
     """One for all tasks of a worker that judge by the same model."""
-    return Scorer(model.table, model.offset)
+    return kept(model, lambda: Scorer(model.table, model.offset))
 
 
 @dataclass(eq=False)
