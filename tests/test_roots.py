@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import os
+from types import SimpleNamespace
 
 import pytest
 
@@ -57,3 +58,33 @@ def test_listing_leaves_out_only_what_is_ours(spark, tmp_path):
         (tmp_path / name).write_text("x")
     listed = {os.path.relpath(r["file"].removeprefix("file:"), tmp_path) for r in bulk.list_files(spark, str(tmp_path)).collect()}
     assert listed == {"_dead_letter/a.json", ".hidden/b.json", "_x.json", "c/d.json"}
+
+
+def on_a_cluster(spark, **settings):
+    context = SimpleNamespace(master="spark://host:7077", _jsc=spark.sparkContext._jsc)
+    return SimpleNamespace(sparkContext=context, conf=settings, _jvm=spark._jvm)
+
+
+def test_folders_that_a_cluster_shares_need_no_scheme(spark):
+    cluster = on_a_cluster(spark, **{"spark.checkpoint.dir": "file:///shared/kept/", "spark.sql.warehouse.dir": "/tables"})
+    assert shared_root(cluster, "/shared/kept/x") == "file:///shared/kept/x"
+    assert shared_root(cluster, "/tables/x/y") == "file:///tables/x/y"
+    for other in ("/shared/kept-not", "/tmp/x", "/shared/kept/../x"):
+        with pytest.raises(ValueError, match="own disk"):
+            shared_root(cluster, other)
+    with pytest.raises(ValueError, match="own disk"):
+        shared_root(on_a_cluster(spark), "/shared/kept/x")
+
+
+def test_a_mounted_folder_is_written_where_it_lies(spark, tmp_path, ring):
+    (tmp_path / "real").mkdir()
+    spark.sparkContext._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.dock.link./in", f"file://{tmp_path}/real")
+    land_files(frames(spark, "p"), "viewfs://dock/in/new/root", shared_dir(spark, "m"), "overwrite")
+    assert (tmp_path / "real/new/root/p/n").read_bytes() == b"x"
+    sealed = bulk.seal_folder(spark, "viewfs://dock/in/new/root", "viewfs://dock/in/sealed", ring, "keys/seal-a")
+    assert [(r["path"], r["name"]) for r in sealed.collect()] == [("p", "n.pgp")]
+    for armor in (False, True):
+        out = f"viewfs://dock/in/out-{armor}"
+        bulk.seal_folder(spark, "viewfs://dock/in/new/root", f"{out}-sealed", ring, "keys/seal-a", armor)
+        bulk.unseal_folder(spark, f"{out}-sealed", out, ring, "keys/seal-a", armor)
+        assert (tmp_path / f"real/out-{armor}/p/n").read_bytes() == b"x"
