@@ -1,6 +1,9 @@
 from __future__ import annotations
 
 import json
+import os
+import subprocess
+import sys
 
 import pytest
 from pyspark.sql import functions as F
@@ -73,6 +76,28 @@ def test_bounded_reading_goes_on_after_a_restart(spark, sf_dir):
     assert got.groupBy("batch").count().agg(F.max("count")).first()[0] <= 122
 
 
+def test_streams_find_the_package_from_any_folder(tmp_path):
+    """The processes that plan a stream's source beside the driver import the package, wherever the job was started."""
+    home = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    job = f"""if True:
+        import sys
+        sys.path.insert(0, {home!r})
+        from quayside.session import local_session
+        from quayside.sources.messages import KAFKA_SCHEMA
+        from quayside.sources.record_log import append_records, read_records
+        spark = local_session("elsewhere", 2, spark__sql__shuffle__partitions="2")
+        rows = [(b"k", b"v", "t", 0, n, None, 0, []) for n in range(7)]
+        append_records(spark.createDataFrame(rows, KAFKA_SCHEMA), "log")
+        query = read_records(spark, "log").writeStream.format("memory").queryName("got").trigger(processingTime="0 seconds").start()
+        query.processAllAvailable()
+        query.stop()
+        print("offsets", sorted(r["offset"] for r in spark.table("got").collect()))
+        """
+    kept = {k: v for k, v in os.environ.items() if not k.startswith(("PYTHONPATH", "PYSPARK_", "SPARK_"))}
+    done = subprocess.run([sys.executable, "-c", job], cwd=tmp_path, env=kept, capture_output=True, text=True, timeout=300)
+    assert f"offsets {list(range(7))}" in done.stdout, done.stderr[-3000:]
+
+
 def test_templates(messages):
     df = decode_dynamic(messages(({"X": "y"}, '{"a": {"b": "p/q"}}'), ({}, '{"a": {}}')))
     made = df.select(
