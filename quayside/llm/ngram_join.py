@@ -11,6 +11,9 @@ the cell is not yet one component.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -32,6 +35,9 @@ CELL_CLASSES = 4_096
 LOOKUP_VALUES = 4_000_000
 # Members of cells that one call works on, about; it takes one cell after the other.
 GROUP_MEMBERS = 1_000
+# Whole sets go to their cells in waves: the shuffle files of one are gone before the next. At most so many, each of so many members.
+WAVES = 4
+WAVE_MEMBERS = 10_000
 _FANOUT = 8
 _CELL = ["cell", "x", "y"]
 
@@ -251,6 +257,19 @@ def _together(needed: DataFrame) -> Column:
     return F.pmod(F.xxhash64(*_CELL), F.lit(-(-members // GROUP_MEMBERS) or 1)).alias("group")
 
 
+def _waves(needed: DataFrame) -> Iterator[DataFrame]:
+    """``needed`` cell by cell in several tables; each cell is whole in one of them."""
+    members = needed.agg(F.sum(F.size("cells"))).first()[0] or 0
+    waves = max(1, min(WAVES, members // WAVE_MEMBERS))
+    if waves == 1:
+        yield needed
+        return
+    dealt = needed.withColumn("waves", F.transform("cells", lambda c: F.pmod(F.xxhash64(c, F.lit("wave")), F.lit(waves))))
+    for wave in range(waves):
+        own = F.expr(f"filter(cells, (c, i) -> waves[i] = {wave})")
+        yield written(dealt.select("_doc", "_hash", own.alias("cells")).where(F.size("cells") > 0), "cells")
+
+
 def _edges(docs: DataFrame, cells: DataFrame, width: int, percent: int) -> DataFrame:
     """(a, b): what the classes of each cell are linked to, from (cell, x, y, rep) with ``rep`` the class's document."""
     per_document = cells.select(F.col("rep._doc").alias("_doc"), F.col("rep._hash").alias("_hash"), F.struct("cell", "x", "y").alias("where")).groupBy(
@@ -276,15 +295,10 @@ def _edges(docs: DataFrame, cells: DataFrame, width: int, percent: int) -> DataF
     sent = bits.select("_doc", "_hash", "bits", "n", F.explode("cells").alias("w")).select("_doc", "_hash", "bits", "n", "w.*")
     left = sent.groupBy(_together(needed)).applyInPandas(screen, f"cell long, x long, y long, _doc {kind}, _hash long")
     needed = written(left.groupBy("_doc", "_hash").agg(F.collect_list(F.struct("cell", "x", "y")).alias("cells")), "cells")
-    values = needed.agg(F.sum(F.size("cells") * 3 + 2)).first()[0] or 0
 
     def sets(texts):
         return [[s.tobytes() for s in shingle_sets(texts, width)]]
 
-    joined = docs.join(lookup(needed, values, LOOKUP_VALUES), ["_doc", "_hash"])
-    rows = computed(joined, ["_text"], "shingles binary", sets, keep=["_doc", "cells"])
-    placed = rows.select("_doc", "shingles", F.explode("cells").alias("w")).select("_doc", "shingles", "w.*")
-
     def link(group: pd.DataFrame) -> pd.DataFrame:
         group = group.drop_duplicates([*_CELL, "_doc"]).sort_values("_doc", ignore_index=True)
         ids, sets, found = group["_doc"].tolist(), group["shingles"].tolist(), []
@@ -294,7 +308,14 @@ def _edges(docs: DataFrame, cells: DataFrame, width: int, percent: int) -> DataF
         give_back()
         return pd.DataFrame(found, columns=["a", "b"])
 
-    return placed.groupBy(_together(needed)).applyInPandas(link, f"a {kind}, b {kind}")
+    found = []
+    for part in _waves(needed):
+        values = part.agg(F.sum(F.size("cells") * 3 + 2)).first()[0] or 0
+        joined = docs.join(lookup(part, values, LOOKUP_VALUES), ["_doc", "_hash"])
+        rows = computed(joined, ["_text"], "shingles binary", sets, keep=["_doc", "cells"])
+        placed = rows.select("_doc", "shingles", F.explode("cells").alias("w")).select("_doc", "shingles", "w.*")
+        found.append(written(placed.groupBy(_together(part)).applyInPandas(link, f"a {kind}, b {kind}"), "links"))
+    return reduce(DataFrame.unionAll, found)
 
 
 def near_groups(df: DataFrame, width: int = WIDTH, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -338,14 +359,14 @@ def near_groups(df: DataFrame, width: int = WIDTH, percent: int = PERCENT, id_co
     split = members.join(size, "cell").withColumn("share", F.pmod(F.xxhash64("rep", "cell"), F.col("shares")))
     grid = split.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("shares") - 1))).select(
         "cell", "shares", F.least("share", "other").alias("x"), F.greatest("share", "other").alias("y"), "rep")
-    edges = written(_edges(docs, grid.where((F.col("x") == 0) | (F.col("x") == F.col("y"))), width, percent), "links")
+    edges = _edges(docs, grid.where((F.col("x") == 0) | (F.col("x") == F.col("y"))), width, percent)
     labels = components(edges)
     # Cells that the first row of the grid has not made one component: all other pairs of shares.
     known = split.where("shares > 2").withColumn("node", F.col("rep._doc")).join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     mixed_cells = written(known.groupBy("cell").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a < b").select("cell"), "mixed")
     if mixed_cells.limit(1).count():
         rest = grid.where("shares > 2 AND x > 0 AND x < y").join(mixed_cells, "cell", "left_semi")
-        labels = components(edges.unionAll(written(_edges(docs, rest, width, percent), "links")))
+        labels = components(edges.unionAll(_edges(docs, rest, width, percent)))
     # Between documents of one class there is no edge: a class's label is that of its first document.
     named = classes.select(*same, F.col("rep._doc").alias("node")).join(labels, "node", "left").select(*same, F.coalesce("label", "node").alias("label"))
     alone = marked.where((F.col("n") == 0) | F.col("_doc").isNull()).select(F.col("_doc").alias(id_col), "_hash", F.col("n").alias("n_shingles"), F.col("_doc").alias("component_id"))
