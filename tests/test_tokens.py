@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import base64
+import secrets
 
 import pytest
 from pyspark.sql import functions as F
@@ -77,6 +78,17 @@ def test_wrapping_works_with_and_without_the_native_library(spark, ring, monkeyp
     assert rsa.unwrap(key, wrapped[:-1]) is None and rsa.unwrap(key, b"\xff" * 256) is None
 
 
+@pytest.mark.parametrize("bits", [512, 1024, 2048, 3072])
+def test_both_powers_of_a_private_operation_come_from_one_call(spark, bits, monkeypatch):
+    key = rsa.load_key(sample.new_key(spark, bits))
+    numbers = [0, 1, key.p, key.q * 3, key.n - 1, *(secrets.randbelow(key.n) for _ in range(20))]
+    monkeypatch.setattr(rsa, "modular_power", None)  # one power after the other
+    assert [rsa.private_powers(key, n) for n in numbers] == [(pow(n, key.dp, key.p), pow(n, key.dq, key.q)) for n in numbers]
+    if bits >= 1024:
+        monkeypatch.undo()
+        assert rsa.unwrap(key, rsa.wrap(key.public, b"k" * 32)) == b"k" * 32
+
+
 def test_the_platform_opens_what_we_wrap_and_the_reverse(spark, ring):
     """The JVM's RSA-OAEP with SHA-256 agrees with ours."""
     jvm, key = spark._jvm, ring.keys["keys/private"]
