@@ -25,8 +25,10 @@ from quayside.sources.messages import KAFKA_SCHEMA, RECORD_COLUMNS
 
 FORMAT = "quayside_records"
 INDEX = "topic string, partition int, file string, first bigint, last bigint"
-# Records of one file, about.
+# Records of one file, at most.
 FILE_RECORDS = 1 << 20
+# Records that a task reads or writes, about, where files are smaller: a task of a few records is mostly its own start.
+TASK_RECORDS = 50_000
 Offsets = dict[str, dict[str, int]]
 # The columns of KAFKA_SCHEMA as a task gives them to Spark.
 _ARROW = pa.schema([
@@ -39,15 +41,15 @@ _ARROW = pa.schema([
 def append_records(df: DataFrame, path: str, file_records: int = FILE_RECORDS) -> None:
     """Add records to the log at ``path``, in files of successive offsets: a hot topic partition has as many as it needs.
 
-    The index is written after the files, so a reader sees an append as a whole or not at all.
+    A task writes as many files as ``TASK_RECORDS`` make, so neither tasks nor the range bounds sampled for them follow the number of files. The index is written after the files, so a reader sees an append as a whole or not at all.
     """
     spark, path = df.sparkSession, shared_root(df.sparkSession, path).rstrip("/")
     order = ["topic", "partition", "offset"]
-    dealt = df.select(*RECORD_COLUMNS).repartitionByRange(-(-df.count() // file_records) or 1, *order)
+    dealt = df.select(*RECORD_COLUMNS).repartitionByRange(-(-df.count() // max(file_records, TASK_RECORDS)) or 1, *order)
     system, base = _file_system(path)
     number = len([i for i in system.get_file_info(fs.FileSelector(posixpath.join(base, "index"), allow_not_found=True)) if i.type == fs.FileType.Directory])
     folder = f"append={number:09d}"
-    dealt.sortWithinPartitions(*order).write.mode("overwrite").parquet(f"{path}/data/{folder}")
+    dealt.sortWithinPartitions(*order).write.mode("overwrite").option("maxRecordsPerFile", file_records).parquet(f"{path}/data/{folder}")
     stored = spark.read.schema(KAFKA_SCHEMA).parquet(f"{path}/data/{folder}")
     name = F.concat(F.lit(f"data/{folder}/"), F.col("_metadata.file_name"))
     index = stored.groupBy("topic", "partition", name.alias("file")).agg(F.min("offset").alias("first"), F.max("offset").alias("last"))
@@ -55,7 +57,7 @@ def append_records(df: DataFrame, path: str, file_records: int = FILE_RECORDS) -
 
 
 @dataclass
-class _Piece(InputPartition):
+class _Piece:
     """Offsets [start, end) of a topic partition in one file."""
 
     file: str
@@ -65,6 +67,13 @@ class _Piece(InputPartition):
     end: int
 
 
+@dataclass
+class _Share(InputPartition):
+    """What one task reads: pieces one after the other."""
+
+    pieces: list[_Piece]
+
+
 def read_index(path: str) -> list[dict]:
     """The index rows: one for each file and topic partition in it, only those of complete appends."""
     system, base = _file_system(path)
@@ -125,6 +134,19 @@ def pieces(index: list[dict], start: Offsets, end: Offsets) -> list[_Piece]:
     return out
 
 
+def shares(found: list[_Piece], records: int = TASK_RECORDS) -> list[_Share]:
+    """Pieces dealt to tasks in order, each task of at most ``records`` offsets or one piece."""
+    out, held = [], records
+    for piece in sorted(found, key=lambda p: (p.topic, p.partition, p.start)):
+        size = piece.end - piece.start
+        if held + size > records:
+            out.append(_Share([]))
+            held = 0
+        out[-1].pieces.append(piece)
+        held += size
+    return out
+
+
 def read_piece(path: str, piece: _Piece) -> Iterator[pa.RecordBatch]:
     """The records of one piece, in offset order, row group by row group."""
     system, base = _file_system(path)
@@ -146,17 +168,18 @@ class _Log:
         self.limit = int(limit) if limit else None
         self.checkpoint = options.get("resume")
 
-    def read(self, partition: _Piece | None) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: _Share | None) -> Iterator[pa.RecordBatch]:
         # Without any pieces Spark asks once for none.
-        return iter(()) if partition is None else read_piece(self.path, partition)
+        for piece in partition.pieces if partition else ():
+            yield from read_piece(self.path, piece)
 
 
 class RecordReader(_Log, DataSourceReader):
     """All records from the starting position on."""
 
-    def partitions(self) -> Sequence[_Piece]:
+    def partitions(self) -> Sequence[_Share]:
         index = read_index(self.path)
-        return pieces(index, starting(self.start, index), _ends(index, True))
+        return shares(pieces(index, starting(self.start, index), _ends(index, True)))
 
 
 class RecordStreamReader(_Log, DataSourceStreamReader):
@@ -193,9 +216,9 @@ class RecordStreamReader(_Log, DataSourceStreamReader):
             self.current = starting(self.start, index)
         return bounded(self.current, end, self.limit) or self.current
 
-    def partitions(self, start: Offsets, end: Offsets) -> Sequence[_Piece]:
+    def partitions(self, start: Offsets, end: Offsets) -> Sequence[_Share]:
         self.current = end
-        return pieces(read_index(self.path), start, end)
+        return shares(pieces(read_index(self.path), start, end))
 
     def commit(self, end: Offsets) -> None:
         pass

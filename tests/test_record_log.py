@@ -51,6 +51,24 @@ def test_log_as_a_batch(spark, sf_dir):
         spark.readStream.format(record_log.FORMAT).option("path", log).option("maxOffsetsPerTrigger", "5").load().writeStream.format("noop").start().awaitTermination()
 
 
+def test_small_files_share_tasks(spark, sf_dir):
+    """A task writes and reads many small files; a piece beyond a task's share is a task of its own, and none is lost."""
+    log = shared_dir(spark, "log")
+    records = sample.records(spark, sf_dir)
+    append_records(records, log, 20)
+    root = record_log.shared_root(spark, log)
+    files = read_index(root)
+    assert len({r["file"] for r in files}) >= 50 and len({r["file"].split("-")[1] for r in files}) == 1
+    back = read_records(spark, log, stream=False)
+    assert back.rdd.getNumPartitions() == 1
+    assert back.exceptAll(records).isEmpty() and records.exceptAll(back).isEmpty()
+    found = [record_log._Piece(f"f{n}", "t", n % 2, n, n + size) for n, size in enumerate((30, 30, 500, 30, 30, 30, 100))]
+    dealt = record_log.shares(found, 100)
+    assert sorted((p for s in dealt for p in s.pieces), key=lambda p: p.start) == found
+    assert all(len(s.pieces) == 1 or sum(p.end - p.start for p in s.pieces) <= 100 for s in dealt) and len(dealt) < len(found)
+    assert record_log.shares([]) == []
+
+
 def test_bounded_reading_goes_on_after_a_restart(spark, sf_dir):
     """Every record once, in micro-batches of at most the bound, over several runs of one query."""
     log, checkpoint, root = shared_dir(spark, "log"), shared_dir(spark, "checkpoint"), shared_dir(spark, "out")
