@@ -158,3 +158,17 @@ def test_bulk_folder(spark, ring, tmp_path, armor):
     assert {r["error"]["stage"] for r in wrong.collect()} == {"unseal"}
     with pytest.raises(Exception, match="no content|in order"):
         bulk.unseal_folder(spark, str(tmp_path / "sealed"), str(tmp_path / "fail"), ring, "keys/seal-b", armor)
+
+
+@pytest.mark.parametrize("armor", [False, True])
+def test_bulk_reading_is_spread(spark, ring, tmp_path, armor, monkeypatch):
+    """The rows that name files and ranges are short; what they name is read, sealed and opened in many tasks all the same."""
+    (tmp_path / "in" / "deep").mkdir(parents=True)
+    for n in range(40):
+        (tmp_path / "in" / ("deep" if n % 2 else "") / f"f{n}").write_bytes(os.urandom(900))
+    tasks, read = [], bulk._read_ranges
+    monkeypatch.setattr(bulk, "_read_ranges", lambda ranges: (tasks.append(ranges.rdd.getNumPartitions()), read(ranges))[1])
+    bulk.seal_folder(spark, str(tmp_path / "in"), str(tmp_path / "out"), ring, "keys/seal-a", armor, range_bytes=500)
+    opened = bulk.open_folder(spark, str(tmp_path / "out"), ring, "keys/seal-a", armor)
+    assert opened.count() == 80 and opened.where("error IS NOT NULL").isEmpty()
+    assert len(tasks) == (1 if armor else 2) and min(tasks) >= 8
