@@ -172,3 +172,20 @@ def test_bulk_reading_is_spread(spark, ring, tmp_path, armor, monkeypatch):
     opened = bulk.open_folder(spark, str(tmp_path / "out"), ring, "keys/seal-a", armor)
     assert opened.count() == 80 and opened.where("error IS NOT NULL").isEmpty()
     assert len(tasks) == (1 if armor else 2) and min(tasks) >= 8
+
+
+def test_landed_files_are_read_by_tasks(spark, tmp_path):
+    """Whole files, empty ones and those in dead-letter folders included; no manifest, no file not yet complete, no other suffix."""
+    for name in ("a/day=01/x+0.json", "a/day=02/y%25.json", "_dead_letter/decode/z.json", "a/day=02/empty.json", "_manifest/m.json", "a/day=01/.x.json." + "0" * 32, "a/day=01/s.json.pgp"):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text("" if "empty" in name else f"{name}\nb\n")
+    many = tmp_path / "many"
+    many.mkdir()
+    for n in range(2_500):
+        (many / f"{n}.json").write_text(str(n))
+    found = bulk.read_files(spark, str(tmp_path), "*.json")
+    got = {os.path.relpath(r["file"].removeprefix("file:"), tmp_path): bytes(r["content"]).decode() for r in found.collect()}
+    small = {k: v for k, v in got.items() if not k.startswith("many/")}
+    assert small == {n: "" if "empty" in n else f"{n}\nb\n" for n in ("a/day=01/x+0.json", "a/day=02/y%25.json", "_dead_letter/decode/z.json", "a/day=02/empty.json")}
+    assert {k: v for k, v in got.items() if k.startswith("many/")} == {f"many/{n}.json": str(n) for n in range(2_500)}
+    assert found.rdd.getNumPartitions() >= 8
