@@ -106,6 +106,17 @@ def test_the_platform_opens_what_we_wrap_and_the_reverse(spark, ring):
     assert rsa.unwrap(key, bytes(cipher.doFinal(bytearray(b"q" * 32)))) == b"q" * 32
 
 
+@pytest.mark.parametrize("bits", [1024, 2048])
+def test_public_power_is_prepared_once(spark, monkeypatch, bits):
+    key = rsa.load_key(sample.new_key(spark, bits)).public
+    messages = [n.to_bytes(key.width, "big") for n in (0, 1, key.n - 1, *(secrets.randbelow(key.n) for _ in range(20)))]
+    wanted = [pow(int.from_bytes(m, "big"), key.e, key.n).to_bytes(key.width, "big") for m in messages]
+    assert [rsa.public_power(key, m) for m in messages] == wanted
+    assert rsa._raised(key) is rsa._raised(rsa.PublicKey(key.n, key.e))
+    monkeypatch.setattr(rsa, "_libcrypto", lambda: None)
+    assert [rsa.public_power(key, m) for m in messages] == wanted
+
+
 def test_pem_files(spark, tmp_path):
     body = sample.new_key(spark)
     private = rsa.load_key(f"-----BEGIN PRIVATE KEY-----\n{body}-----END PRIVATE KEY-----\n")
